@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.dates import calendar
 from starload.functions.text import nonblank
-from starload.operators.keys import assign_keys, number_rows
+from starload.operators.keys import assign_keys, highest, number_rows
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
 from starload.session import materialize
@@ -20,7 +20,8 @@ def new_dates(dates: DataFrame, target: DataFrame) -> DataFrame:
     found = dates.select(
         F.explode(F.array(*[F.to_date(F.col(c)) for c in dates.columns])).alias("date")
     ).filter("date IS NOT NULL").distinct()
-    return absent(found, target, ["date"]).select(*calendar(F.col("date")))
+    fresh = absent(found, target, ["date"]).select(*calendar(F.col("date")))
+    return materialize(fresh, "dates")
 
 
 def new_members(
@@ -42,27 +43,29 @@ def new_members(
     )
     known, tops = None, None
     for table, natural in values:
-        surrogate = TABLES[table].surrogate
         dim = targets[table]
         one = dim.select(F.lit(table).alias("dim"), F.col(natural).alias("member"))
-        top = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("_top")).select(
-            F.lit(table).alias("dim"), "_top"
-        )
+        top = dim.select(F.lit(table).alias("dim"), F.col(TABLES[table].surrogate).alias("key"))
         known = one if known is None else known.unionByName(one)
         tops = top if tops is None else tops.unionByName(top)
 
     label = "members-" + "-".join(sorted({table for table, _ in values}))
     numbered = number_rows(absent(offered, known, ["dim", "member"]), ["dim", "member"], label)
-    # One row per dimension in both broadcasts.
-    firsts = numbered.groupBy("dim").agg(F.min("_position").alias("_first"))
-    keyed = (
-        numbered.join(F.broadcast(firsts), "dim").join(F.broadcast(tops), "dim")
-        .withColumn("_key", F.col("_top") + 1 + F.col("_position") - F.col("_first"))
-    )
+    # One row per dimension reaches the driver: its highest key and first position.
+    top = {r["dim"]: r["top"] for r in tops.groupBy("dim").agg(F.max("key").alias("top")).collect()}
+    first = {
+        r["dim"]: r["first"]
+        for r in numbered.groupBy("dim").agg(F.min("_position").alias("first")).collect()
+    }
+
+    def key(table: str) -> Column:
+        shift = (top.get(table) or 0) + 1 - first.get(table, 0)
+        return F.col("_position") + F.lit(shift)
+
     return {
         table: conform(
-            keyed.filter(F.col("dim") == table).select(
-                F.col("_key").alias(TABLES[table].surrogate), F.col("member").alias(natural)
+            numbered.filter(F.col("dim") == table).select(
+                key(table).alias(TABLES[table].surrogate), F.col("member").alias(natural)
             ),
             table,
         )
@@ -79,7 +82,7 @@ def first_seen(
     rows = rows.dropna(subset=natural)
     first = first_wins(rows, natural, total_order(rows, order))
     members = absent(first, target, natural).select(
-        *[c for c in contract.names if c != contract.surrogate]
+        *[c for c in contract.names if c in rows.columns]
     )
     return conform(assign_keys(members, target, contract.surrogate, natural, table), table)
 
@@ -94,25 +97,19 @@ def overwrite(
     named, and all surrogate keys, stay as they are.
     """
     contract = TABLES[table]
-    natural = list(contract.natural)
+    key, natural = contract.surrogate, list(contract.natural)
     rows = rows.dropna(subset=natural)
     last = last_wins(rows, natural, total_order(rows, order)).select(*natural, *attributes)
-    latest = materialize(last, f"latest-{table}")
-
-    marked = latest.select(
-        *natural, F.lit(True).alias("_hit"), *[F.col(a).alias(f"_{a}") for a in attributes]
-    )
-    changed = target.join(marked, natural, "left").select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
-            if c in attributes else F.col(c)
-            for c in contract.names
-        ]
-    )
-    members = assign_keys(
-        absent(latest, target, natural), target, contract.surrogate, natural, table
+    stored = target.select(*[c for c in contract.names if c not in attributes])
+    # New members sort first, so that their positions are dense from 0.
+    merged = last.join(stored, natural, "left").withColumn("_known", F.col(key).isNotNull())
+    numbered = number_rows(merged, ["_known", *natural], table)
+    top = highest(target, key)
+    touched = numbered.withColumn(
+        key, F.coalesce(F.col(key), F.lit(top + 1) + F.col("_position"))
     )
-    return conform(changed, table).unionByName(conform(members, table))
+    untouched = absent(target, numbered, natural)
+    return conform(touched, table).unionByName(conform(untouched, table))
 
 
 def blank_members(
@@ -124,15 +121,15 @@ def blank_members(
     used = None
     for fact, column in facts:
         # The few blank members are the small side; the fact is only scanned.
-        hits = fact.join(blank, fact[column] == blank[surrogate]).select(
-            blank[surrogate].alias("_used")
-        ).distinct()
+        side = blank.select(F.col(surrogate).alias("_used"))
+        hits = side.join(fact.select(F.col(column).alias("_key")), F.col("_used") == F.col("_key"))
+        hits = hits.select("_used").distinct()
         used = hits if used is None else used.unionByName(hits)
     if used is None:
         return blank.withColumn("referenced", F.lit(False))
-    used = used.distinct()
-    return blank.join(used, blank[surrogate] == F.col("_used"), "left").select(
-        blank["*"], F.col("_used").isNotNull().alias("referenced")
+    found = used.distinct().withColumnRenamed("_used", surrogate).withColumn("_hit", F.lit(True))
+    return blank.join(found, surrogate, "left").select(
+        *TABLES[table].names, F.col("_hit").isNotNull().alias("referenced")
     )
 
 

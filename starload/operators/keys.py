@@ -16,9 +16,9 @@ _ROW_BITS = 33
 def number_rows(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Add ``_position``, the dense 0-based place of a row in ``order``.
 
-    The rows are range-sorted and written once with the place inside their
-    partition. Only the partition sizes, one row per partition, are summed up
-    and sent back to all rows.
+    The rows are range-sorted and written once with their place inside their
+    partition. Only the partition sizes, one number per partition, are summed up
+    on the driver and sent back to the rows.
     """
     placed = materialize(
         df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), label
@@ -28,31 +28,35 @@ def number_rows(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
         F.shiftright("_at", _ROW_BITS).alias("_part"),
         F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    )
+    sizes = placed.groupBy("_part").count().collect()
+    if len(sizes) < 2:
+        return placed.withColumn("_position", F.col("_row")).drop("_part", "_row")
+    starts, start = [], 0
+    for part, size in sorted((row["_part"], row["count"]) for row in sizes):
+        starts.append((part, start))
+        start += size
     # One row per written partition, so the broadcast is bounded by their number.
+    side = df.sparkSession.createDataFrame(starts, "_part long, _start long")
     return (
-        placed.join(F.broadcast(starts), "_part")
+        placed.join(F.broadcast(side), "_part")
         .withColumn("_position", F.col("_start") + F.col("_row"))
         .drop("_part", "_row", "_start")
     )
 
 
-def highest(target: DataFrame, key: str) -> Column:
-    """The highest key in use, 0 for an empty table, as a scalar subquery."""
-    return F.coalesce(target.agg(F.max(key)).scalar(), F.lit(0)).cast("long")
+def highest(target: DataFrame, key: str) -> int:
+    """The highest key in use, 0 for an empty table."""
+    return target.agg(F.max(key).alias("top")).first()["top"] or 0
 
 
 def assign_keys(
     new: DataFrame, target: DataFrame, key: str, order: Sequence[str], label: str
 ) -> DataFrame:
     """Keys above the target's highest one, in the order of the natural key."""
+    top = highest(target, key)
     return (
         number_rows(new, order, label)
-        .withColumn(key, highest(target, key) + F.lit(1) + F.col("_position"))
+        .withColumn(key, F.lit(top + 1) + F.col("_position"))
         .drop("_position")
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from starload.operators.merge import absent
 from starload.plans import payload, payments
-from starload.schemas import conform
 from starload.session import materialize
 from starload.sources.payload import stream_payloads
 from starload.sources.warehouse import Warehouse
@@ -43,18 +42,19 @@ def push_requests(
 def load_new_invoices(
     batch: DataFrame, stored: DataFrame, vendors: DataFrame, warehouse: Warehouse
 ) -> None:
-    """Match new invoices to all vendors, and new vendors to all invoices.
+    """Match new invoices to the known vendors, and new vendors to all invoices.
 
     A full re-read would also match a vendor that is new or has a new name to the
     invoices loaded before. Only such vendors meet the stored invoices again.
     """
-    vendors = vendors.select("vendor_id", "vendor_name").distinct()
     key = ["vendor_id", "vendor_name"]
-    unseen = materialize(absent(vendors, warehouse.read("vendors_seen"), key), "new-vendors")
-    payments.load(batch, vendors, warehouse)
+    vendors = vendors.select(*key).distinct()
+    seen = warehouse.read("vendors_seen")
+    unseen = materialize(absent(vendors, seen, key), "new-vendors")
+    payments.load(batch, vendors.join(seen, key, "left_semi"), warehouse)
     if not unseen.isEmpty():
         payments.load(stored, unseen, warehouse)
-        warehouse.append("vendors_seen", conform(unseen, "vendors_seen"))
+        warehouse.append("vendors_seen", unseen)
 
 
 def follow_invoices(
