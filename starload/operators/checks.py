@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -49,13 +50,19 @@ def verify(rows: DataFrame, table: str, read: Callable[[str], DataFrame]) -> Non
     merge removes or keeps them by key.
     """
     contract = TABLES[table]
-    found = []
-    if not repeated_keys(rows, contract.natural).isEmpty():
-        found.append(f"repeated {', '.join(contract.natural)}")
+    found = [
+        repeated_keys(rows, contract.natural).select(
+            F.lit(f"repeated {', '.join(contract.natural)}").alias("problem")
+        ).limit(1)
+    ]
     for column, (target, key) in contract.references.items():
-        if not orphans(rows, column, read(target), key).isEmpty():
-            found.append(f"{column} without a row in {target}")
+        problem = F.lit(f"{column} without a row in {target}").alias("problem")
+        found.append(orphans(rows, column, read(target), key).select(problem).limit(1))
     if contract.lengths:
-        found += [f"{r['column']} too long" for r in too_long(rows, table).collect()]
-    if found:
-        raise ConstraintViolation(f"{table}: " + "; ".join(found))
+        found.append(
+            too_long(rows, table).select(F.concat("column", F.lit(" too long")).alias("problem"))
+        )
+    # One line per broken rule at most reaches the driver.
+    problems = [r["problem"] for r in functools.reduce(DataFrame.unionByName, found).collect()]
+    if problems:
+        raise ConstraintViolation(f"{table}: " + "; ".join(problems))

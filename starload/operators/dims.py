@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.dates import calendar
 from starload.functions.text import nonblank
-from starload.operators.keys import assign_keys, highest, number_rows
+from starload.operators.keys import assign_keys, highest, number_groups, number_rows
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
 from starload.session import materialize
@@ -50,13 +50,10 @@ def new_members(
         tops = top if tops is None else tops.unionByName(top)
 
     label = "members-" + "-".join(sorted({table for table, _ in values}))
-    numbered = number_rows(absent(offered, known, ["dim", "member"]), ["dim", "member"], label)
-    # One row per dimension reaches the driver: its highest key and first position.
+    fresh = absent(offered, known, ["dim", "member"])
+    numbered, first = number_groups(fresh, "dim", ["member"], label)
+    # One row per dimension reaches the driver.
     top = {r["dim"]: r["top"] for r in tops.groupBy("dim").agg(F.max("key").alias("top")).collect()}
-    first = {
-        r["dim"]: r["first"]
-        for r in numbered.groupBy("dim").agg(F.min("_position").alias("first")).collect()
-    }
 
     def key(table: str) -> Column:
         shift = (top.get(table) or 0) + 1 - first.get(table, 0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,14 @@ def number_rows(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     partition. Only the partition sizes, one number per partition, are summed up
     on the driver and sent back to the rows.
     """
+    return number_groups(df, None, order, label)[0]
+
+
+def number_groups(
+    df: DataFrame, group: str | None, order: Sequence[str], label: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """``number_rows`` by ``group`` and ``order``, and each group's first position."""
+    order = [group, *order] if group else order
     placed = materialize(
         df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), label
     )
@@ -28,20 +37,29 @@ def number_rows(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
         F.shiftright("_at", _ROW_BITS).alias("_part"),
         F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     )
-    sizes = placed.groupBy("_part").count().collect()
-    if len(sizes) < 2:
-        return placed.withColumn("_position", F.col("_row")).drop("_part", "_row")
-    starts, start = [], 0
-    for part, size in sorted((row["_part"], row["count"]) for row in sizes):
-        starts.append((part, start))
-        start += size
+    # One row per partition, and one more for each group that starts inside one.
+    named = F.col(group) if group else F.lit("")
+    runs = (
+        placed.groupBy("_part", named.alias("group"))
+        .agg(F.count(F.lit(1)).alias("size")).orderBy("_part", "group").collect()
+    )
+    starts, firsts, end = {}, {}, 0
+    for run in runs:
+        starts.setdefault(run["_part"], end)
+        firsts.setdefault(run["group"], end)
+        end += run["size"]
+    if len(starts) < 2:
+        return placed.withColumn("_position", F.col("_row")).drop("_part", "_row"), firsts
+    side = df.sparkSession.createDataFrame(
+        pa.table({"_part": list(starts), "_start": list(starts.values())})
+    )
     # One row per written partition, so the broadcast is bounded by their number.
-    side = df.sparkSession.createDataFrame(starts, "_part long, _start long")
-    return (
+    numbered = (
         placed.join(F.broadcast(side), "_part")
         .withColumn("_position", F.col("_start") + F.col("_row"))
         .drop("_part", "_row", "_start")
     )
+    return numbered, firsts
 
 
 def highest(target: DataFrame, key: str) -> int:

@@ -178,3 +178,8 @@ def conform(df, table: str):
             for name, dtype in TABLES[table].columns
         ]
     )
+
+
+def empty(spark, table: str):
+    """The table without rows, in a form the optimizer recognizes as empty."""
+    return conform(spark.range(0).limit(0).drop("id"), table)

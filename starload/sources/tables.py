@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starload.operators.keys import assign_bucket_keys
 from starload.operators.merge import absent, upsert
-from starload.schemas import TABLES, conform
+from starload.schemas import TABLES, conform, empty
 
 
 class SessionTables:
@@ -21,7 +21,7 @@ class SessionTables:
     def read(self, name: str) -> DataFrame:
         """The table, empty but with its columns when it does not exist yet."""
         if name not in self._frames:
-            return self.spark.createDataFrame([], TABLES[name].schema)
+            return empty(self.spark, name)
         return self._frames[name]
 
     def exists(self, name: str) -> bool:

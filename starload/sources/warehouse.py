@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from starload.operators.checks import verify
 from starload.operators.keys import assign_bucket_keys, bucket
 from starload.operators.merge import absent, upsert
-from starload.schemas import TABLES, conform
+from starload.schemas import TABLES, conform, empty
 from starload.session import materialize
 
 BUCKET = "kb"
@@ -81,7 +81,7 @@ class Warehouse:
 
     def _load(self, name: str, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], TABLES[name].schema)
+            return empty(self.spark, name)
         return self.spark.read.schema(TABLES[name].schema).parquet(
             *[f"{self.root}/{name}/{p}" for p in paths]
         )

@@ -75,8 +75,7 @@ def known_members(spark: SparkSession, d: str) -> SessionTables:
     return tables
 
 
-def request_dimensions(spark: SparkSession, d: str) -> SessionTables:
-    tables = known_members(spark, d)
+def request_dimensions(spark: SparkSession, d: str, tables: SessionTables) -> SessionTables:
     requests.load_dimensions(
         source(spark, d, "employees"), source(spark, d, "inventory_requests"), tables
     )
@@ -85,7 +84,7 @@ def request_dimensions(spark: SparkSession, d: str) -> SessionTables:
 
 def resolved_requests(spark: SparkSession, d: str) -> DataFrame:
     checked = requests.check(source(spark, d, "inventory_requests"))
-    return requests.resolve(checked, request_dimensions(spark, d))
+    return requests.resolve(checked, request_dimensions(spark, d, known_members(spark, d)))
 
 
 def schedule_extract(spark: SparkSession, d: str, properties: str = "properties",
@@ -291,12 +290,12 @@ def dim_date(spark, d):
 
 @query
 def dim_item_type(spark, d):
-    return request_dimensions(spark, d).read("d_item_type")
+    return request_dimensions(spark, d, SessionTables(spark)).read("d_item_type")
 
 
 @query
 def dim_request_status(spark, d):
-    return request_dimensions(spark, d).read("d_request_status")
+    return request_dimensions(spark, d, SessionTables(spark)).read("d_request_status")
 
 
 @query
