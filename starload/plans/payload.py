@@ -26,7 +26,8 @@ def _text(field: str):
 def check(payloads: DataFrame) -> DataFrame:
     """One row per record with typed columns and the reason of rejection."""
     raw = records(payloads).select(
-        "arrival", "position", F.schema_of_variant("record").startswith("OBJECT").alias("_object"),
+        "arrival", "position", "unreadable",
+        F.schema_of_variant("record").startswith("OBJECT").alias("_object"),
         *[F.try_variant_get("record", f"$.{f}", "variant").alias(f"_{f}") for f in FIELDS],
     )
     complete = F.lit(True)
@@ -40,10 +41,12 @@ def check(payloads: DataFrame) -> DataFrame:
     date = F.when(is_text, strict_date(_text("requested_date")))
     return clean.classify(
         raw.withColumn("quantity", amount).withColumn("date", date)
-        .withColumn("request_id", _text("request_id"))
+        .withColumn("request_id", F.when(F.col("unreadable"), F.col("arrival.path"))
+                    .otherwise(_text("request_id")))
         .withColumn("item_name", _text("item_name"))
         .withColumn("location", _text("location")),
         [
+            ("unreadable payload", ~F.col("unreadable")),
             ("not an object", F.col("_object")),
             ("incomplete", complete),
             ("bad requested_date", F.col("date").isNotNull()),
@@ -61,7 +64,9 @@ def check(payloads: DataFrame) -> DataFrame:
 def load_dimensions(checked: DataFrame, tables) -> None:
     """A record refused for its id or quantity still adds its members."""
     reason = F.coalesce(F.col(clean.REASON), F.lit(""))
-    dated = ~reason.isin("not an object", "incomplete", "bad requested_date")
+    dated = F.col("date").isNotNull() & ~reason.isin(
+        "unreadable payload", "not an object", "incomplete", "bad requested_date"
+    )
     itemed = dated & (reason != "bad item_name")
     placed = itemed & (reason != "bad location")
     tables.append("d_date", dims.new_dates(

@@ -32,14 +32,14 @@ def records(payloads: DataFrame) -> DataFrame:
     """One row per element of ``records``, with its place in the list.
 
     A document without the list, or with something else in its place, has none.
+    A document that is not a JSON object gives one row, marked unreadable.
     """
+    corrupt = F.lit(False)
+    if "_corrupt_record" in payloads.columns:
+        corrupt = F.col("_corrupt_record").isNotNull()
     elements = F.try_variant_get(F.col("records"), "$", "array<variant>")
-    return payloads.select("arrival", F.posexplode(elements).alias("position", "record"))
-
-
-def unreadable(payloads: DataFrame) -> DataFrame:
-    """Documents that are not JSON objects, as rejects."""
-    return payloads.filter(F.col("_corrupt_record").isNotNull()).select(
-        F.lit("payload").alias("job"), F.col("arrival.path").alias("key"),
-        F.lit("unreadable payload").alias("reason"),
+    listed = payloads.select(
+        "arrival", corrupt.alias("unreadable"),
+        F.posexplode_outer(elements).alias("position", "record"),
     )
+    return listed.filter(F.col("unreadable") | F.col("position").isNotNull())
