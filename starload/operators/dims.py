@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starload.functions.dates import calendar
 from starload.functions.text import nonblank
+from starload.operators.clean import required
 from starload.operators.keys import assign_keys, highest, number_groups, number_rows
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
@@ -76,7 +77,7 @@ def first_seen(
     """New members with attributes; the first row of a member gives them."""
     contract = TABLES[table]
     natural = list(contract.natural)
-    rows = rows.dropna(subset=natural)
+    rows = required(rows, *natural)
     first = first_wins(rows, natural, total_order(rows, order))
     members = absent(first, target, natural).select(
         *[c for c in contract.names if c in rows.columns]
@@ -95,7 +96,7 @@ def overwrite(
     """
     contract = TABLES[table]
     key, natural = contract.surrogate, list(contract.natural)
-    rows = rows.dropna(subset=natural)
+    rows = required(rows, *natural)
     last = last_wins(rows, natural, total_order(rows, order)).select(*natural, *attributes)
     stored = target.select(*[c for c in contract.names if c not in attributes])
     # New members sort first, so that their positions are dense from 0.

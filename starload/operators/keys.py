@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from starload.session import materialize
 
+# Facts are numbered in this many parts of a storage bucket at a time.
+_PARTS = 16
 # monotonically_increasing_id puts the partition number above the lower 33 bits.
 _ROW_BITS = 33
 
@@ -92,21 +94,22 @@ def bucket(natural: Sequence[str], buckets: int) -> Column:
 def assign_bucket_keys(
     new: DataFrame, target: DataFrame, natural: Sequence[str], key: str, buckets: int
 ) -> DataFrame:
-    """Unique keys for fact rows, each bucket counting on its own.
+    """Unique keys for fact rows, each part of a bucket counting on its own.
 
-    Bucket b uses b+1, b+1+buckets, b+1+2*buckets, and so on. No total sort is
+    Of n parts, part p uses p+1, p+1+n, p+1+2*n, and so on. No total sort is
     needed, and only the buckets the batch touches have to be read.
     """
+    n = buckets * _PARTS
     tops = (
-        target.groupBy(bucket(natural, buckets).alias("_bucket")).agg(F.max(key).alias("_top"))
+        target.groupBy(bucket(natural, n).alias("_bucket")).agg(F.max(key).alias("_top"))
     )
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural)) - 1
-    used = F.coalesce(F.floor((F.col("_top") - 1 - F.col("_bucket")) / buckets) + 1, F.lit(0))
-    # One row per bucket, so the broadcast is bounded by their number.
+    used = F.coalesce(F.floor((F.col("_top") - 1 - F.col("_bucket")) / n) + 1, F.lit(0))
+    # One row per part, so the broadcast is bounded by their number.
     return (
-        new.withColumn("_bucket", bucket(natural, buckets))
+        new.withColumn("_bucket", bucket(natural, n))
         .withColumn("_place", place)
         .join(F.broadcast(tops), "_bucket", "left")
-        .withColumn(key, (F.col("_bucket") + 1 + (used + F.col("_place")) * buckets).cast("long"))
+        .withColumn(key, (F.col("_bucket") + 1 + (used + F.col("_place")) * n).cast("long"))
         .drop("_bucket", "_place", "_top")
     )

@@ -62,5 +62,5 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 def load(inventory: DataFrame, tables) -> Report:
     checked = check(inventory)
     load_dimensions(checked, tables)
-    tables.upsert("f_inventory", resolve(checked, tables))
-    return Report("inventory", "inventory_id", checked)
+    merged = tables.upsert("f_inventory", resolve(checked, tables))
+    return Report("inventory", "inventory_id", checked, merged)

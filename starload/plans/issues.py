@@ -101,5 +101,5 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 def load(issues: DataFrame, projects: DataFrame, properties: DataFrame, tables) -> Report:
     checked = check(issues)
     load_dimensions(checked, projects, properties, tables)
-    tables.upsert("fact_issues", resolve(checked, tables))
-    return Report("issues", "issue_id", checked)
+    merged = tables.upsert("fact_issues", resolve(checked, tables))
+    return Report("issues", "issue_id", checked, merged)

@@ -95,5 +95,5 @@ def load(payloads: DataFrame, tables) -> Report:
     # Parsed once; the typed records feed three dimensions and the fact.
     checked = materialize(check(payloads), "payload")
     load_dimensions(checked, tables)
-    tables.upsert("f_inventory_requests", resolve(checked, tables))
-    return Report("payload", "request_id", checked)
+    merged = tables.upsert("f_inventory_requests", resolve(checked, tables))
+    return Report("payload", "request_id", checked, merged)

@@ -78,5 +78,5 @@ def load(invoices: DataFrame, vendors: DataFrame, tables) -> Report:
     # The match feeds three dimensions and the fact, so it is joined once.
     checked = check(materialize(extract(invoices, vendors), "payments"))
     load_dimensions(checked, tables)
-    tables.insert_absent("f_payments", resolve(checked, tables))
-    return Report("payments", "invoice_id", checked)
+    merged = tables.insert_absent("f_payments", resolve(checked, tables))
+    return Report("payments", "invoice_id", checked, merged)

@@ -11,11 +11,16 @@ from starload.operators import clean
 
 @dataclass(frozen=True)
 class Report:
-    """Every source row with the reason it was rejected for, if any."""
+    """Every source row with the reason it was rejected for, if any.
+
+    ``merged`` is the number of fact rows that were added or replaced, where the
+    tables were published.
+    """
 
     job: str
     key: str
     outcome: DataFrame
+    merged: int | None = None
 
     def rejects(self) -> DataFrame:
         """Rejected rows as (job, key, reason)."""

@@ -116,5 +116,5 @@ def facts(resolved: DataFrame) -> DataFrame:
 def load(staff: DataFrame, requests: DataFrame, tables) -> Report:
     load_dimensions(staff, requests, tables)
     resolved = resolve(check(requests), tables)
-    tables.insert_absent("fact_inventory_requests", facts(resolved))
-    return Report("requests", "request_id", resolved)
+    merged = tables.insert_absent("fact_inventory_requests", facts(resolved))
+    return Report("requests", "request_id", resolved, merged)

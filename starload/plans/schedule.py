@@ -99,5 +99,5 @@ def load(
     extracted = extract(property_schedule, schedule, properties, projects)
     checked = check(materialize(extracted, "schedule"))
     load_dimensions(checked, tables)
-    tables.upsert("f_property_schedule", resolve(checked, tables))
-    return Report("schedule", "scheduleid", checked)
+    merged = tables.upsert("f_property_schedule", resolve(checked, tables))
+    return Report("schedule", "scheduleid", checked, merged)

@@ -77,5 +77,5 @@ def load(payments: DataFrame, tables) -> Report:
         raise BadAmount(f"payment {bad['key']}: {bad['reason']}")
     lookup.or_fail(checked, created_date(tables))
     load_dimensions(checked, tables)
-    tables.upsert("fact_worker_payments", resolve(checked, tables))
-    return Report("worker_payments", "payment_id", checked)
+    merged = tables.upsert("fact_worker_payments", resolve(checked, tables))
+    return Report("worker_payments", "payment_id", checked, merged)

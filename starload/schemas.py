@@ -80,6 +80,11 @@ _TABLES = [
                ("worker_type", TEXT)),
     _dimension("core_dim_status", "status_key", "status_name"),
     _dimension("core_dim_user", "user_key", "user_email"),
+    Table(
+        "rejects",
+        (("job", TEXT), ("key", TEXT), ("reason", TEXT), ("loaded_at", T.TimestampType())),
+        ("job", "key", "reason", "loaded_at"),
+    ),
     # Vendor names already matched against every stored invoice (payment stream).
     Table("vendors_seen", (("vendor_id", TEXT), ("vendor_name", TEXT)), ("vendor_id", "vendor_name")),
     _fact(

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_AREA: ContextVar[str | None] = ContextVar("scratch area", default=None)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings every load relies on.
 
@@ -36,6 +42,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Keep the copies made inside the block together and drop them at its end."""
+    area = f"{scratch_root(spark)}/starload/{uuid.uuid4().hex}"
+    token = _AREA.set(area)
+    try:
+        yield area
+    finally:
+        _AREA.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(area)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -45,6 +64,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     broadcast.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/starload/{label}-{uuid.uuid4().hex}"
+    area = _AREA.get() or f"{scratch_root(spark)}/starload/session"
+    path = f"{area}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -39,7 +39,7 @@ class SessionTables:
         self._frames[name] = conform(df, name)
 
     def upsert(self, name: str, batch: DataFrame) -> None:
-        """Add or replace rows by natural key."""
+        """Add or replace rows by natural key. Nothing is run, so nothing is counted."""
         batch = conform(batch, name)
         self._frames[name] = (
             upsert(self._frames[name], batch, TABLES[name].natural)

@@ -108,6 +108,12 @@ class Warehouse:
         prefix = BUCKET + "="
         return {f[len(prefix):]: f"{version}/{f}" for f in folders if f.startswith(prefix)}
 
+    def create(self, *names: str) -> None:
+        """Publish the named tables without rows, where they do not exist."""
+        for name in names:
+            if not self.exists(name):
+                self.replace(name, empty(self.spark, name))
+
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows that are known to be new; the files in use stay."""
         pointer = self._pointer(name)
@@ -120,7 +126,11 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame) -> None:
         """Put a whole new table in place."""
         pointer = self._pointer(name)
-        self._switch(name, pointer, {_WHOLE: [self._write(name, df)]})
+        if TABLES[name].fact:
+            written = self._write_buckets(name, df, pointer["buckets"])
+            self._switch(name, pointer, {b: [folder] for b, folder in written.items()})
+        else:
+            self._switch(name, pointer, {_WHOLE: [self._write(name, df)]})
 
     def _touched(self, batch: DataFrame, name: str, buckets: int) -> set[str]:
         # At most one row per bucket reaches the driver.
@@ -133,8 +143,11 @@ class Warehouse:
             verify(staged, name, self.read)
         return staged
 
-    def upsert(self, name: str, batch: DataFrame) -> None:
-        """Add or replace rows by natural key, in the touched buckets only."""
+    def upsert(self, name: str, batch: DataFrame) -> int:
+        """Add or replace rows by natural key, in the touched buckets only.
+
+        Returns the number of rows added or replaced.
+        """
         staged = self._stage(name, batch)
         pointer = self._pointer(name)
         parts = dict(pointer["parts"])
@@ -144,9 +157,13 @@ class Warehouse:
         for b, folder in self._write_buckets(name, merged, pointer["buckets"]).items():
             parts[b] = [folder]
         self._switch(name, pointer, parts)
+        return staged.count()
+
+    def insert_absent(self, name: str, batch: DataFrame) -> int:
+        """Add rows whose natural key is not stored, beside the files in use.
 
-    def insert_absent(self, name: str, batch: DataFrame) -> None:
-        """Add rows whose natural key is not stored, beside the files in use."""
+        Returns the number of rows added.
+        """
         contract = TABLES[name]
         staged = self._stage(name, batch)
         pointer = self._pointer(name)
@@ -158,9 +175,11 @@ class Warehouse:
             fresh = assign_bucket_keys(
                 fresh, stored, contract.natural, contract.surrogate, pointer["buckets"]
             )
-        for b, folder in self._write_buckets(name, fresh, pointer["buckets"]).items():
+        written = self._write_buckets(name, fresh, pointer["buckets"])
+        for b, folder in written.items():
             parts[b] = [*parts.get(b, []), folder]
         self._switch(name, pointer, parts)
+        return self._load(name, list(written.values())).count()
 
     def compact(self, name: str) -> None:
         """Rewrite buckets and dimensions that many small appends have built up."""

@@ -13,7 +13,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from starload.operators.merge import absent
 from starload.plans import payload, payments
-from starload.session import materialize
+from starload.plans.run import run
+from starload.session import materialize, scratch
 from starload.sources.payload import stream_payloads
 from starload.sources.warehouse import Warehouse
 
@@ -34,7 +35,7 @@ def push_requests(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        payload.load(batch, warehouse)
+        run(payload.load, warehouse, batch)
 
     return _start(stream_payloads(spark, folder).writeStream.foreachBatch(load), checkpoint, every)
 
@@ -50,11 +51,12 @@ def load_new_invoices(
     key = ["vendor_id", "vendor_name"]
     vendors = vendors.select(*key).distinct()
     seen = warehouse.read("vendors_seen")
-    unseen = materialize(absent(vendors, seen, key), "new-vendors")
-    payments.load(batch, vendors.join(seen, key, "left_semi"), warehouse)
-    if not unseen.isEmpty():
-        payments.load(stored, unseen, warehouse)
-        warehouse.append("vendors_seen", unseen)
+    with scratch(warehouse.spark):
+        unseen = materialize(absent(vendors, seen, key), "new-vendors")
+        run(payments.load, warehouse, batch, vendors.join(seen, key, "left_semi"))
+        if not unseen.isEmpty():
+            run(payments.load, warehouse, stored, unseen)
+            warehouse.append("vendors_seen", unseen)
 
 
 def follow_invoices(

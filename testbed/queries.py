@@ -267,7 +267,7 @@ def distinct_employees(spark, d):
 
 @query
 def last_wins_batch(spark, d):
-    rows = source(spark, d, "inventory").dropna(subset=["updated_date"])
+    rows = clean.required(source(spark, d, "inventory"), "updated_date")
     return last_wins(rows, ["inventory_id"], total_order(rows, ["updated_date"]))
 
 
