@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,62 +14,59 @@ from starload.operators.clean import required
 from starload.operators.keys import assign_keys, highest, number_groups, number_rows
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
-from starload.session import materialize
-
-
-def new_dates(dates: DataFrame, target: DataFrame) -> DataFrame:
-    """``d_date`` members for the dates in any column of ``dates``."""
-    found = dates.select(
-        F.explode(F.array(*[F.to_date(F.col(c)) for c in dates.columns])).alias("date")
-    ).filter("date IS NOT NULL").distinct()
-    fresh = absent(found, target, ["date"]).select(*calendar(F.col("date")))
-    return materialize(fresh, "dates")
 
 
 def new_members(
-    rows: DataFrame, values: dict[tuple[str, str], Column], targets: dict[str, DataFrame]
+    rows: DataFrame,
+    values: dict[tuple[str, str], Column | list[Column]],
+    targets: dict[str, DataFrame],
 ) -> dict[str, DataFrame]:
-    """New members of several one-column dimensions, found in a single pass.
+    """New members of dates and one-column dimensions, found in a single pass.
 
-    ``values`` maps (dimension, natural column) to the value of a row, NULL where
-    the row offers none. Duplicates are dropped before the shuffle. Members that
-    exist keep their key; new ones are keyed in their order.
+    ``values`` maps (dimension, natural column) to the value a row offers, or to
+    several; NULL offers none. Duplicates are dropped before the shuffle. Members
+    that exist keep their key; new ones are keyed in their order.
     """
     offers = [
         F.struct(F.lit(table).alias("dim"), value.cast("string").alias("member"))
-        for (table, _), value in values.items()
+        for (table, _), found in values.items()
+        for value in (found if isinstance(found, list) else [found])
     ]
     offered = (
         rows.select(F.explode(F.array(*offers)).alias("offer")).select("offer.*")
         .filter("member IS NOT NULL").distinct()
     )
-    known, tops = None, None
-    for table, natural in values:
-        dim = targets[table]
-        one = dim.select(F.lit(table).alias("dim"), F.col(natural).alias("member"))
-        top = dim.select(F.lit(table).alias("dim"), F.col(TABLES[table].surrogate).alias("key"))
-        known = one if known is None else known.unionByName(one)
-        tops = top if tops is None else tops.unionByName(top)
-
-    label = "members-" + "-".join(sorted({table for table, _ in values}))
-    fresh = absent(offered, known, ["dim", "member"])
-    numbered, first = number_groups(fresh, "dim", ["member"], label)
-    # One row per dimension reaches the driver.
-    top = {r["dim"]: r["top"] for r in tops.groupBy("dim").agg(F.max("key").alias("top")).collect()}
-
-    def key(table: str) -> Column:
-        shift = (top.get(table) or 0) + 1 - first.get(table, 0)
-        return F.col("_position") + F.lit(shift)
-
-    return {
-        table: conform(
-            numbered.filter(F.col("dim") == table).select(
-                key(table).alias(TABLES[table].surrogate), F.col("member").alias(natural)
-            ),
-            table,
+    stored = functools.reduce(DataFrame.unionByName, [
+        targets[table].select(
+            F.lit(table).alias("dim"), F.col(natural).cast("string").alias("member"),
+            F.col(TABLES[table].surrogate).cast("long").alias("key"),
         )
         for table, natural in values
-    }
+    ])
+    label = "members-" + "-".join(table for table, _ in values)
+    fresh = absent(offered, stored, ["dim", "member"])
+    numbered, first = number_groups(fresh, "dim", ["member"], label)
+    # One row per dimension reaches the driver.
+    tops = {r["dim"]: r["top"] for r in stored.groupBy("dim").agg(F.max("key").alias("top")).collect()}
+
+    def members(table: str, natural: str) -> DataFrame:
+        own = numbered.filter(F.col("dim") == table)
+        if table == "d_date":
+            return own.select(*calendar(F.col("member").cast("date")))
+        shift = (tops.get(table) or 0) + 1 - first.get(table, 0)
+        key = (F.col("_position") + F.lit(shift)).alias(TABLES[table].surrogate)
+        return conform(own.select(key, F.col("member").alias(natural)), table)
+
+    return {table: members(table, natural) for table, natural in values}
+
+
+def insert_members(
+    rows: DataFrame, values: dict[tuple[str, str], Column | list[Column]], tables
+) -> None:
+    """Add the new members to the target tables."""
+    targets = {table: tables.read(table) for table, _ in values}
+    for table, new in new_members(rows, values, targets).items():
+        tables.append(table, new)
 
 
 def first_seen(

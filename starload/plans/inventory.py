@@ -27,19 +27,17 @@ def check(inventory: DataFrame) -> DataFrame:
 
 def load_dimensions(checked: DataFrame, tables) -> None:
     """A row rejected at a later step still adds the members of earlier steps."""
-    tables.append("d_date", dims.new_dates(checked.select("date"), tables.read("d_date")))
     dated = F.col("date").isNotNull()
     itemed = dated & F.col("item_name").isNotNull()
-    new = dims.new_members(
+    dims.insert_members(
         checked,
         {
+            ("d_date", "date"): F.col("date"),
             ("d_item", "item_name"): F.when(dated, F.col("item_name")),
             ("d_project", "project_name"): F.when(itemed, F.col("location")),
         },
-        {name: tables.read(name) for name in ("d_item", "d_project")},
+        tables,
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
 
 
 def item_and_project(tables) -> list[Lookup]:
@@ -63,4 +61,4 @@ def load(inventory: DataFrame, tables) -> Report:
     checked = check(inventory)
     load_dimensions(checked, tables)
     merged = tables.upsert("f_inventory", resolve(checked, tables))
-    return Report("inventory", "inventory_id", checked, merged)
+    return Report("inventory", "inventory_id", checked, checked, merged)

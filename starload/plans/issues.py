@@ -61,14 +61,11 @@ def load_dimensions(
     checked: DataFrame, projects: DataFrame, properties: DataFrame, tables
 ) -> None:
     """Every issue offers its attributes, also one that is rejected afterwards."""
-    new = dims.new_members(
-        checked,
-        {(dim, natural): F.col(column) for column, (dim, natural, _, _) in ATTRIBUTES.items()},
-        {dim: tables.read(dim) for dim, _, _, _ in ATTRIBUTES.values()},
+    both = F.col("project_id").isNotNull() & F.col("property_id").isNotNull()
+    offers = {(dim, natural): F.col(column) for column, (dim, natural, _, _) in ATTRIBUTES.items()}
+    dims.insert_members(
+        checked, {**offers, ("d_date", "date"): F.when(both, F.col("date"))}, tables
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
-
     placed = checked.filter(F.col("project_id").isNotNull())
     names = _names(placed, projects, "project_id", "project_id", "project_name", "project_name")
     tables.replace("d_project", dims.overwrite(
@@ -79,7 +76,6 @@ def load_dimensions(
     tables.replace("d_property", dims.overwrite(
         names, "d_property", tables.read("d_property"), ["property_name"], ["property_name"]
     ))
-    tables.append("d_date", dims.new_dates(housed.select("date"), tables.read("d_date")))
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
@@ -102,4 +98,4 @@ def load(issues: DataFrame, projects: DataFrame, properties: DataFrame, tables)
     checked = check(issues)
     load_dimensions(checked, projects, properties, tables)
     merged = tables.upsert("fact_issues", resolve(checked, tables))
-    return Report("issues", "issue_id", checked, merged)
+    return Report("issues", "issue_id", checked, checked, merged)

@@ -69,19 +69,15 @@ def load_dimensions(checked: DataFrame, tables) -> None:
     )
     itemed = dated & (reason != "bad item_name")
     placed = itemed & (reason != "bad location")
-    tables.append("d_date", dims.new_dates(
-        checked.filter(dated).select("date"), tables.read("d_date")
-    ))
-    new = dims.new_members(
+    dims.insert_members(
         checked,
         {
+            ("d_date", "date"): F.when(dated, F.col("date")),
             ("d_item", "item_name"): F.when(itemed, F.col("item_name")),
             ("d_project", "project_name"): F.when(placed, F.col("location")),
         },
-        {name: tables.read(name) for name in ("d_item", "d_project")},
+        tables,
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
@@ -96,4 +92,4 @@ def load(payloads: DataFrame, tables) -> Report:
     checked = materialize(check(payloads), "payload")
     load_dimensions(checked, tables)
     merged = tables.upsert("f_inventory_requests", resolve(checked, tables))
-    return Report("payload", "request_id", checked, merged)
+    return Report("payload", "request_id", checked, checked, merged)

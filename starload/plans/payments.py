@@ -47,12 +47,11 @@ def check(extracted: DataFrame) -> DataFrame:
 
 
 def load_dimensions(checked: DataFrame, tables) -> None:
-    tables.append("d_date", dims.new_dates(checked.select("date"), tables.read("d_date")))
-    new = dims.new_members(
-        checked, {("d_invoice", "invoice_id"): F.col("invoice_id")},
-        {"d_invoice": tables.read("d_invoice")},
+    dims.insert_members(
+        checked,
+        {("d_date", "date"): F.col("date"), ("d_invoice", "invoice_id"): F.col("invoice_id")},
+        tables,
     )
-    tables.append("d_invoice", new["d_invoice"])
     seen = checked.select("created_date", "invoice_id", "vendor_id", "vendor_name")
     tables.append(
         "d_vendor",
@@ -79,4 +78,4 @@ def load(invoices: DataFrame, vendors: DataFrame, tables) -> Report:
     checked = check(materialize(extract(invoices, vendors), "payments"))
     load_dimensions(checked, tables)
     merged = tables.insert_absent("f_payments", resolve(checked, tables))
-    return Report("payments", "invoice_id", checked, merged)
+    return Report("payments", "invoice_id", checked, checked, merged)

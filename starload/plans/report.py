@@ -13,12 +13,13 @@ from starload.operators import clean
 class Report:
     """Every source row with the reason it was rejected for, if any.
 
-    ``merged`` is the number of fact rows that were added or replaced, where the
-    tables were published.
+    ``read`` are the same rows before any lookup. ``merged`` is the number of
+    fact rows that were added or replaced, where the tables were published.
     """
 
     job: str
     key: str
+    read: DataFrame
     outcome: DataFrame
     merged: int | None = None
 

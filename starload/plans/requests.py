@@ -64,16 +64,14 @@ def load_dimensions(staff: DataFrame, requests: DataFrame, tables) -> dict[str,
         "d_employees", dims.first_seen(employees(staff), "d_employees", tables.read("d_employees"))
     )
     type_, status = F.col("item_type"), F.col("status")
-    new = dims.new_members(
+    dims.insert_members(
         requests,
         {
             ("d_item_type", "item_type"): F.when(nonblank(type_), type_),
             ("d_request_status", "status_name"): F.when(nonblank(status), status),
         },
-        {name: tables.read(name) for name in ("d_item_type", "d_request_status")},
+        tables,
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
     return purge_blanks(tables)
 
 
@@ -115,6 +113,7 @@ def facts(resolved: DataFrame) -> DataFrame:
 
 def load(staff: DataFrame, requests: DataFrame, tables) -> Report:
     load_dimensions(staff, requests, tables)
-    resolved = resolve(check(requests), tables)
+    checked = check(requests)
+    resolved = resolve(checked, tables)
     merged = tables.insert_absent("fact_inventory_requests", facts(resolved))
-    return Report("requests", "request_id", resolved, merged)
+    return Report("requests", "request_id", checked, resolved, merged)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.plans.report import Report
-from starload.session import configure, scratch
+from starload.session import configure, materialize, scratch
 from starload.sources.warehouse import Warehouse
 
 
@@ -21,9 +21,11 @@ def run(load: Callable[..., Report], warehouse: Warehouse, *sources: DataFrame)
     spark = configure(warehouse.spark)
     with scratch(spark):
         report = load(*sources, warehouse)
+        rejects = materialize(report.rejects(), "rejects")
         # One row per reason reaches the driver.
-        counts = {row["outcome"]: row["n_rows"] for row in report.counters().collect()}
-        if set(counts) - {"loaded"}:
-            rejects = report.rejects().withColumn("loaded_at", F.current_timestamp())
-            warehouse.append("rejects", rejects)
-    return {"retrieved": sum(counts.values()), **counts, "merged": report.merged}
+        counts = {r["reason"]: r["count"] for r in rejects.groupBy("reason").count().collect()}
+        retrieved = report.read.count()
+        if counts:
+            warehouse.append("rejects", rejects.withColumn("loaded_at", F.current_timestamp()))
+    loaded = retrieved - sum(counts.values())
+    return {"retrieved": retrieved, "loaded": loaded, **counts, "merged": report.merged}

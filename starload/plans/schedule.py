@@ -51,9 +51,6 @@ def check(extracted: DataFrame) -> DataFrame:
 
 def load_dimensions(checked: DataFrame, tables) -> None:
     """Rows rejected later still add dates and refresh project and property."""
-    tables.append(
-        "d_date", dims.new_dates(checked.select("startdate", "enddate"), tables.read("d_date"))
-    )
     projects = checked.select("project_id", "project_name").distinct()
     tables.replace("d_project", dims.overwrite(
         projects, "d_project", tables.read("d_project"), ["project_name"], ["project_name"]
@@ -66,16 +63,15 @@ def load_dimensions(checked: DataFrame, tables) -> None:
         ["project_name", *attributes],
     ))
     phase = F.when(sound, F.col("phasename"))
-    new = dims.new_members(
+    dims.insert_members(
         checked,
         {
+            ("d_date", "date"): [F.col("startdate"), F.col("enddate")],
             ("d_phase", "phase_name"): phase,
             ("d_status", "status_name"): F.when(phase.isNotNull(), F.col("status")),
         },
-        {name: tables.read(name) for name in ("d_phase", "d_status")},
+        tables,
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
@@ -100,4 +96,4 @@ def load(
     checked = check(materialize(extracted, "schedule"))
     load_dimensions(checked, tables)
     merged = tables.upsert("f_property_schedule", resolve(checked, tables))
-    return Report("schedule", "scheduleid", checked, merged)
+    return Report("schedule", "scheduleid", checked, checked, merged)

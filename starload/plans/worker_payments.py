@@ -43,16 +43,14 @@ def load_dimensions(checked: DataFrame, tables) -> None:
         checked.select("created_at", "worker_id", *attributes, "payment_id"), "core_dim_worker",
         tables.read("core_dim_worker"), attributes, ["created_at"],
     ))
-    new = dims.new_members(
+    dims.insert_members(
         checked,
         {
             ("core_dim_status", "status_name"): F.col("status"),
             ("core_dim_user", "user_email"): F.col("created_by"),
         },
-        {name: tables.read(name) for name in ("core_dim_status", "core_dim_user")},
+        tables,
     )
-    for name, rows in new.items():
-        tables.append(name, rows)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
@@ -78,4 +76,4 @@ def load(payments: DataFrame, tables) -> Report:
     lookup.or_fail(checked, created_date(tables))
     load_dimensions(checked, tables)
     merged = tables.upsert("fact_worker_payments", resolve(checked, tables))
-    return Report("worker_payments", "payment_id", checked, merged)
+    return Report("worker_payments", "payment_id", checked, checked, merged)

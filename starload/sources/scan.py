@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.session import materialize
+
 
 def scan(
     spark: SparkSession, location: str, columns: Sequence[str] | Mapping[str, str],
@@ -33,10 +35,11 @@ def scan_jdbc(
     spark: SparkSession, url: str, table: str, columns: Sequence[str] | Mapping[str, str],
     split_on: str, partitions: int, **options: str,
 ) -> DataFrame:
-    """A database table, read by ``partitions`` tasks over ranges of ``split_on``.
+    """A copy of a database table, read by ``partitions`` tasks over ``split_on``.
 
-    The range bounds are asked from the database. The driver jar of the database
-    must be on the class path.
+    The range bounds are asked from the database. The copy is made once, as a
+    load passes over its source several times and the table may change meanwhile.
+    The driver jar of the database must be on the class path.
     """
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     ends = (
@@ -50,4 +53,4 @@ def scan_jdbc(
             reader.option("partitionColumn", split_on).option("numPartitions", str(partitions))
             .option("lowerBound", str(ends["lo"])).option("upperBound", str(ends["hi"]))
         )
-    return project(reader.load(), columns)
+    return materialize(project(reader.load(), columns), "scan")

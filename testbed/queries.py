@@ -67,9 +67,7 @@ def known_members(spark: SparkSession, d: str) -> SessionTables:
         rows = source(spark, d, {"d_item": "known_items", "d_project": "known_projects",
                                  "d_property": "known_properties"}[name])
         if name == "d_item":
-            new = dims.new_members(rows, {(name, "item_name"): F.col("item_name")},
-                                   {name: tables.read(name)})
-            tables.append(name, new[name])
+            dims.insert_members(rows, {(name, "item_name"): F.col("item_name")}, tables)
         else:
             tables.append(name, dims.first_seen(rows, name, tables.read(name)))
     return tables
@@ -282,8 +280,12 @@ def first_wins_batch(spark, d):
 
 @query
 def dim_date(spark, d):
-    target = SessionTables(spark).read("d_date")
-    return dims.new_dates(schedule_extract(spark, d).select("startdate", "enddate"), target)
+    tables = SessionTables(spark)
+    rows = schedule_extract(spark, d)
+    dims.insert_members(
+        rows, {("d_date", "date"): [F.col("startdate"), F.col("enddate")]}, tables
+    )
+    return tables.read("d_date")
 
 
 
