@@ -21,9 +21,13 @@ def classify(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     return df.withColumn(REASON, F.coalesce(*earlier, *found))
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """Rows that passed every check."""
-    return df.filter(F.col(REASON).isNull()).drop(REASON)
+def kept(df: DataFrame, *present: str) -> DataFrame:
+    """Rows that passed every check.
+
+    ``present`` names columns no such row lacks; unlike the checks as a whole,
+    this can be tested by the scan.
+    """
+    return required(df, *present).filter(F.col(REASON).isNull()).drop(REASON)
 
 
 def rejects(df: DataFrame, job: str, key: str) -> DataFrame:

@@ -76,7 +76,7 @@ def first_seen(
     contract = TABLES[table]
     natural = list(contract.natural)
     rows = required(rows, *natural)
-    first = first_wins(rows, natural, total_order(rows, order))
+    first = first_wins(rows, natural, total_order(rows, order, natural))
     members = absent(first, target, natural).select(
         *[c for c in contract.names if c in rows.columns]
     )
@@ -95,7 +95,7 @@ def overwrite(
     contract = TABLES[table]
     key, natural = contract.surrogate, list(contract.natural)
     rows = required(rows, *natural)
-    last = last_wins(rows, natural, total_order(rows, order)).select(*natural, *attributes)
+    last = last_wins(rows, natural, total_order(rows, order, natural)).select(*natural, *attributes)
     stored = target.select(*[c for c in contract.names if c not in attributes])
     # New members sort first, so that their positions are dense from 0.
     merged = last.join(stored, natural, "left").withColumn("_known", F.col(key).isNotNull())

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def total_order(df: DataFrame, first: Sequence[str]) -> list[str]:
-    """``first``, then every other column, so that only equal rows can tie."""
-    return [*first, *[c for c in df.columns if c not in first]]
+def total_order(df: DataFrame, first: Sequence[str], skip: Sequence[str] = ()) -> list[str]:
+    """``first``, then every other column, so that only equal rows can tie.
+
+    ``skip`` names columns that cannot differ where the others are equal.
+    """
+    return [*first, *[c for c in df.columns if c not in first and c not in skip]]
 
 
 def _one_per_key(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:

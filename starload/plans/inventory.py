@@ -51,10 +51,12 @@ def item_and_project(tables) -> list[Lookup]:
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """One row per inventory id with its keys."""
-    rows = clean.kept(checked)
-    last = last_wins(rows, ["inventory_id"], total_order(rows, ["updated_date"]))
+    rows = clean.kept(checked, "inventory_id", "item_name", "location", "updated_date")
     dated = Lookup("date", tables.read("d_date"), "date", "date_key", "date_key")
-    return lookup.or_null(last, [dated, *item_and_project(tables)])
+    found = lookup.or_null(rows, [dated, *item_and_project(tables)])
+    # The reduction comes last: its shuffle is the one the fact is written by.
+    order = total_order(rows, ["updated_date"], ["inventory_id", "date"])
+    return last_wins(found, ["inventory_id"], order)
 
 
 def load(inventory: DataFrame, tables) -> Report:

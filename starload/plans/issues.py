@@ -80,9 +80,8 @@ def load_dimensions(
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """One row per issue with its keys."""
-    rows = clean.kept(checked)
-    last = last_wins(rows, ["issue_id"], total_order(rows, ["updated_at"]))
-    return lookup.or_null(last, [
+    rows = clean.kept(checked, "issue_id", "project_id", "property_id", "updated_at")
+    found = lookup.or_null(rows, [
         Lookup("project_id", tables.read("d_project"), "project_id", "project_key", "project_key"),
         Lookup("property_id", tables.read("d_property"), "property_id", "property_key",
                "property_key"),
@@ -92,6 +91,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
         ],
         Lookup("date", tables.read("d_date"), "date", "date_key", "updated_date_key"),
     ])
+    return last_wins(found, ["issue_id"], total_order(rows, ["updated_at"], ["issue_id", "date"]))
 
 
 def load(issues: DataFrame, projects: DataFrame, properties: DataFrame, tables) -> Report:

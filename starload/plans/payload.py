@@ -82,9 +82,10 @@ def load_dimensions(checked: DataFrame, tables) -> None:
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """One row per request with its keys."""
-    last = last_wins(clean.kept(checked), ["request_id"], ["arrival", "position"])
+    rows = clean.kept(checked, "request_id", "date")
     dated = Lookup("date", tables.read("d_date"), "date", "date_key", "date_key")
-    return lookup.or_null(last, [dated, *item_and_project(tables)])
+    found = lookup.or_null(rows, [dated, *item_and_project(tables)])
+    return last_wins(found, ["request_id"], ["arrival", "position"])
 
 
 def load(payloads: DataFrame, tables) -> Report:

@@ -10,6 +10,7 @@ from starload.operators.fuzzy import fuzzy_join
 from starload.operators.lookup import Lookup
 from starload.operators.merge import first_wins, total_order
 from starload.plans.report import Report
+from starload.schemas import TABLES
 from starload.session import materialize
 
 AMOUNTS = ("amount_to_pay", "paid_amount", "overdue_amount", "taxes_sgst", "taxes_cgst")
@@ -61,16 +62,15 @@ def load_dimensions(checked: DataFrame, tables) -> None:
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """The first row per vendor, invoice and date, with its keys."""
-    rows = clean.kept(checked)
-    first = first_wins(
-        rows, ["vendor_id", "invoice_id", "date"], total_order(rows, ["created_date"])
-    )
-    return lookup.or_null(first, [
+    rows = clean.kept(checked, "vendor_id")
+    found = lookup.or_null(rows, [
         Lookup("vendor_id", tables.read("d_vendor"), "vendor_id", "vendor_key", "vendor_key"),
         Lookup("invoice_id", tables.read("d_invoice"), "invoice_id", "invoice_key",
                "invoice_key"),
         Lookup("date", tables.read("d_date"), "date", "date_key", "date_key"),
     ])
+    order = total_order(rows, ["created_date"], ["vendor_id", "invoice_id", "date"])
+    return first_wins(found, TABLES["f_payments"].natural, order)
 
 
 def load(invoices: DataFrame, vendors: DataFrame, tables) -> Report:

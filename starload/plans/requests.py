@@ -106,8 +106,9 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 def facts(resolved: DataFrame) -> DataFrame:
     """The first request of each id, in fact columns."""
-    rows = clean.kept(resolved)
-    first = first_wins(rows, ["request_id"], total_order(rows, ["updated_at"]))
+    rows = clean.kept(resolved, *REQUIRED)
+    order = total_order(rows.select(*REQUEST), ["updated_at"], ["request_id"])
+    first = first_wins(rows, ["request_id"], order)
     return first.withColumn("status", F.col("request_status_key"))
 
 

@@ -76,15 +76,16 @@ def load_dimensions(checked: DataFrame, tables) -> None:
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """One row per schedule with its keys."""
-    rows = clean.kept(checked)
-    last = last_wins(rows, ["scheduleid"], total_order(rows, ORDER))
-    return lookup.or_null(last, [
+    rows = clean.kept(checked, "scheduleid", "phasename", "status")
+    found = lookup.or_null(rows, [
         Lookup("project_id", tables.read("d_project"), "project_id", "project_key", "project_key"),
         Lookup("property_id", tables.read("d_property"), "property_id", "property_key",
                "property_key"),
         Lookup("phasename", tables.read("d_phase"), "phase_name", "phase_key", "phase_key"),
         Lookup("status", tables.read("d_status"), "status_name", "status_key", "status_key"),
     ])
+    order = total_order(rows, ORDER, ["scheduleid", "start_date_key", "end_date_key"])
+    return last_wins(found, ["scheduleid"], order)
 
 
 def load(

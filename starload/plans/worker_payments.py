@@ -55,9 +55,8 @@ def load_dimensions(checked: DataFrame, tables) -> None:
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
     """One row per payment with its keys; raises on an unknown date."""
-    dated = lookup.or_fail(clean.kept(checked), created_date(tables))
-    last = last_wins(dated, ["payment_id"], total_order(dated, ["created_at"]))
-    return lookup.or_null(last, [
+    rows = clean.kept(checked)
+    found = lookup.or_null(lookup.or_fail(rows, created_date(tables)), [
         Lookup("worker_id", tables.read("core_dim_worker"), "worker_id", "worker_key",
                "worker_key"),
         Lookup("status", tables.read("core_dim_status"), "status_name", "status_key",
@@ -65,6 +64,8 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
         Lookup("created_by", tables.read("core_dim_user"), "user_email", "user_key",
                "created_by_key"),
     ])
+    order = total_order(rows, ["created_at"], ["payment_id", "created_date"])
+    return last_wins(found, ["payment_id"], order)
 
 
 def load(payments: DataFrame, tables) -> Report:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.checks import verify
 from starload.operators.keys import assign_bucket_keys, bucket
-from starload.operators.merge import absent, upsert
+from starload.operators.merge import absent
 from starload.schemas import TABLES, conform, empty
 from starload.session import materialize
 
@@ -30,10 +30,13 @@ _WHOLE = "all"
 class Warehouse:
     """The published tables below a root folder all executors share."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, check: bool = True):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 check: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        # With as many buckets as shuffle partitions, the last shuffle of a load
+        # leaves one bucket per task. A table keeps the number it began with.
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.check = check
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -132,32 +135,30 @@ class Warehouse:
         else:
             self._switch(name, pointer, {_WHOLE: [self._write(name, df)]})
 
-    def _touched(self, batch: DataFrame, name: str, buckets: int) -> set[str]:
-        # At most one row per bucket reaches the driver.
-        found = batch.select(bucket(TABLES[name].natural, buckets).alias("b")).distinct().collect()
-        return {str(row["b"]) for row in found}
-
-    def _stage(self, name: str, batch: DataFrame) -> DataFrame:
-        staged = materialize(conform(batch, name), f"batch-{name}")
+    def _check(self, name: str, rows: DataFrame) -> None:
         if self.check:
-            verify(staged, name, self.read)
-        return staged
+            verify(rows, name, self.read)
 
     def upsert(self, name: str, batch: DataFrame) -> int:
-        """Add or replace rows by natural key, in the touched buckets only.
+        """Add or replace rows by natural key; returns their number.
 
-        Returns the number of rows added or replaced.
+        The batch is written once, by bucket. Of the stored rows only those in a
+        bucket of the batch are read, and written again without the replaced ones.
         """
-        staged = self._stage(name, batch)
         pointer = self._pointer(name)
         parts = dict(pointer["parts"])
-        touched = self._touched(staged, name, pointer["buckets"])
-        stored = self._load(name, [p for b in touched for p in parts.get(b, [])])
-        merged = upsert(stored, staged, TABLES[name].natural)
-        for b, folder in self._write_buckets(name, merged, pointer["buckets"]).items():
-            parts[b] = [folder]
+        written = self._write_buckets(name, batch, pointer["buckets"])
+        rows = self._load(name, list(written.values()))
+        self._check(name, rows)
+        near = [p for b in written for p in parts.get(b, [])]
+        survivors = {}
+        if near:
+            left = absent(self._load(name, near), rows, TABLES[name].natural)
+            survivors = self._write_buckets(name, left, pointer["buckets"])
+        for b, folder in written.items():
+            parts[b] = [folder, survivors[b]] if b in survivors else [folder]
         self._switch(name, pointer, parts)
-        return staged.count()
+        return rows.count()
 
     def insert_absent(self, name: str, batch: DataFrame) -> int:
         """Add rows whose natural key is not stored, beside the files in use.
@@ -165,10 +166,13 @@ class Warehouse:
         Returns the number of rows added.
         """
         contract = TABLES[name]
-        staged = self._stage(name, batch)
         pointer = self._pointer(name)
         parts = dict(pointer["parts"])
-        touched = self._touched(staged, name, pointer["buckets"])
+        staged = materialize(conform(batch, name), f"batch-{name}")
+        self._check(name, staged)
+        # At most one row per bucket reaches the driver.
+        near = staged.select(bucket(contract.natural, pointer["buckets"]).alias("b")).distinct()
+        touched = [str(row["b"]) for row in near.collect()]
         stored = self._load(name, [p for b in touched for p in parts.get(b, [])])
         fresh = absent(staged, stored, contract.natural)
         if contract.surrogate:
@@ -197,6 +201,25 @@ class Warehouse:
                 parts[b] = [folder]
         self._switch(name, pointer, parts)
 
+    def vacuum(self, name: str) -> None:
+        """Delete files the current pointer does not name.
+
+        For quiet times: a reader that began before the last load needs them.
+        """
+        used = {p for paths in self._pointer(name)["parts"].values() for p in paths}
+        base = self._path(f"{self.root}/{name}/data")
+        for version in self._fs.listStatus(base) if self._fs.exists(base) else []:
+            whole = f"data/{version.getPath().getName()}"
+            if whole in used:
+                continue
+            inside = [f.getPath() for f in self._fs.listStatus(version.getPath())]
+            unused = [p for p in inside if f"{whole}/{p.getName()}" not in used]
+            if len(unused) == len(inside):
+                self._fs.delete(version.getPath(), True)
+            else:
+                for path in unused:
+                    self._fs.delete(path, True)
+
 
 def merge_catalog_table(batch: DataFrame, table: str, key: list[str], update: bool = True) -> None:
     """The same merge for a catalog table that supports row-level operations.

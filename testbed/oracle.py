@@ -93,7 +93,7 @@ ORACLE["check_foreign_keys"] = with_([*INVENTORY, src("core_dim_date", "days")],
     WHERE date_key NOT IN (SELECT date_key FROM days) GROUP BY date_key""")
 ORACLE["empty_target_bootstrap"] = with_(
     [src("inventory"), ("dated", "SELECT * FROM src WHERE updated_date IS NOT NULL")], """
-    SELECT 'd_date' AS table_name, 0 AS rows_before,
+    SELECT 'd_date' AS table_name, CAST(0 AS BIGINT) AS rows_before,
            count(DISTINCT CAST(updated_date AS DATE)) AS rows_after FROM dated
     UNION ALL SELECT 'd_item', 0, count(DISTINCT item_name) FROM dated
     UNION ALL SELECT 'd_project', 0, count(DISTINCT location) FROM dated
@@ -381,7 +381,8 @@ ORACLE["dim_worker_scd1"] = with_(WORKERS, f"""
     FROM ({best('wp', 'worker_id', ['created_at', 'worker_name', 'worker_type', 'payment_id'],
                 LAST)}) x JOIN worker ON worker.m = worker_id""")
 ORACLE["resolve_worker_dates"] = with_([*WORKERS, src("core_dim_date", "days")], f"""
-    SELECT payment_id, {day('created_at')} AS created_date, date_key AS created_date_key
+    SELECT payment_id, {day("created_at")} AS created_date,
+           CAST(date_key AS INTEGER) AS created_date_key
     FROM wp JOIN days ON full_date = CAST(created_at AS DATE)""")
 ORACLE["strict_date_misses"] = with_([*WORKERS, src("shipping_dates", "days")], f"""
     SELECT {day('created_at')} AS value, count(*) AS n_rows FROM wp

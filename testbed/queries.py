@@ -266,13 +266,13 @@ def distinct_employees(spark, d):
 @query
 def last_wins_batch(spark, d):
     rows = clean.required(source(spark, d, "inventory"), "updated_date")
-    return last_wins(rows, ["inventory_id"], total_order(rows, ["updated_date"]))
+    return last_wins(rows, ["inventory_id"], total_order(rows, ["updated_date"], ["inventory_id"]))
 
 
 @query
 def first_wins_batch(spark, d):
     rows = project(source(spark, d, "inventory_requests"), requests.REQUEST)
-    return first_wins(rows, ["request_id"], total_order(rows, ["updated_at"]))
+    return first_wins(rows, ["request_id"], total_order(rows, ["updated_at"], ["request_id"]))
 
 
 # Dimensions and keys

@@ -53,6 +53,7 @@ def test_upsert_rewrites_only_touched_buckets(spark, warehouse):
     inventory.load(stock(spark, [7], quantity=9), warehouse)
     after = warehouse._pointer("f_inventory")["parts"]
     assert sum(before[b] != after[b] for b in before) == 1
+    warehouse.vacuum("f_inventory")
     assert warehouse.read("f_inventory").count() == 40
     assert rows(warehouse.read("f_inventory").filter("inventory_id = '7'"), "quantity") == [(9.0,)]
 
