@@ -69,13 +69,21 @@ def insert_members(
         tables.append(table, new)
 
 
+def _identified(rows: DataFrame, table: str) -> DataFrame:
+    """Rows that name their member, with the natural key in the type of the table."""
+    contract = TABLES[table]
+    types = dict(contract.columns)
+    rows = required(rows, *contract.natural)
+    return rows.withColumns({c: F.col(c).cast(types[c]) for c in contract.natural})
+
+
 def first_seen(
     rows: DataFrame, table: str, target: DataFrame, order: Sequence[str] = ()
 ) -> DataFrame:
     """New members with attributes; the first row of a member gives them."""
     contract = TABLES[table]
     natural = list(contract.natural)
-    rows = required(rows, *natural)
+    rows = _identified(rows, table)
     first = first_wins(rows, natural, total_order(rows, order, natural))
     members = absent(first, target, natural).select(
         *[c for c in contract.names if c in rows.columns]
@@ -94,7 +102,7 @@ def overwrite(
     """
     contract = TABLES[table]
     key, natural = contract.surrogate, list(contract.natural)
-    rows = required(rows, *natural)
+    rows = _identified(rows, table)
     last = last_wins(rows, natural, total_order(rows, order, natural)).select(*natural, *attributes)
     stored = target.select(*[c for c in contract.names if c not in attributes])
     # New members sort first, so that their positions are dense from 0.

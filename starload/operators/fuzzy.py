@@ -101,10 +101,10 @@ def blocked_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def name_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Matching pairs of lower-case names, by the way their number allows."""
-    left, right = materialize(left, "left-names"), materialize(right, "right-names")
+    right = materialize(right, "right-names")
     if right.limit(NESTED_LIMIT + 1).count() <= NESTED_LIMIT:
         return nested_pairs(left, right)
-    return blocked_pairs(left, right)
+    return blocked_pairs(materialize(left, "left-names"), right)
 
 
 def fuzzy_join(

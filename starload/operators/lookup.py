@@ -41,7 +41,8 @@ def or_null(df: DataFrame, lookups: list[Lookup]) -> DataFrame:
         side = one.dimension.select(
             F.col(one.natural).alias("_natural"), F.col(one.key).alias(one.output)
         )
-        df = df.join(side, df[one.column] == side["_natural"], "left").drop("_natural")
+        value = F.col(one.column).cast(side.schema["_natural"].dataType)
+        df = df.join(side, value == side["_natural"], "left").drop("_natural")
     return df
 
 
@@ -55,10 +56,9 @@ def or_reject(df: DataFrame, lookups: list[Lookup]) -> DataFrame:
 
 def misses(df: DataFrame, lookup: Lookup) -> DataFrame:
     """Values without a member, NULL included, and the rows that hold them."""
-    counted = df.groupBy(F.col(lookup.column).alias("value")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
     side = lookup.dimension.select(F.col(lookup.natural).alias("_natural"))
+    value = F.col(lookup.column).cast(side.schema["_natural"].dataType)
+    counted = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.join(side, counted["value"] == side["_natural"], "left_anti")
 
 

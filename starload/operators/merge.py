@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+class Conflict(RuntimeError):
+    """Another writer published the table meanwhile; running the load again is safe."""
+
+
 def total_order(df: DataFrame, first: Sequence[str], skip: Sequence[str] = ()) -> list[str]:
     """``first``, then every other column, so that only equal rows can tie.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +15,8 @@ class Report:
 
     ``read`` are the same rows before any lookup. ``merged`` is the number of
     fact rows that were added or replaced, where the tables were published.
+    ``blanks`` are the blank members a purge found, by dimension, with whether a
+    fact still refers to them; those were kept.
     """
 
     job: str
@@ -22,6 +24,7 @@ class Report:
     read: DataFrame
     outcome: DataFrame
     merged: int | None = None
+    blanks: dict[str, DataFrame] = field(default_factory=dict)
 
     def rejects(self) -> DataFrame:
         """Rejected rows as (job, key, reason)."""

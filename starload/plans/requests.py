@@ -113,8 +113,8 @@ def facts(resolved: DataFrame) -> DataFrame:
 
 
 def load(staff: DataFrame, requests: DataFrame, tables) -> Report:
-    load_dimensions(staff, requests, tables)
+    blanks = load_dimensions(staff, requests, tables)
     checked = check(requests)
     resolved = resolve(checked, tables)
     merged = tables.insert_absent("fact_inventory_requests", facts(resolved))
-    return Report("requests", "request_id", checked, resolved, merged)
+    return Report("requests", "request_id", checked, resolved, merged, blanks)

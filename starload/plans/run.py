@@ -7,25 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.operators.merge import Conflict
 from starload.plans.report import Report
 from starload.session import configure, materialize, scratch
 from starload.sources.warehouse import Warehouse
 
 
-def run(load: Callable[..., Report], warehouse: Warehouse, *sources: DataFrame) -> dict[str, int]:
+def run(
+    load: Callable[..., Report], warehouse: Warehouse, *sources: DataFrame, attempts: int = 3
+) -> dict[str, int]:
     """Load, keep the rejected rows and return the counts of the run.
 
     "loaded" counts the source rows that passed every check, "merged" the fact
-    rows they added or replaced; the rest are the reasons of rejection.
+    rows they added or replaced; the rest are the reasons of rejection. A load
+    that met another writer of one of its tables is run again.
     """
     spark = configure(warehouse.spark)
     with scratch(spark):
-        report = load(*sources, warehouse)
+        for left in reversed(range(attempts)):
+            try:
+                report = load(*sources, warehouse)
+                break
+            except Conflict:
+                if not left:
+                    raise
         rejects = materialize(report.rejects(), "rejects")
         # One row per reason reaches the driver.
         counts = {r["reason"]: r["count"] for r in rejects.groupBy("reason").count().collect()}
         retrieved = report.read.count()
         if counts:
             warehouse.append("rejects", rejects.withColumn("loaded_at", F.current_timestamp()))
+        held = {
+            f"blank members kept in {name}": found.filter("referenced").count()
+            for name, found in report.blanks.items()
+        }
     loaded = retrieved - sum(counts.values())
-    return {"retrieved": retrieved, "loaded": loaded, **counts, "merged": report.merged}
+    return {"retrieved": retrieved, "loaded": loaded, **counts, "merged": report.merged, **held}

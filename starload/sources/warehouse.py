@@ -6,7 +6,7 @@ pointer. A load that fails before that leaves the table as it was, and a reader
 sees either all of a load or none of it.
 
 Facts are kept in hash buckets of their natural key, and an upsert rewrites only
-the buckets its batch touches. One writer per table at a time.
+the buckets its batch touches. Of two writers of a table the later one is refused.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.checks import verify
 from starload.operators.keys import assign_bucket_keys, bucket
-from starload.operators.merge import absent
+from starload.operators.merge import Conflict, absent
 from starload.schemas import TABLES, conform, empty
 from starload.session import materialize
 
@@ -38,6 +38,7 @@ class Warehouse:
         # leaves one bucket per task. A table keeps the number it began with.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.check = check
+        self._seen: dict[str, dict] = {}
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -75,7 +76,7 @@ class Warehouse:
             stream.close()
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             self._fs.delete(draft, False)
-            raise RuntimeError(f"{name} was published by another writer meanwhile")
+            raise Conflict(f"{name} was published by another writer meanwhile")
 
     # Reading
 
@@ -91,8 +92,9 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """The published table, empty but with its columns before its first load."""
-        parts = self._pointer(name)["parts"]
-        return self._load(name, sorted({p for paths in parts.values() for p in paths}))
+        pointer = self._seen[name] = self._pointer(name)
+        paths = {p for paths in pointer["parts"].values() for p in paths}
+        return self._load(name, sorted(paths))
 
     # Writing
 
@@ -118,17 +120,27 @@ class Warehouse:
                 self.replace(name, empty(self.spark, name))
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows that are known to be new; the files in use stay."""
-        pointer = self._pointer(name)
+        """Add rows that are known to be new; the files in use stay.
+
+        Rows keyed by what was read before are refused if the table has changed.
+        """
         version = self._write(name, rows)
-        parts = dict(pointer["parts"])
-        if not parts or not self._load(name, [version]).isEmpty():
+        seen = self._seen.pop(name, None) if TABLES[name].surrogate else None
+        if self.exists(name) and self._load(name, [version]).isEmpty():
+            return
+        for last in (False, False, False, True):
+            pointer = seen or self._pointer(name)
+            parts = dict(pointer["parts"])
             parts[_WHOLE] = [*parts.get(_WHOLE, []), version]
-            self._switch(name, pointer, parts)
+            try:
+                return self._switch(name, pointer, parts)
+            except Conflict:
+                if seen or last:
+                    raise
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Put a whole new table in place."""
-        pointer = self._pointer(name)
+        """Put a whole new table in place, unless it changed since it was read."""
+        pointer = self._seen.pop(name, None) or self._pointer(name)
         if TABLES[name].fact:
             written = self._write_buckets(name, df, pointer["buckets"])
             self._switch(name, pointer, {b: [folder] for b, folder in written.items()})

@@ -83,6 +83,21 @@ def test_lookups(spark):
     assert rows(lookup.misses(df, both[0])) == [("z", 1), (None, 1)]
 
 
+def test_numeric_source_ids_meet_text_members(spark):
+    tables = session_tables(spark)
+    rows_in = frame(spark, "project_id int, project_name string", (7, "Seven"), (None, "x"))
+    for name in ("Seven", "Sept"):
+        tables.replace("d_project", dims.overwrite(
+            rows_in.withColumn("project_name", F.lit(name)), "d_project",
+            tables.read("d_project"), ["project_name"]))
+    tables.append("d_vendor", dims.first_seen(
+        frame(spark, "vendor_id int, vendor_name string", (1, "a")), "d_vendor",
+        tables.read("d_vendor")))
+    assert rows(tables.read("d_project")) == [(1, "7", "Sept")]
+    one = lookup.Lookup("project_id", tables.read("d_project"), "project_id", "project_key", "k")
+    assert rows(lookup.or_null(rows_in, [one]), "project_id", "k") == [(7, 1), (None, None)]
+
+
 def test_checks(spark):
     fact = frame(spark, "inventory_id string, item_key long, project_key long, date_key int",
                  ("1", 1, 1, 20240101), ("1", 9, None, 20240101))

@@ -5,11 +5,13 @@ from helpers import (
     EMPLOYEES, INVENTORY, INVOICES, PAYMENTS, REQUESTS, VENDORS, at, frame, invoice, members,
     rows, session_tables, worker_payment,
 )
+from starload.operators import keys
 from starload.operators.checks import ConstraintViolation
 from starload.operators.lookup import UnknownMember
+from starload.operators.merge import Conflict
 from starload.plans import inventory, payments, requests, worker_payments
 from starload.plans.run import run
-from starload.sources.warehouse import Warehouse
+from starload.sources.warehouse import Warehouse, merge_catalog_table
 from test_jobs import Q, REQUEST_MEMBERS, known_days, request
 
 
@@ -79,10 +81,39 @@ def test_second_writer_is_refused(spark, warehouse):
     inventory.load(stock(spark, range(3)), warehouse)
     old = warehouse._pointer("d_item")
     inventory.load(stock(spark, range(3), "bolt"), warehouse)
-    with pytest.raises(RuntimeError, match="another writer"):
+    with pytest.raises(Conflict, match="another writer"):
         warehouse._switch("d_item", old, old["parts"])
 
 
+def test_keys_made_from_an_old_read_are_refused(spark, warehouse):
+    other = Warehouse(spark, warehouse.root, buckets=4)
+    inventory.load(stock(spark, range(3)), warehouse)
+    stale = keys.assign_keys(frame(spark, "item_name string", ("cog",)),
+                             warehouse.read("d_item"), "item_key", ["item_name"], "test")
+    inventory.load(stock(spark, range(3), "bolt"), other)
+    with pytest.raises(Conflict):
+        warehouse.append("d_item", stale)
+    assert rows(warehouse.read("d_item")) == [(1, "nail"), (2, "bolt")]
+
+
+def test_run_repeats_a_load_that_met_another_writer(spark, warehouse, monkeypatch):
+    inventory.load(stock(spark, range(3)), warehouse)
+    other = Warehouse(spark, warehouse.root, buckets=4)
+    append, met = warehouse.append, []
+
+    def late(name, df):
+        if name == "d_item" and not met:
+            met.append(inventory.load(stock(spark, [8], "bolt"), other))
+        append(name, df)
+
+    monkeypatch.setattr(warehouse, "append", late)
+    run(inventory.load, warehouse, stock(spark, [9], "axe"))
+    assert met
+    assert rows(warehouse.read("d_item")) == [(1, "nail"), (2, "bolt"), (3, "axe")]
+    assert rows(warehouse.read("f_inventory"), "inventory_id", "item_key") == [
+        ("0", 1), ("1", 1), ("2", 1), ("8", 2), ("9", 3)]
+
+
 def test_broken_batches_are_refused(spark, warehouse):
     inventory.load(stock(spark, range(3)), warehouse)
     fact = warehouse.read("f_inventory")
@@ -123,6 +154,12 @@ def test_requests_and_compaction(spark, warehouse):
     assert all(len(paths) == 1 for paths in parts.values())
     requests.load(staff, frame(spark, REQUESTS, request("99")), warehouse)
     assert warehouse.read("fact_inventory_requests").select("request_key").distinct().count() == 19
+    warehouse.append("d_item", frame(spark, "item_key long, item_name string", (2, ""), (3, " ")))
+    inventory.load(stock(spark, [1], item=""), warehouse)
+    again = run(requests.load, warehouse, staff, frame(spark, REQUESTS, request("99")))
+    assert again == {"retrieved": 1, "loaded": 1, "merged": 0,
+                     "blank members kept in d_item": 1}
+    assert members(warehouse, "d_item") == [("",), ("nail",)]
     warehouse.compact("d_request_status")
     assert members(warehouse, "d_request_status") == [("open",)]
 
@@ -172,3 +209,10 @@ def test_replaced_fact_is_still_found_by_key(spark, warehouse):
     inventory.load(stock(spark, [1], quantity=8), warehouse)
     assert rows(warehouse.read("f_inventory"), "inventory_id", "quantity") == [
         ("0", 1.0), ("1", 8.0), ("2", 1.0)]
+
+
+def test_catalog_merge_needs_row_level_operations(spark):
+    """The merge resolves; a plain view then refuses it."""
+    frame(spark, "id long, v string", (1, "a")).createOrReplaceTempView("plain_target")
+    with pytest.raises(Exception, match="(?i)merge into|not support"):
+        merge_catalog_table(frame(spark, "id long, v string", (1, "b")), "plain_target", ["id"])
