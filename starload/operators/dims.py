@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,26 +16,32 @@ from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
 
 
-def new_members(
-    rows: DataFrame,
-    values: dict[tuple[str, str], Column | list[Column]],
-    targets: dict[str, DataFrame],
-) -> dict[str, DataFrame]:
-    """New members of dates and one-column dimensions, found in a single pass.
+Offers = dict[tuple[str, str], Column | list[Column]]
+
+
+def offers(rows: DataFrame, values: Offers) -> DataFrame:
+    """Distinct members as (dim, member), for several dimensions in a single pass.
 
     ``values`` maps (dimension, natural column) to the value a row offers, or to
-    several; NULL offers none. Duplicates are dropped before the shuffle. Members
-    that exist keep their key; new ones are keyed in their order.
+    several; NULL offers none. Duplicates are dropped before the shuffle.
     """
-    offers = [
+    found = [
         F.struct(F.lit(table).alias("dim"), value.cast("string").alias("member"))
-        for (table, _), found in values.items()
-        for value in (found if isinstance(found, list) else [found])
+        for (table, _), columns in values.items()
+        for value in (columns if isinstance(columns, list) else [columns])
     ]
-    offered = (
-        rows.select(F.explode(F.array(*offers)).alias("offer")).select("offer.*")
-        .filter("member IS NOT NULL").distinct()
-    )
+    offered = rows.select(F.explode(F.array(*found)).alias("offer")).select("offer.*")
+    return offered.filter("member IS NOT NULL").distinct()
+
+
+def new_members(
+    offered: DataFrame, values: Iterable[tuple[str, str]], targets: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The offered members that are new, for dates and one-column dimensions.
+
+    Members that exist keep their key; new ones are keyed in their order.
+    """
+    values = list(values)
     stored = functools.reduce(DataFrame.unionByName, [
         targets[table].select(
             F.lit(table).alias("dim"), F.col(natural).cast("string").alias("member"),
@@ -60,12 +66,11 @@ def new_members(
     return {table: members(table, natural) for table, natural in values}
 
 
-def insert_members(
-    rows: DataFrame, values: dict[tuple[str, str], Column | list[Column]], tables
-) -> None:
-    """Add the new members to the target tables."""
+def insert_members(offered: DataFrame, values: Iterable[tuple[str, str]], tables) -> None:
+    """Add the new ones of the offered members to the target tables."""
+    values = list(values)
     targets = {table: tables.read(table) for table, _ in values}
-    for table, new in new_members(rows, values, targets).items():
+    for table, new in new_members(offered, values, targets).items():
         tables.append(table, new)
 
 

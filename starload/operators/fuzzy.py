@@ -25,10 +25,9 @@ def nested_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b), match).select("left", "right")
 
 
-def _lengths(values: DataFrame, column: str) -> list[int]:
-    # One number per distinct length, bounded by the longest name.
-    found = values.select(F.char_length(column).alias("n")).distinct().collect()
-    return sorted(row["n"] for row in found)
+def _distinct(numbers: DataFrame) -> list[int]:
+    # Lengths only, so that the longest name bounds what reaches the driver.
+    return sorted(row[0] for row in numbers.distinct().collect())
 
 
 def _substrings(texts: DataFrame, lengths: list[int]) -> DataFrame:
@@ -57,7 +56,7 @@ def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     )
     leads = runs.select("needle", "pattern", "literal", F.explode("runs").alias("piece"))
     pairs = None
-    lengths = _lengths(leads, "piece")
+    lengths = _distinct(leads.select(F.char_length("piece")))
     if lengths:
         wanted = leads.select("piece").distinct()
         hits = materialize(_substrings(texts, lengths).join(wanted, "piece"), "name-hits")
@@ -76,7 +75,7 @@ def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     bare = runs.filter(F.size("runs") == 0).select(
         "needle", F.char_length(F.translate("needle", "%", "")).alias("n")
     )
-    least = _lengths(bare.select(F.repeat(F.lit("_"), F.col("n")).alias("gap")), "gap")
+    least = _distinct(bare.select("n"))
     if least:
         long_enough = texts.select(
             F.col("name").alias("text"), F.explode(F.array(*[F.lit(n) for n in least])).alias("n")

@@ -29,15 +29,12 @@ def load_dimensions(checked: DataFrame, tables) -> None:
     """A row rejected at a later step still adds the members of earlier steps."""
     dated = F.col("date").isNotNull()
     itemed = dated & F.col("item_name").isNotNull()
-    dims.insert_members(
-        checked,
-        {
-            ("d_date", "date"): F.col("date"),
-            ("d_item", "item_name"): F.when(dated, F.col("item_name")),
-            ("d_project", "project_name"): F.when(itemed, F.col("location")),
-        },
-        tables,
-    )
+    values = {
+        ("d_date", "date"): F.col("date"),
+        ("d_item", "item_name"): F.when(dated, F.col("item_name")),
+        ("d_project", "project_name"): F.when(itemed, F.col("location")),
+    }
+    dims.insert_members(dims.offers(checked, values), values, tables)
 
 
 def item_and_project(tables) -> list[Lookup]:

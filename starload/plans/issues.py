@@ -9,6 +9,7 @@ from starload.operators import clean, dims, lookup
 from starload.operators.lookup import Lookup
 from starload.operators.merge import last_wins, total_order
 from starload.plans.report import Report
+from starload.session import materialize
 
 # Source column -> its dimension, natural column, key column and fact column.
 ATTRIBUTES = {
@@ -47,13 +48,14 @@ def check(issues: DataFrame) -> DataFrame:
     ])
 
 
-def _names(rows: DataFrame, source: DataFrame, key: str, source_key: str, name: str, alias: str):
+def _names(offered: DataFrame, dim: str, key: str, source: DataFrame, source_key: str,
+           name: str, alias: str) -> DataFrame:
     """Distinct ids in use with the names the source gives them, NULL if none.
 
     A name depends on the id alone, so the ids are reduced before the join.
     """
-    ids = rows.select(key).distinct()
-    side = source.select(F.col(source_key).alias(key), F.col(name).alias(alias))
+    ids = offered.filter(F.col("dim") == dim).select(F.col("member").alias(key))
+    side = source.select(F.col(source_key).cast("string").alias(key), F.col(name).alias(alias))
     return ids.join(side, key, "left")
 
 
@@ -62,17 +64,24 @@ def load_dimensions(
 ) -> None:
     """Every issue offers its attributes, also one that is rejected afterwards."""
     both = F.col("project_id").isNotNull() & F.col("property_id").isNotNull()
-    offers = {(dim, natural): F.col(column) for column, (dim, natural, _, _) in ATTRIBUTES.items()}
+    values = {(dim, natural): F.col(column) for column, (dim, natural, _, _) in ATTRIBUTES.items()}
+    values["d_date", "date"] = F.when(both, F.col("date"))
+    named = {
+        ("d_project", "project_id"): F.col("project_id"),
+        ("d_property", "property_id"): F.when(both, F.col("property_id")),
+    }
+    # Distinct members only, needed three times.
+    offered = materialize(dims.offers(checked, {**values, **named}), "issue-offers")
     dims.insert_members(
-        checked, {**offers, ("d_date", "date"): F.when(both, F.col("date"))}, tables
+        offered.filter(~F.col("dim").isin([dim for dim, _ in named])), values, tables
     )
-    placed = checked.filter(F.col("project_id").isNotNull())
-    names = _names(placed, projects, "project_id", "project_id", "project_name", "project_name")
+    names = _names(offered, "d_project", "project_id", projects, "project_id", "project_name",
+                   "project_name")
     tables.replace("d_project", dims.overwrite(
         names, "d_project", tables.read("d_project"), ["project_name"], ["project_name"]
     ))
-    housed = placed.filter(F.col("property_id").isNotNull())
-    names = _names(housed, properties, "property_id", "propertyid", "name", "property_name")
+    names = _names(offered, "d_property", "property_id", properties, "propertyid", "name",
+                   "property_name")
     tables.replace("d_property", dims.overwrite(
         names, "d_property", tables.read("d_property"), ["property_name"], ["property_name"]
     ))

@@ -69,15 +69,12 @@ def load_dimensions(checked: DataFrame, tables) -> None:
     )
     itemed = dated & (reason != "bad item_name")
     placed = itemed & (reason != "bad location")
-    dims.insert_members(
-        checked,
-        {
-            ("d_date", "date"): F.when(dated, F.col("date")),
-            ("d_item", "item_name"): F.when(itemed, F.col("item_name")),
-            ("d_project", "project_name"): F.when(placed, F.col("location")),
-        },
-        tables,
-    )
+    values = {
+        ("d_date", "date"): F.when(dated, F.col("date")),
+        ("d_item", "item_name"): F.when(itemed, F.col("item_name")),
+        ("d_project", "project_name"): F.when(placed, F.col("location")),
+    }
+    dims.insert_members(dims.offers(checked, values), values, tables)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:

@@ -48,11 +48,8 @@ def check(extracted: DataFrame) -> DataFrame:
 
 
 def load_dimensions(checked: DataFrame, tables) -> None:
-    dims.insert_members(
-        checked,
-        {("d_date", "date"): F.col("date"), ("d_invoice", "invoice_id"): F.col("invoice_id")},
-        tables,
-    )
+    values = {("d_date", "date"): F.col("date"), ("d_invoice", "invoice_id"): F.col("invoice_id")}
+    dims.insert_members(dims.offers(checked, values), values, tables)
     seen = checked.select("created_date", "invoice_id", "vendor_id", "vendor_name")
     tables.append(
         "d_vendor",

@@ -64,14 +64,11 @@ def load_dimensions(staff: DataFrame, requests: DataFrame, tables) -> dict[str,
         "d_employees", dims.first_seen(employees(staff), "d_employees", tables.read("d_employees"))
     )
     type_, status = F.col("item_type"), F.col("status")
-    dims.insert_members(
-        requests,
-        {
-            ("d_item_type", "item_type"): F.when(nonblank(type_), type_),
-            ("d_request_status", "status_name"): F.when(nonblank(status), status),
-        },
-        tables,
-    )
+    values = {
+        ("d_item_type", "item_type"): F.when(nonblank(type_), type_),
+        ("d_request_status", "status_name"): F.when(nonblank(status), status),
+    }
+    dims.insert_members(dims.offers(requests, values), values, tables)
     return purge_blanks(tables)
 
 

@@ -63,15 +63,12 @@ def load_dimensions(checked: DataFrame, tables) -> None:
         ["project_name", *attributes],
     ))
     phase = F.when(sound, F.col("phasename"))
-    dims.insert_members(
-        checked,
-        {
-            ("d_date", "date"): [F.col("startdate"), F.col("enddate")],
-            ("d_phase", "phase_name"): phase,
-            ("d_status", "status_name"): F.when(phase.isNotNull(), F.col("status")),
-        },
-        tables,
-    )
+    values = {
+        ("d_date", "date"): [F.col("startdate"), F.col("enddate")],
+        ("d_phase", "phase_name"): phase,
+        ("d_status", "status_name"): F.when(phase.isNotNull(), F.col("status")),
+    }
+    dims.insert_members(dims.offers(checked, values), values, tables)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:

@@ -43,14 +43,11 @@ def load_dimensions(checked: DataFrame, tables) -> None:
         checked.select("created_at", "worker_id", *attributes, "payment_id"), "core_dim_worker",
         tables.read("core_dim_worker"), attributes, ["created_at"],
     ))
-    dims.insert_members(
-        checked,
-        {
-            ("core_dim_status", "status_name"): F.col("status"),
-            ("core_dim_user", "user_email"): F.col("created_by"),
-        },
-        tables,
-    )
+    values = {
+        ("core_dim_status", "status_name"): F.col("status"),
+        ("core_dim_user", "user_email"): F.col("created_by"),
+    }
+    dims.insert_members(dims.offers(checked, values), values, tables)
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:

@@ -20,8 +20,10 @@ def configure(spark: SparkSession) -> SparkSession:
     Dates are cut in UTC. Adaptive execution coalesces small partitions and
     splits the hot ones of a shuffled join, also where that costs one more
     shuffle afterwards. File sizes are counted fourfold, since the broadcast
-    threshold is about data in memory and files are compressed.
+    threshold is about data in memory and files are compressed. Of a field that
+    comes twice in a JSON object the last one counts.
     """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.sources.fileCompressionFactor", "4.0")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -67,7 +67,8 @@ def known_members(spark: SparkSession, d: str) -> SessionTables:
         rows = source(spark, d, {"d_item": "known_items", "d_project": "known_projects",
                                  "d_property": "known_properties"}[name])
         if name == "d_item":
-            dims.insert_members(rows, {(name, "item_name"): F.col("item_name")}, tables)
+            values = {(name, "item_name"): F.col("item_name")}
+            dims.insert_members(dims.offers(rows, values), values, tables)
         else:
             tables.append(name, dims.first_seen(rows, name, tables.read(name)))
     return tables
@@ -281,10 +282,8 @@ def first_wins_batch(spark, d):
 @query
 def dim_date(spark, d):
     tables = SessionTables(spark)
-    rows = schedule_extract(spark, d)
-    dims.insert_members(
-        rows, {("d_date", "date"): [F.col("startdate"), F.col("enddate")]}, tables
-    )
+    values = {("d_date", "date"): [F.col("startdate"), F.col("enddate")]}
+    dims.insert_members(dims.offers(schedule_extract(spark, d), values), values, tables)
     return tables.read("d_date")
 
 
@@ -349,11 +348,9 @@ def dim_worker_scd1(spark, d):
 def key_assignment(spark, d):
     tables = SessionTables(spark)
     rows = source(spark, d, "worker_payments")
-    new = dims.new_members(
-        rows, {("dim_reporter", "reported_by_email"): F.col("worker_name")},
-        {"dim_reporter": tables.read("dim_reporter")},
-    )
-    return new["dim_reporter"]
+    values = {("dim_reporter", "reported_by_email"): F.col("worker_name")}
+    dims.insert_members(dims.offers(rows, values), values, tables)
+    return tables.read("dim_reporter")
 
 
 @query

@@ -1,4 +1,6 @@
 import json
+import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,24 @@ def test_absent_field_is_not_true(spark):
     df = frame(spark, "t string", ("{}",))
     field = F.try_variant_get(F.parse_json(F.col("t")), "$.x", "variant")
     assert rows(df.select(truthy(field))) == [(False,)]
+
+
+def test_strict_date_as_the_parser_of_the_source(spark):
+    pick = random.Random(5)
+    texts = {
+        f"{pick.choice([1, 24, 1999, 2024, 20245])}{pick.choice('--/')}"
+        f"{pick.choice(['', '0', '00'])}{pick.randrange(14)}-"
+        f"{pick.choice(['', '0'])}{pick.randrange(33)}{pick.choice(['', '', '', ' ', 'T0'])}"
+        for _ in range(3000)
+    }
+
+    def parsed(text):
+        try:
+            return datetime.strptime(text, "%Y-%m-%d").date()
+        except ValueError:
+            return None
+
+    df = frame(spark, "t string", *[(t,) for t in texts])
+    got = {r["t"]: r["d"] for r in df.select("t", strict_date(F.col("t")).alias("d")).collect()}
+    assert got == {t: parsed(t) for t in texts}
+    assert sum(d is not None for d in got.values()) > 50

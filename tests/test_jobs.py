@@ -346,6 +346,13 @@ def test_payload_without_records(spark, tmp_path, text):
     assert tables.read("f_inventory_requests").count() == 0
 
 
+def test_last_of_repeated_fields_counts(spark, tmp_path):
+    tables = session_tables(spark)
+    text = record("1").replace('"quantity": 5', '"quantity": 0, "quantity": 8')
+    payload.load(payload_frame(spark, tmp_path / "in", f'{{"records": [{text}]}}'), tables)
+    assert rows(tables.read("f_inventory_requests"), "quantity") == [(8.0,)]
+
+
 def test_conform_adds_absent_columns(spark):
     got = conform(frame(spark, "project_id string", ("a",)), "d_project")
     assert got.dtypes == [("project_key", "bigint"), ("project_id", "string"),

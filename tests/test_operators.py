@@ -64,8 +64,8 @@ def test_members_keep_their_keys(spark):
     tables = session_tables(spark, d_item=frame(
         spark, "item_key long, item_name string", (7, "nail"), (3, "cog")))
     batch = frame(spark, "i string", ("bolt",), ("nail",), ("bolt",), (None,), ("axe",))
-    new = dims.new_members(batch, {("d_item", "item_name"): F.col("i")},
-                           {"d_item": tables.read("d_item")})
+    values = {("d_item", "item_name"): F.col("i")}
+    new = dims.new_members(dims.offers(batch, values), values, {"d_item": tables.read("d_item")})
     assert rows(new["d_item"]) == [(8, "axe"), (9, "bolt")]
 
 
