@@ -46,6 +46,21 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _file_system(spark: SparkSession, folder: str):
+    """A folder as a Hadoop path, and the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _session_area(spark: SparkSession) -> str:
+    """Where copies go outside of ``scratch``; dropped when the application ends."""
+    area = f"{scratch_root(spark)}/starload/{spark.sparkContext.applicationId}"
+    path, files = _file_system(spark, area)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return area
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """Keep the copies made inside the block together and drop them at its end."""
@@ -55,8 +70,8 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield area
     finally:
         _AREA.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(area)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = _file_system(spark, area)
+        files.delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -68,7 +83,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     broadcast.
     """
     spark = df.sparkSession
-    area = _AREA.get() or f"{scratch_root(spark)}/starload/session"
+    area = _AREA.get() or _session_area(spark)
     path = f"{area}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
