@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: runs of anything but ASCII white space.
@@ -17,7 +17,10 @@ LOWER_ASCII = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 # Texts are handled in pieces of about this many characters inside a task.
 CHUNK_CHARS = 4_000_000
 # A side of a join is broadcast only if it was counted and has at most so many rows.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
+# Rows of one key are ranked in groups of about this many, but in 256 groups at least.
+GROUP_ROWS = 100_000
+LEAST_GROUPS = 256
 
 
 def label_sample(labels: DataFrame, column: str, folds: int, held: int, bound: int) -> DataFrame:
@@ -49,40 +52,62 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS) -> Iterator[tuple]:
-    """(ids, texts) of about ``limit`` characters; texts are never cut, NULL is empty.
+def ranked(df: DataFrame, key: str, order: list[str], total: int, name: str) -> DataFrame:
+    """``df`` with the place of each row among those of its key, from 0, in column ``name``.
 
-    Batches are of two columns, an id and a text.
+    Rows are ranked in groups by a hash of ``order``, so that no task holds all rows of a key;
+    the counts of the groups before are added. The order is by group, then ``order``.
     """
-    ids, texts, size = [], [], 0
+    groups = max(LEAST_GROUPS, -(-total // GROUP_ROWS))
+    group, before = f"{name}_group", f"{name}_before"
+    df = df.withColumn(group, F.pmod(F.xxhash64(*order), F.lit(groups)))
+    earlier = Window.partitionBy(key).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(key, group).agg(F.count("*").alias(before)).select(
+        key, group, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before)
+    )
+    own = Window.partitionBy(key, group).orderBy(*order)
+    return (
+        df.withColumn(name, F.row_number().over(own) - 1).join(bounded(counts), [key, group])
+        .withColumn(name, F.col(name) + F.col(before)).drop(group, before)
+    )
+
+
+def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS) -> Iterator[list[list]]:
+    """The columns of batches as lists, in pieces of about ``limit`` characters of text.
+
+    The second column is the text, as string or bytes; NULL is empty. Texts are never cut.
+    """
+    columns: list[list] = []
+    size = 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(key)
-            texts.append(text or "")
-            size += len(texts[-1])
+        empty = b"" if pa.types.is_binary(batch.schema.field(1).type) else ""
+        columns = columns or [[] for _ in range(batch.num_columns)]
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            for column, value in zip(columns, row):
+                column.append(value)
+            columns[1][-1] = row[1] or empty
+            size += len(columns[1][-1])
             if size >= limit:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+                yield columns
+                columns, size = [[] for _ in row], 0
+    if columns and columns[0]:
+        yield columns
 
 
 class WordHashes:
-    """64-bit hashes of words; those met before are looked up."""
+    """64-bit hashes of words given as bytes; those met before are looked up."""
 
     LIMIT = 500_000
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         if len(known) > self.LIMIT:
             known.clear()
-        new = set(words).difference(known)
-        digest = xxhash.xxh3_64_intdigest
-        for word in new:
-            known[word] = digest(word.encode("utf-8", "surrogatepass"))
+        for word in set(words).difference(known):
+            known[word] = xxhash.xxh3_64_intdigest(word)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 

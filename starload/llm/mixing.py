@@ -6,16 +6,13 @@ import heapq
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import bounded
+from starload.llm.common import ranked
 
 # Weights are rounded to this many parts, the slots of one period.
 PERIOD = 1000
-# Documents of a source are ranked in groups of about this many rows, but of 256 at least.
-GROUP_ROWS = 100_000
-LEAST_GROUPS = 256
 
 
 def parts_of(weights: Mapping[str, float], period: int) -> dict[str, int]:
@@ -106,26 +103,13 @@ def mix(
     keyed = docs.withColumn("mix_source", F.coalesce(F.col("source").cast("string"), F.lit("")))
     sizes = {r["mix_source"]: r["n"] for r in
              keyed.groupBy("mix_source").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
     known = {s: float(w) for s, w in (weights or {}).items() if w > 0}
     scale = sum(known.values()) / (sum(math.sqrt(sizes.get(s, 0)) for s in known) or 1) or 1.0
     target = {s: known.get(s, scale * math.sqrt(n)) for s, n in sizes.items()}
     spans, offsets = phases({s: -(-n // block_rows) for s, n in sizes.items()}, target, period)
 
-    groups = max(LEAST_GROUPS, -(-total // GROUP_ROWS))
-    keyed = keyed.withColumn("mix_group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
-    before = Window.partitionBy("mix_source").orderBy("mix_group").rowsBetween(
-        Window.unboundedPreceding, -1)
-    counts = keyed.groupBy("mix_source", "mix_group").agg(F.count("*").alias("n")).select(
-        "mix_source", "mix_group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_before")
-    )
-    own = Window.partitionBy("mix_source", "mix_group").orderBy("doc_id")
-    ranked = (
-        keyed.withColumn("mix_rank", F.row_number().over(own) - 1)
-        .join(bounded(counts), ["mix_source", "mix_group"])
-        .withColumn("mix_rank", F.col("mix_rank") + F.col("mix_before"))
-        .withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows))
-    )
+    keyed = ranked(keyed, "mix_source", ["doc_id"], sum(sizes.values()), "mix_rank").withColumn(
+        "mix_block", F.floor(F.col("mix_rank") / block_rows))
     # At most one row per source and phase, and one per slot of a period and phase.
     span = spark.createDataFrame(
         spans or [(0, "", 0, 0, 1, 0, 1)],
@@ -136,7 +120,7 @@ def mix(
         offsets or [(0, "", 0, 0)], "mix_phase int, mix_source string, mix_i long, mix_offset long"
     )
     placed = (
-        ranked.join(F.broadcast(span), "mix_source")
+        keyed.join(F.broadcast(span), "mix_source")
         .filter((F.col("mix_block") >= F.col("mix_first")) & (F.col("mix_block") < F.col("mix_end")))
         .withColumn("mix_k", F.col("mix_block") - F.col("mix_first"))
         .withColumn("mix_i", F.col("mix_k") % F.col("mix_parts"))

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import licenses
 from starload.llm.licenses import license_scan
 from starload.llm.mixing import mix
+from starload.llm.packing import pack_documents
 from starload.llm.quality_model import quality_scores
 from starload.llm.quality_votes import quality_votes
+from starload.llm.substrings import remove_repeats
+from starload.llm.topk import top_k
 from starload.llm.toxicity import toxicity_scores
 from starload.session import configure
 
@@ -19,8 +23,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Texts go to Python in small batches, as some are long."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = lambda spark, sf_dir: run(configure(spark), sf_dir)
+    QUERIES[run.__name__] = lambda spark, sf_dir: run(prepared(spark), sf_dir)
     return QUERIES[run.__name__]
 
 
@@ -28,12 +38,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_packing(spark: SparkSession, d: str) -> DataFrame:
+    return pack_documents(table(spark, d, "documents"), vocabulary(), with_ids=False)
+
+
+@query
+def op2_substrings(spark: SparkSession, d: str) -> DataFrame:
+    return remove_repeats(table(spark, d, "documents")).select(
+        "doc_id", F.col("dedup_words").alias("n_words"), F.col("dedup_removed").alias("n_removed"),
+        F.sha2("dedup_text", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op4_mix(spark: SparkSession, d: str) -> DataFrame:
     """All documents with their places in the mixed order."""
     return mix(table(spark, d, "documents").select("doc_id", "source"))
 
 
+@query
+def op5_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op6_licenses(spark: SparkSession, d: str) -> DataFrame:
     scanned = license_scan(table(spark, d, "documents"))
@@ -114,4 +146,19 @@ def _license_sql() -> str:
     LEFT JOIN named USING (doc_id, h) LEFT JOIN base_named USING (doc_id, h)"""
 
 
-ORACLE: dict[str, str] = {"op6_licenses": _license_sql()}
+TOP_K_SQL = """
+    WITH v AS (
+      SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    numbered AS (
+      SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+             vec_id, score
+      FROM scored)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM numbered WHERE rank <= 5"""
+
+ORACLE: dict[str, str] = {"op5_top_k": TOP_K_SQL, "op6_licenses": _license_sql()}
