@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import licenses
+from starload.llm.edit_counts import counts_after_edits
+from starload.llm.jaccard import jaccard_join
 from starload.llm.licenses import license_scan
 from starload.llm.mixing import mix
 from starload.llm.packing import pack_documents
@@ -55,6 +58,27 @@ def op2_substrings(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op3_edit_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Each document gets three edits: a replaced stretch, a cut and a line at its end."""
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+
+    def place(salt: int) -> Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(salt)), length + 1)
+
+    def edit(at: Column, removed: int, inserted: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(removed).cast("long").alias("removed"),
+                        inserted.alias("inserted"))
+
+    edits = F.array(
+        edit(place(1), 12, F.concat(F.lit(" revised by "), F.coalesce("source", F.lit("hand")))),
+        edit(place(2), 40, F.lit("")),
+        edit(length + 100, 0, F.lit("\nEnd of document.")),
+    )
+    return counts_after_edits(table(spark, d, "documents"), edits, vocabulary()).select(
+        "doc_id", "n_tokens", "n_tokens_after", "n_chars_after", "n_reencoded")
+
+
 @query
 def op4_mix(spark: SparkSession, d: str) -> DataFrame:
     """All documents with their places in the mixed order."""
@@ -95,11 +119,21 @@ def op8_quality_votes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op9_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join(table(spark, d, "documents"))
+
+
 @query
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_pipeline.run(spark, d)
+
+
 def _license_sql() -> str:
     phrases = ", ".join(
         f"({len(p.split())}, ' {p} ', '{label}')" for p, label in licenses.PHRASES.items()
