@@ -144,7 +144,7 @@ def _license_sql() -> str:
     )
     return f"""
     WITH d AS (
-      SELECT doc_id, md5(coalesce(text, '')) AS h,
+      SELECT doc_id, md5(concat_ws('|', coalesce(doc_id::VARCHAR, '-'), coalesce(text, ''))) AS h,
              translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') AS lower_text
       FROM documents),
     w AS (SELECT doc_id, h, lower_text, regexp_extract_all(lower_text, '{licenses.WORD}') AS words
@@ -152,32 +152,32 @@ def _license_sql() -> str:
     phrases(n, phrase, label) AS (VALUES {phrases}),
     templates(label, template) AS (VALUES {templates}),
     places AS (
-      SELECT DISTINCT doc_id, h, label, i - 1 AS start
-      FROM (SELECT doc_id, h, words, unnest(range(1, len(words) + 1)) AS i FROM w
+      SELECT DISTINCT h, label, i - 1 AS start
+      FROM (SELECT h, words, unnest(range(1, len(words) + 1)) AS i FROM w
             WHERE len(words) > 0) x, phrases
       WHERE ' ' || array_to_string(words[i:i + n - 1], ' ') || ' ' = phrase),
     found AS (
-      SELECT doc_id, h, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word
+      SELECT h, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word
       FROM places GROUP BY ALL),
     blocks AS (
-      SELECT DISTINCT doc_id, h, list_distinct(regexp_extract_all(line, '{licenses.WORD}')) AS held
-      FROM (SELECT doc_id, h, unnest(string_split(lower_text, chr(10))) AS line FROM w) x),
+      SELECT DISTINCT h, list_distinct(regexp_extract_all(line, '{licenses.WORD}')) AS held
+      FROM (SELECT h, unnest(string_split(lower_text, chr(10))) AS line FROM w) x),
     met AS (
-      SELECT doc_id, h, label, max(len(list_intersect(held, template)) / len(template)) AS c
+      SELECT h, label, max(len(list_intersect(held, template)) / len(template)) AS c
       FROM blocks, templates
       WHERE len(list_intersect(held, template)) * 10 >= 8 * len(template) GROUP BY ALL),
-    best AS (SELECT doc_id, h, max(c) AS c FROM met GROUP BY ALL),
+    best AS (SELECT h, max(c) AS c FROM met GROUP BY ALL),
     named AS (
-      SELECT doc_id, h, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-      FROM (SELECT doc_id, h, label FROM places UNION SELECT doc_id, h, label FROM met) x GROUP BY ALL),
+      SELECT h, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT h, label FROM places UNION SELECT h, label FROM met) x GROUP BY ALL),
     base_named AS (
-      SELECT doc_id, h, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      SELECT h, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
       FROM places GROUP BY ALL)
     SELECT w.doc_id, len(w.words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
            coalesce(base_named.labels, '') AS base_labels, coalesce(named.labels, '') AS labels,
            CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best.c, 0.0) END::DOUBLE AS score
-    FROM w LEFT JOIN found USING (doc_id, h) LEFT JOIN best USING (doc_id, h)
-    LEFT JOIN named USING (doc_id, h) LEFT JOIN base_named USING (doc_id, h)"""
+    FROM w LEFT JOIN found USING (h) LEFT JOIN best USING (h)
+    LEFT JOIN named USING (h) LEFT JOIN base_named USING (h)"""
 
 
 TOP_K_SQL = """

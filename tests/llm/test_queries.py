@@ -1,0 +1,98 @@
+"""Queries beside their SQL, and the pipeline's stages on small tables."""
+
+import duckdb
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from texts import SCHEMA, everything, frame, rows
+
+import __spark_entry__
+import corpus_pipeline
+from starload.llm.licenses import license_scan, template_hits
+from starload.llm.queries import ORACLE, QUERIES
+from testbed.compare import normal
+
+SF = "/root/testdata/sf0.001"
+NOTICES = [
+    (301, "This work is licensed under the GNU General Public License, version 3."),
+    (302, "x\nLicensed under CC BY-NC 4.0.\ny"), (303, "apache\nlicense, apache license"),
+    (304, "the MIT   License and the mit-license"), (305, "ccby cc byx cc-by"),
+    (305, "Redistribution in source and binary forms"), (None, "Apache License"),
+    (306, "You may not use this file except in compliance with the License, ever"),
+    (307, "apachelicense Éapache license"),
+]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    result = con.execute(ORACLE[name])
+    df = QUERIES[name](spark, SF)
+    assert normal(df.collect(), df.columns) == normal(
+        result.fetchall(), [c[0] for c in result.description])
+
+
+def test_license_query_on_awkward_rows(spark, tmp_path):
+    frame(spark, everything() + NOTICES).withColumn("words", F.lit(1)).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    df = QUERIES["op6_licenses"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(ORACLE["op6_licenses"])
+    assert normal(df.collect(), df.columns) == normal(
+        result.fetchall(), [c[0] for c in result.description])
+
+
+def test_blocks_meet_templates_by_containment(spark):
+    templates = {"t": "a b c d e", "u": "x y", "none": "q"}
+    pairs = [(1, "a b c d z\nE D C B A"), (2, "a b c\nd e"), (3, "x"), (4, "Y x a"), (5, None)]
+    got = {(r.doc_id, r.block, r.label, r.containment) for r in
+           template_hits(frame(spark, pairs), templates, 0.8).collect()}
+    assert got == {(1, 0, "t", 0.8), (1, 1, "t", 1.0), (4, 0, "u", 1.0)}
+    assert license_scan(frame(spark, [])).collect() == []
+
+
+def test_every_operator_has_a_query():
+    names = {n.split("_")[0] for n in __spark_entry__.queries()}
+    assert {f"op{i}" for i in range(1, 11)} | {"pipeline"} <= names
+
+
+@pytest.mark.parametrize("name", ["op2_substrings", "op3_edit_counts", "op4_mix", "op9_jaccard"])
+def test_query_gives_a_row_per_document(spark, name):
+    assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_pipeline(spark, tmp_path):
+    prose = [p for p in everything(3, 120) if p[0] is not None and p[0] != 6]
+    long = [p for p in prose if p[0] >= 100 and len(p[1] or "") > 300]
+    passage = " ".join(f"shared{i}" for i in range(60))
+    pairs = prose + [(700, long[0][1]), (701, long[0][1] + " more"), (702, f"{long[1][1]} {passage}"),
+                     (703, f"{passage} {long[2][1]}")]
+    pairs += [(800 + i, " ".join(f"{w}###" for w in t.split())) for i, (_, t) in enumerate(long[3:20])]
+    labels = [(k, int(k < 800), 0) for k, _ in pairs if k >= 100]
+    spark.createDataFrame(rows(pairs), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("component_id", F.lit(1))
+    texts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        if name != "best-fit packing":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+            texts[name] = {r.doc_id: r.text for r in docs.collect()}
+    good, single, cut, mixed = texts.values()
+    assert not any(k >= 800 for k in good) and {k for k, _ in long} <= set(good)
+    first = min(long[0][0], 700)
+    assert first in single and not {700, 701} & set(single)
+    assert set(cut) == set(single) == set(mixed) and cut == mixed
+    assert "shared5" not in cut[702] + cut[703] and long[1][0] in good
+    assert cut[long[5][0]] == dict(pairs)[long[5][0]]
+    packed = docs.collect()
+    assert {r.doc_id for r in packed} == set(mixed)
+    run = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in run) == sorted(
+        (r.doc_id, r.piece, r.ids_crc32) for r in packed)
+    assert public_tokenizers.path("byte_bpe_50k.json")
