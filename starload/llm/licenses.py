@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.session import materialize
+
 # Phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -31,19 +33,12 @@ TEMPLATES = {
 }
 # Share of a template's words a block must hold.
 CONTAINMENT = 0.8
-# Words are letters, digits and all beyond ASCII.
+# Words are letters, digits and all beyond ASCII; the rest stands between them.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _text() -> Column:
-    return F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-
-
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-
-
 def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
@@ -65,40 +60,58 @@ def _places(phrase: str) -> Column:
     )
 
 
-def phrase_places(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_words, and the label and starts of each phrase found."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _text().alias("lower"))
-    rows = rows.withColumn("words", _words(F.col("lower")))
+def _template_words(templates: dict[str, str]) -> dict[str, list[str]]:
+    return {k: sorted(set(re.findall(WORD, v.lower()))) for k, v in templates.items()}
+
+
+def read_words(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+    """doc_id, text_hash, n_words, ``found`` (label and starts of each phrase) and ``blocks``:
+    the lines that hold words of any template, with these words.
+
+    This is the only pass over the texts. A line break is no part of a word, so the words of a
+    text are those of its lines.
+    """
+    every = _array(sorted({w for s in _template_words(templates).values() for w in s}))
     found = F.array(*[
         F.struct(F.lit(label).alias("label"), _places(phrase).alias("starts"))
         for phrase, label in PHRASES.items()
     ])
-    return rows.select(
-        "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
-        F.filter(found, lambda f: F.size(f["starts"]) > 0).alias("found"),
+    held = F.transform("lines", lambda line, at: F.struct(
+        at.alias("block"), F.array_intersect(every, line).alias("held")))
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
+    return (
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), text.alias("lower"))
+        .withColumn("lines", F.transform(
+            F.split("lower", "\n"), lambda line: F.array_remove(F.split(line, BETWEEN), "")))
+        .withColumn("words", F.flatten("lines"))
+        .select(
+            "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
+            F.filter(found, lambda f: F.size(f["starts"]) > 0).alias("found"),
+            F.filter(held, lambda b: F.size(b["held"]) > 0).alias("blocks"),
+        )
     )
 
 
 def template_hits(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT
+    read: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT
 ) -> DataFrame:
     """(doc_id, text_hash, block, label, containment): each line holding enough of a template.
 
-    Blocks are the lines of a text, compared as sets of words. Template words are ordered by
-    the number of texts they are in, rarest first. A block that holds enough of a template has
-    one of its first words, so only those are joined; a pair whose first common word stands too
-    late in either set, or whose block is too short, is dropped before it is verified. The
-    join's right side has one row per prefix word of a template, and so is broadcast.
+    ``read`` is a written table of ``read_words``. Lines are compared as sets of words.
+    Template words are ordered by the number of lines they are in, rarest first. A line that
+    holds enough of a template has one of its first words, so only those are joined; a pair
+    whose first common word stands too late in either set, or whose line is too short, is
+    dropped before it is verified. The join's right side has one row per prefix word of a
+    template, and so is broadcast.
     """
-    spark = docs.sparkSession
-    sets = {k: sorted(set(re.findall(WORD, v.lower()))) for k, v in templates.items()}
-    every = sorted({w for s in sets.values() for w in s})
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _text().alias("lower"))
-    counted = (
-        rows.select(F.explode(F.array_intersect(_words(F.col("lower")), _array(every))).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n")).collect()
-    )
-    frequency = {r["word"]: r["n"] for r in counted}
+    spark = read.sparkSession
+    sets = _template_words(templates)
+    blocks = read.select("doc_id", "text_hash", F.explode("blocks").alias("b")).select(
+        "doc_id", "text_hash", "b.block", "b.held")
+    # One row per template word reaches the driver.
+    counted = blocks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    frequency = {r["word"]: r["n"] for r in counted.collect()}
+    every = {w for s in sets.values() for w in s}
     order = sorted(every, key=lambda w: (frequency.get(w, 0), w))
     prefixes = []
     for label, words in sets.items():
@@ -111,15 +124,11 @@ def template_hits(
         "word string, label string, template array<string>, at int, need int",
     ).filter(F.lit(bool(prefixes)))
     least = min([p[4] for p in prefixes], default=1)
-    blocks = (
-        rows.select("doc_id", "text_hash", F.posexplode(F.split("lower", "\n")).alias("block", "line"))
-        # The block's template words, in the global order.
-        .select("doc_id", "text_hash", "block",
-                F.array_intersect(_array(order), _words(F.col("line"))).alias("held"))
-        .filter(F.size("held") >= least)
-    )
     return (
-        blocks.withColumn(
+        blocks.filter(F.size("held") >= least)
+        # The line's template words, in the global order.
+        .withColumn("held", F.array_intersect(_array(order), "held"))
+        .withColumn(
             "word", F.explode(F.array_intersect("held", _array(sorted({p[0] for p in prefixes}))))
         )
         .join(F.broadcast(table), "word")
@@ -144,10 +153,10 @@ def license_scan(docs: DataFrame) -> DataFrame:
     large. Null text: empty. Null doc_id, repeated rows and repeated ids: one result each,
     as texts are told apart by their hash. Empty table: no rows. Other columns are not read.
     """
-    best = template_hits(docs).groupBy("doc_id", "text_hash").agg(
+    rows = materialize(read_words(docs), "words-read")
+    best = template_hits(rows).groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("label")).alias("notices"), F.max("containment").alias("containment")
     ).withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
-    rows = phrase_places(docs)
     return rows.join(
         best, rows["doc_id"].eqNullSafe(best["hit_id"]) & rows["text_hash"].eqNullSafe(best["hit_hash"]),
         "left",

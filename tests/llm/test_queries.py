@@ -8,7 +8,7 @@ from texts import SCHEMA, everything, frame, rows
 
 import __spark_entry__
 import corpus_pipeline
-from starload.llm.licenses import license_scan, template_hits
+from starload.llm.licenses import license_scan, read_words, template_hits
 from starload.llm.queries import ORACLE, QUERIES
 from testbed.compare import normal
 
@@ -49,7 +49,7 @@ def test_blocks_meet_templates_by_containment(spark):
     templates = {"t": "a b c d e", "u": "x y", "none": "q"}
     pairs = [(1, "a b c d z\nE D C B A"), (2, "a b c\nd e"), (3, "x"), (4, "Y x a"), (5, None)]
     got = {(r.doc_id, r.block, r.label, r.containment) for r in
-           template_hits(frame(spark, pairs), templates, 0.8).collect()}
+           template_hits(read_words(frame(spark, pairs), templates), templates, 0.8).collect()}
     assert got == {(1, 0, "t", 0.8), (1, 1, "t", 1.0), (4, 0, "u", 1.0)}
     assert license_scan(frame(spark, [])).collect() == []
 
