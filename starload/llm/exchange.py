@@ -21,7 +21,7 @@ NAMES = ["block", "hashes", "many", "owners", "counts", "places"]
 
 
 def block_count(spark: SparkSession) -> int:
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
