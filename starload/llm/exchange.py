@@ -6,7 +6,7 @@ that a hash found in a third of all texts reaches its block as one entry per chu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starload.llm.common import BROADCAST_ROWS
 from starload.session import materialize
 
+Choice = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 SCHEMA = "block int, hashes binary, many binary, owners binary, counts binary, places binary"
 NAMES = ["block", "hashes", "many", "owners", "counts", "places"]
 
@@ -112,18 +113,25 @@ def _shared(table: pa.Table, blocks: int, wide: bool) -> Iterator[tuple]:
         yield from _replies(owner[hit], place[hit], blocks)
 
 
-def _gathered(table: pa.Table) -> pa.RecordBatch:
-    owners, places = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
-    told = [np.empty(0, np.int64)]
+def _gathered(table: pa.Table, choose: Choice | None) -> pa.RecordBatch:
+    owners, places, told = [np.empty(0, np.int64)], [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
     for o, n, p in zip(*[table[c].to_pylist() for c in ("owners", "counts", "places")]):
-        own = np.frombuffer(o, np.int64)
-        owners.append(np.repeat(own, np.frombuffer(n, np.uint32)))
+        own, times = np.frombuffer(o, np.int64), np.frombuffer(n, np.uint32)
+        owners.append(np.repeat(own, times))
         places.append(np.frombuffer(p, np.uint32))
-        told.append(own)
+        told.append(own[times == 0])
     owner, place = np.concatenate(owners), np.concatenate(places)
     order = np.lexsort((place, owner))
     owner, place = owner[order], place[order]
-    names = np.unique(np.concatenate(told))
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    owner, place = owner[new], place[new]
+    told = np.unique(np.concatenate(told))
+    if choose:
+        use, place = choose(owner, place)
+        use |= np.isin(owner, told)
+        owner, place = owner[use], place[use]
+    names = np.union1d(owner, told)
     lo, hi = np.searchsorted(owner, names), np.searchsorted(owner, names, side="right")
     return pa.RecordBatch.from_arrays(
         [pa.array(names), pa.array([place[a:b].tobytes() for a, b in zip(lo, hi)], pa.binary())],
@@ -131,18 +139,21 @@ def _gathered(table: pa.Table) -> pa.RecordBatch:
     )
 
 
-def shared_places(sent: DataFrame, blocks: int, wide: bool, label: str) -> DataFrame:
+def shared_places(sent: DataFrame, blocks: int, wide: bool, label: str,
+                  choose: Choice | None = None) -> DataFrame:
     """(owner, places): per owner, the places whose hash occurs more than once in all.
 
     ``places`` is packed as 32-bit numbers, in order. ``sent`` has the rows of ``send``. Unless
     ``wide``, hashes of one block are compared by 32 bits: equal ones are never missed.
+    ``choose`` takes all replies, sorted by owner and place, and says which to keep and what
+    to keep of their places.
     """
 
     def compare(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_row_batch(list(_shared(table, blocks, wide)))])
 
     def gather(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_gathered(table)])
+        return pa.Table.from_batches([_gathered(table, choose)])
 
     replies = sent.groupBy("block").applyInArrow(compare, SCHEMA)
     # What passed through a block on its way to its owners is dealt out anew.

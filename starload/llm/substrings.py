@@ -15,6 +15,9 @@ from starload.llm.exchange import SCHEMA, attach, block_count, send, shared_plac
 
 WINDOW = 35
 ROUNDS = 4
+# A place sent for a symbol is its number in its text, above the run it needs (or the most
+# these bits hold).
+_NEED_BITS = 6
 
 
 @dataclass
@@ -100,6 +103,33 @@ def open_windows(s: Symbols, unshared: np.ndarray, starts: np.ndarray, window: i
     return np.flatnonzero(free & (np.arange(total) <= last))
 
 
+def needed_runs(s: Symbols, starts: np.ndarray, window: int) -> np.ndarray:
+    """Per symbol, the least number of symbols from it on that are all those settled inside
+    some window; 0 if no window begins with it.
+
+    A window may repeat only if all symbols settled inside it are shared, and these stand in a
+    row, as both bounds of symbols only grow.
+    """
+    n = np.diff(starts)
+    at = np.flatnonzero(np.arange(int(starts[-1])) <= np.repeat(starts[1:] - window, n))
+    first = np.searchsorted(s.low, at)
+    count = np.searchsorted(s.high, at + window, side="right") - first
+    need = np.full(len(s.name) + 1, window + 1)
+    np.minimum.at(need, first[count > 0], count[count > 0])
+    need[need > window] = 0
+    return np.minimum(need[:-1], (1 << _NEED_BITS) - 1)
+
+
+def open_owners(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the sorted replies are of texts with an open window, and the symbols' numbers."""
+    number, need = place >> _NEED_BITS, place & ((1 << _NEED_BITS) - 1)
+    stops = np.ones(len(owner), bool)
+    stops[:-1] = (owner[1:] != owner[:-1]) | (number[1:] != number[:-1] + 1)
+    ends = np.flatnonzero(stops)
+    run = ends[np.searchsorted(ends, np.arange(len(owner)))] - np.arange(len(owner)) + 1
+    return np.isin(owner, owner[(need > 0) & (run >= need)]), number
+
+
 def _hashed(texts: list[bytes], hasher: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     words, counts = [], [0]
     for text in texts:
@@ -119,7 +149,8 @@ def _symbol_entries(blocks: int, window: int):
             loose = open_windows(s, np.ones(len(s.name), bool), starts, window)
             told = np.unique(owner[np.searchsorted(starts, loose, side="right") - 1])
             number = np.arange(len(s.doc)) - np.searchsorted(s.doc, s.doc)
-            yield send(s.name, owner[s.doc], number, blocks, False, told)
+            place = (number << _NEED_BITS) + needed_runs(s, starts, window)
+            yield send(s.name, owner[s.doc], place, blocks, False, told)
     return run
 
 
@@ -189,7 +220,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, others: tuple[str, ...
     the same way wherever the same words occur. Spark counts the last symbols. Where a window
     repeats, every symbol settled by the words in it does, so only windows without an
     unshared symbol are left; their hashes (64 bits) are counted to verify them, and hits
-    reported back to their texts. No posting list is gathered: a task sends a hash once.
+    reported back to their texts. No posting list is gathered: a task sends a hash once. Texts
+    are read again only if some window of theirs is left.
 
     Null text: no words. Null doc_id and repeated rows: treated as rows of their own, and
     their windows count as found twice. Texts of less than ``window`` words stay as they are.
@@ -203,7 +235,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, others: tuple[str, ...
     )
     texts = rows.select("dedup_key", "dedup_in").filter(F.length("dedup_in") >= 2 * window - 1)
     found = shared_places(
-        texts.mapInArrow(_symbol_entries(blocks, window), SCHEMA), blocks, False, "shared-symbols")
+        texts.mapInArrow(_symbol_entries(blocks, window), SCHEMA), blocks, False, "shared-symbols",
+        open_owners)
     likely = attach(texts, "dedup_key", found, only=True)
     repeated = shared_places(
         likely.mapInArrow(_window_entries(blocks, window), SCHEMA), blocks, True, "repeated-windows")
