@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,21 +93,59 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS) -> Itera
         yield columns
 
 
-class WordHashes:
-    """64-bit hashes of words given as bytes; those met before are looked up."""
+# Hashed bytes: the value of each byte, and the odd base of their polynomial.
+_BYTES = np.random.default_rng(20_240_601).integers(0, 1 << 64, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C17
+_SEGMENT = 1 << 20
+
 
-    LIMIT = 500_000
+class WordHashes:
+    """64-bit hashes of the words (runs of anything but ASCII white space) of UTF-8 texts.
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+    A word's hash is a polynomial over its bytes, modulo 2 ** 64, taken from running sums over
+    all bytes; with ``lower`` A-Z count as a-z. The texts are worked on in segments cut between
+    words, so that memory follows the segment and not the longest text.
+    """
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    def __init__(self, lower: bool = False) -> None:
+        self.values = _BYTES.copy()
+        if lower:
+            self.values[65:91] = self.values[97:123]
+        self.space = np.zeros(256, bool)
+        self.space[[9, 10, 11, 12, 13, 32]] = True
+        self.powers = self.inverse = np.ones(0, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.powers) < n:
+            factors = np.ones((2, n), np.uint64)
+            factors[0, 1:], factors[1, 1:] = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
+            self.powers, self.inverse = np.cumprod(factors, axis=1)
+
+    def _segment(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self._powers(len(part) + 1)
+        word = ~self.space[part]
+        edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
+        first, end = edge[::2], edge[1::2]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(self.values[part] * self.powers[: len(part)], out=sums[1:])
+        lengths = (end - first).astype(np.uint64)
+        return mixed((sums[end] - sums[first]) * self.inverse[first] + mixed(lengths)), first
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words, and the first word of each text, with their number last."""
+        flat = np.frombuffer(b"\n".join(texts), np.uint8)
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+        hashes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+        while at < len(flat):
+            stop = min(at + _SEGMENT, len(flat))
+            while stop < len(flat) and not self.space[flat[stop]]:
+                rest = np.flatnonzero(self.space[flat[stop: stop + _SEGMENT]])
+                stop = stop + int(rest[0]) if len(rest) else min(stop + _SEGMENT, len(flat))
+            found, first = self._segment(flat[at:stop])
+            hashes.append(found)
+            places.append(first + at)
+            at = stop
+        return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -127,7 +164,7 @@ def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` consecutive entries (by doubling; none if too short)."""
-    if len(words) < width:
+    if not 0 < width <= len(words):
         return np.empty(0, np.uint64)
     power, level, done, out = 1, words, 0, None
     while True:

@@ -28,23 +28,22 @@ SIDE = 1536
 COLUMNS = 1024
 
 
-def shingles(words: np.ndarray) -> np.ndarray:
-    """Distinct hashes, in order, of a text's shingles; of all its words if they are fewer."""
-    if not len(words):
-        return words
-    return np.unique(window_hashes(words, min(SHINGLE, len(words))))
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """(id, class, set) of each text; texts with the same words are of one class.
 
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(id, class, set) of each text; texts with the same words are of one class."""
-    hasher = WordHashes()
+    A set has the distinct hashes of the text's shingles, in order; of all its words as one,
+    if they are fewer. A-Z count as a-z.
+    """
+    hasher = WordHashes(lower=True)
     for ids, texts in chunks(batches):
+        words, starts = hasher(texts)
+        windows = window_hashes(words, SHINGLE)
         rows = []
-        for key, text in zip(ids, texts):
-            words = text.lower().split()  # A-Z only, at ASCII white space
-            name = np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).astype(np.int64)
-            rows.append((key, int(name), hasher(words)))
-        yield [(key, name, shingles(words)) for key, name, words in rows]
+        for key, a, b in zip(ids, starts.tolist(), starts[1:].tolist()):
+            mine = windows[a: b - SHINGLE + 1] if b - a >= SHINGLE else window_hashes(words[a:b], b - a)
+            name = np.uint64(xxhash.xxh3_64_intdigest(words[a:b].tobytes())).astype(np.int64)
+            rows.append((key, int(name), np.unique(mine)))
+        yield rows
 
 
 def _sizes(batches):

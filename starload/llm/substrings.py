@@ -130,20 +130,12 @@ def open_owners(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.isin(owner, owner[(need > 0) & (run >= need)]), number
 
 
-def _hashed(texts: list[bytes], hasher: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    words, counts = [], [0]
-    for text in texts:
-        words.extend(text.split())  # at ASCII white space
-        counts.append(len(words))
-    return hasher(words), np.array(counts)
-
-
 def _symbol_entries(blocks: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHashes()
         for keys, texts in chunks(batches):
             owner = np.array(keys, np.int64)
-            words, starts = _hashed(texts, hasher)
+            words, starts = hasher(texts)
             s = recompressed(words, starts)
             # Texts with windows that no symbol can rule out are looked at in any case.
             loose = open_windows(s, np.ones(len(s.name), bool), starts, window)
@@ -159,7 +151,7 @@ def _window_entries(blocks: int, window: int):
         hasher = WordHashes()
         for keys, texts, replies in chunks(batches):
             owner = np.array(keys, np.int64)
-            words, starts = _hashed(texts, hasher)
+            words, starts = hasher(texts)
             s = recompressed(words, starts)
             unshared = np.ones(len(s.name), bool)
             first = np.searchsorted(s.doc, np.arange(len(texts)))

@@ -3,8 +3,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from texts import AWKWARD, frame, prose, shown, words
+from texts import AWKWARD, LOWER, frame, prose, shown, words
 
+from starload.llm import common
 from starload.llm.common import WordHashes
 from starload.llm.substrings import open_windows, recompressed, remove_repeats
 
@@ -55,7 +56,7 @@ def test_settled_symbols_come_with_every_copy():
         texts = [[rng.choice("abc") for _ in range(rng.randint(0, 9))] for _ in range(4)]
         flat = texts[0] + core + texts[1] + texts[2] + core + texts[3]
         starts = np.array([0, len(texts[0]) + 40 + len(texts[1]), len(flat)])
-        hashes = WordHashes()([w.encode() for w in flat])
+        hashes, _ = WordHashes()([" ".join(flat).encode()])
         s = recompressed(hashes, starts)
         first, second = len(texts[0]), int(starts[1]) + len(texts[2])
         sets = []
@@ -67,7 +68,7 @@ def test_settled_symbols_come_with_every_copy():
 
 def test_no_window_is_lost_when_all_symbols_are_shared():
     starts = np.array([0, 50, 60])
-    hashes = WordHashes()([str(i).encode() for i in range(60)])
+    hashes, _ = WordHashes()([" ".join(map(str, range(60))).encode()])
     s = recompressed(hashes, starts)
     assert open_windows(s, np.zeros(len(s.name), bool), starts, 35).tolist() == list(range(16))
 
@@ -75,3 +76,16 @@ def test_no_window_is_lost_when_all_symbols_are_shared():
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).collect() == []
     assert remove_repeats(frame(spark, [(1, None)])).collect()[0].dedup_text == ""
+
+
+def test_word_hashes(monkeypatch):
+    texts = [(t or "").encode() for _, t in planted()] + ["A\u00a0b\u2003c x".encode(), b"", b"end"]
+    whole, starts = WordHashes()(texts)
+    assert np.diff(starts).tolist() == [len(words(t.decode())) for t in texts]
+    flat = [w for t in texts for w in words(t.decode())]
+    assert len(set(whole.tolist())) == len(set(flat)) == len(set(zip(flat, whole.tolist())))
+    lower, _ = WordHashes(lower=True)(texts)
+    assert len(set(lower.tolist())) == len({w.translate(LOWER) for w in flat})
+    monkeypatch.setattr(common, "_SEGMENT", 7)
+    cut, cut_starts = WordHashes()(texts)
+    assert cut.tolist() == whole.tolist() and cut_starts.tolist() == starts.tolist()
