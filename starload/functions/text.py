@@ -38,3 +38,12 @@ def pattern_fragments(name: Column) -> Column:
 def is_literal(name: Column) -> Column:
     """True when no character of ``name`` has a meaning in a LIKE pattern."""
     return ~name.rlike(r"[%_\\]")
+
+
+def decimals(number: Column) -> Column:
+    """Places after the point that a number written as text uses, its exponent included."""
+    digits = F.rtrim(F.regexp_extract(number, r"\.([0-9]*)", 1), F.lit("0"))
+    power = F.regexp_extract(number, r"[eE]([+-]?[0-9]+)", 1).try_cast("int")
+    zeros = F.length(F.regexp_extract(number, r"^[^.]*?(0*)[eE]", 1))
+    short = F.when(digits == "", -zeros).otherwise(F.length(digits))
+    return short - F.coalesce(power, F.lit(0))

@@ -43,6 +43,32 @@ def too_long(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def verify_members(rows: DataFrame, table: str) -> int:
+    """Raise if members repeat a natural or a surrogate key or are too long.
+
+    Members without a natural key may be many, as UNIQUE allows. Returns the highest
+    surrogate key, 0 for none. ``rows`` should be a written table.
+    """
+    contract = TABLES[table]
+    found = [
+        repeated_keys(rows.dropna(subset=list(key)), key).select(
+            F.lit(f"repeated {', '.join(key)}").alias("problem")).limit(1)
+        for key in (contract.natural, (contract.surrogate,))
+    ]
+    if contract.lengths:
+        found.append(
+            too_long(rows, table).select(F.concat("column", F.lit(" too long")).alias("problem"))
+        )
+    top = rows.agg(F.max(contract.surrogate).cast("string").alias("problem"))
+    lines = functools.reduce(DataFrame.unionByName, [f.withColumn("top", F.lit(False)) for f in found])
+    # One line per broken rule, and one with the highest key.
+    lines = lines.unionByName(top.withColumn("top", F.lit(True))).collect()
+    problems = [r["problem"] for r in lines if not r["top"]]
+    if problems:
+        raise ConstraintViolation(f"{table}: " + "; ".join(problems))
+    return int(next(r["problem"] for r in lines if r["top"]) or 0)
+
+
 def verify(rows: DataFrame, table: str, read: Callable[[str], DataFrame]) -> None:
     """Raise if rows to be merged repeat a key, miss a reference or are too long.
 

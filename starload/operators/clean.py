@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starload.functions.text import decimals
 from starload.schemas import AMOUNT
 
 REASON = "reject_reason"
@@ -60,6 +62,15 @@ def live(df: DataFrame, flag: str) -> DataFrame:
     return df.filter(F.col(flag) == F.lit(False))
 
 
-def fits_amount(column: str) -> Column:
-    """NULL, or a number the amount type can hold."""
-    return F.col(column).isNull() | F.col(column).try_cast(AMOUNT).isNotNull()
+def fits_amount(df: DataFrame, *columns: str) -> Column:
+    """NULL, or a number the amount type holds without changing it, in each column."""
+    test = F.lit(True)
+    for column in columns:
+        value, dtype = F.col(column), df.schema[column].dataType
+        amount = value.try_cast(AMOUNT)
+        if isinstance(dtype, T.StringType):
+            same = amount.isNotNull() & (decimals(value) <= AMOUNT.scale)
+        else:
+            same = F.coalesce(amount.try_cast(dtype) == value, F.lit(False))
+        test = test & (value.isNull() | same)
+    return test

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from starload.functions.dates import calendar
 from starload.functions.text import nonblank
 from starload.operators.clean import required
-from starload.operators.keys import assign_keys, highest, number_groups, number_rows
+from starload.operators.keys import assign_keys, number_groups
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
+from starload.session import materialize
 
 
 Offers = dict[tuple[str, str], Column | list[Column]]
@@ -35,11 +36,13 @@ def offers(rows: DataFrame, values: Offers) -> DataFrame:
 
 
 def new_members(
-    offered: DataFrame, values: Iterable[tuple[str, str]], targets: dict[str, DataFrame]
+    offered: DataFrame, values: Iterable[tuple[str, str]], targets: dict[str, DataFrame],
+    tops: dict[str, int | None] | None = None,
 ) -> dict[str, DataFrame]:
     """The offered members that are new, for dates and one-column dimensions.
 
-    Members that exist keep their key; new ones are keyed in their order.
+    Members that exist keep their key; new ones are keyed in their order, above the highest
+    key that ``tops`` has for their table or, without it, that is in use.
     """
     values = list(values)
     stored = functools.reduce(DataFrame.unionByName, [
@@ -52,8 +55,11 @@ def new_members(
     label = "members-" + "-".join(table for table, _ in values)
     fresh = absent(offered, stored, ["dim", "member"])
     numbered, first = number_groups(fresh, "dim", ["member"], label)
-    # One row per dimension reaches the driver.
-    tops = {r["dim"]: r["top"] for r in stored.groupBy("dim").agg(F.max("key").alias("top")).collect()}
+    tops = dict(tops or {})
+    if any(tops.get(table) is None for table, _ in values):
+        # One row per dimension reaches the driver.
+        used = stored.groupBy("dim").agg(F.max("key").alias("top")).collect()
+        tops = {r["dim"]: r["top"] for r in used} | {t: n for t, n in tops.items() if n is not None}
 
     def members(table: str, natural: str) -> DataFrame:
         own = numbered.filter(F.col("dim") == table)
@@ -70,7 +76,8 @@ def insert_members(offered: DataFrame, values: Iterable[tuple[str, str]], tables
     """Add the new ones of the offered members to the target tables."""
     values = list(values)
     targets = {table: tables.read(table) for table, _ in values}
-    for table, new in new_members(offered, values, targets).items():
+    tops = {table: tables.top(table) for table, _ in values}
+    for table, new in new_members(offered, values, targets, tops).items():
         tables.append(table, new)
 
 
@@ -83,7 +90,8 @@ def _identified(rows: DataFrame, table: str) -> DataFrame:
 
 
 def first_seen(
-    rows: DataFrame, table: str, target: DataFrame, order: Sequence[str] = ()
+    rows: DataFrame, table: str, target: DataFrame, order: Sequence[str] = (),
+    top: int | None = None,
 ) -> DataFrame:
     """New members with attributes; the first row of a member gives them."""
     contract = TABLES[table]
@@ -93,32 +101,56 @@ def first_seen(
     members = absent(first, target, natural).select(
         *[c for c in contract.names if c in rows.columns]
     )
-    return conform(assign_keys(members, target, contract.surrogate, natural, table), table)
+    return conform(assign_keys(members, target, contract.surrogate, natural, table, top), table)
 
 
-def overwrite(
+def changed_members(
     rows: DataFrame, table: str, target: DataFrame, attributes: Sequence[str],
-    order: Sequence[str] = (),
+    order: Sequence[str] = (), top: int | None = None,
 ) -> DataFrame:
-    """The whole dimension after adding members and replacing attributes.
+    """New members, and those whose attributes change, as they are afterwards.
 
     The last row of a member gives its attributes, NULL included. Attributes not
-    named, and all surrogate keys, stay as they are.
+    named, and all surrogate keys, stay as they are. Only new members are numbered.
     """
     contract = TABLES[table]
     key, natural = contract.surrogate, list(contract.natural)
     rows = _identified(rows, table)
-    last = last_wins(rows, natural, total_order(rows, order, natural)).select(*natural, *attributes)
-    stored = target.select(*[c for c in contract.names if c not in attributes])
-    # New members sort first, so that their positions are dense from 0.
-    merged = last.join(stored, natural, "left").withColumn("_known", F.col(key).isNotNull())
-    numbered = number_rows(merged, ["_known", *natural], table)
-    top = highest(target, key)
-    touched = numbered.withColumn(
-        key, F.coalesce(F.col(key), F.lit(top + 1) + F.col("_position"))
-    )
-    untouched = absent(target, numbered, natural)
-    return conform(touched, table).unionByName(conform(untouched, table))
+    types = dict(contract.columns)
+    last = last_wins(rows, natural, total_order(rows, order, natural)).select(
+        *natural, *[F.col(a).cast(types[a]).alias(a) for a in attributes])
+    before = target.select(*[F.col(c).alias(f"_{c}" if c in attributes else c) for c in contract.names])
+    both = materialize(last.join(before, natural, "left"), f"{table}-offers")
+    same = functools.reduce(
+        lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(f"_{a}")) for a in attributes])
+    kept = both.filter(F.col(key).isNotNull() & ~same)
+    fresh = both.filter(F.col(key).isNull()).drop(key)
+    fresh = assign_keys(fresh, target, key, natural, table, top)
+    return conform(kept, table).unionByName(conform(fresh, table))
+
+
+def overwrite(
+    rows: DataFrame, table: str, target: DataFrame, attributes: Sequence[str],
+    order: Sequence[str] = (), top: int | None = None,
+) -> DataFrame:
+    """The whole dimension after adding members and replacing attributes."""
+    changed = changed_members(rows, table, target, attributes, order, top)
+    untouched = absent(target, changed, TABLES[table].natural)
+    return conform(untouched, table).unionByName(changed)
+
+
+def overwrite_members(
+    rows: DataFrame, table: str, tables, attributes: Sequence[str], order: Sequence[str] = (),
+) -> None:
+    """Publish new attributes and members; nothing is published if nothing changes."""
+    target = tables.read(table)
+    changed = materialize(
+        changed_members(rows, table, target, attributes, order, tables.top(table)), table)
+    if not changed.isEmpty():
+        untouched = absent(target, changed, TABLES[table].natural)
+        tables.replace(table, conform(untouched, table).unionByName(changed))
+    elif not tables.exists(table):
+        tables.replace(table, changed)
 
 
 def blank_members(

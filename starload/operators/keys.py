@@ -70,10 +70,11 @@ def highest(target: DataFrame, key: str) -> int:
 
 
 def assign_keys(
-    new: DataFrame, target: DataFrame, key: str, order: Sequence[str], label: str
+    new: DataFrame, target: DataFrame, key: str, order: Sequence[str], label: str,
+    top: int | None = None,
 ) -> DataFrame:
-    """Keys above the target's highest one, in the order of the natural key."""
-    top = highest(target, key)
+    """Keys above ``top``, or the target's highest one, in the order of the natural key."""
+    top = highest(target, key) if top is None else top
     return (
         number_rows(new, order, label)
         .withColumn(key, F.lit(top + 1) + F.col("_position"))

@@ -10,6 +10,9 @@ from starload.operators.lookup import Lookup
 from starload.operators.merge import last_wins, total_order
 from starload.plans.report import Report
 
+# Tables a first load finds missing and creates.
+CREATED = ("d_date", "d_item", "d_project", "f_inventory")
+
 SOURCE = ("inventory_id", "item_name", "quantity", "location", "updated_date")
 
 
@@ -21,7 +24,7 @@ def check(inventory: DataFrame) -> DataFrame:
         ("missing item_name", F.col("item_name").isNotNull()),
         ("missing location", F.col("location").isNotNull()),
         ("missing inventory_id", F.col("inventory_id").isNotNull()),
-        ("bad quantity", clean.fits_amount("quantity")),
+        ("bad quantity", clean.fits_amount(rows, "quantity")),
     ])
 
 
@@ -57,6 +60,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 
 def load(inventory: DataFrame, tables) -> Report:
+    tables.create(*CREATED)
     checked = check(inventory)
     load_dimensions(checked, tables)
     merged = tables.upsert("f_inventory", resolve(checked, tables))

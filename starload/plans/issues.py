@@ -11,6 +11,12 @@ from starload.operators.merge import last_wins, total_order
 from starload.plans.report import Report
 from starload.session import materialize
 
+# Tables a first load finds missing and creates.
+CREATED = (
+    "d_date", "d_project", "d_property", "dim_issue_type",
+    "dim_severity", "dim_priority", "dim_status", "dim_reporter", "fact_issues",
+)
+
 # Source column -> its dimension, natural column, key column and fact column.
 ATTRIBUTES = {
     "issue_type": ("dim_issue_type", "issue_type", "issue_type_key", "issue_type_key"),
@@ -77,14 +83,10 @@ def load_dimensions(
     )
     names = _names(offered, "d_project", "project_id", projects, "project_id", "project_name",
                    "project_name")
-    tables.replace("d_project", dims.overwrite(
-        names, "d_project", tables.read("d_project"), ["project_name"], ["project_name"]
-    ))
+    dims.overwrite_members(names, "d_project", tables, ["project_name"], ["project_name"])
     names = _names(offered, "d_property", "property_id", properties, "propertyid", "name",
                    "property_name")
-    tables.replace("d_property", dims.overwrite(
-        names, "d_property", tables.read("d_property"), ["property_name"], ["property_name"]
-    ))
+    dims.overwrite_members(names, "d_property", tables, ["property_name"], ["property_name"])
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
@@ -104,6 +106,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 
 def load(issues: DataFrame, projects: DataFrame, properties: DataFrame, tables) -> Report:
+    tables.create(*CREATED)
     checked = check(issues)
     load_dimensions(checked, projects, properties, tables)
     merged = tables.upsert("fact_issues", resolve(checked, tables))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.dates import strict_date
+from starload.functions.text import decimals
 from starload.functions.truth import is_scalar, truthy
 from starload.operators import clean, dims, lookup
 from starload.operators.lookup import Lookup
@@ -16,6 +17,9 @@ from starload.schemas import AMOUNT
 from starload.sources.payload import records
 from starload.session import materialize
 
+# Tables a first load finds missing and creates.
+CREATED = ("d_date", "d_item", "d_project", "f_inventory_requests")
+
 FIELDS = ("request_id", "item_name", "quantity", "location", "requested_date")
 
 
@@ -35,9 +39,8 @@ def check(payloads: DataFrame) -> DataFrame:
         complete = complete & truthy(F.col(f"_{field}"))
     is_text = F.schema_of_variant("_requested_date") == "STRING"
     number_or_text = F.schema_of_variant("_quantity").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING)")
-    amount = F.when(
-        number_or_text, F.try_variant_get(F.col("_quantity"), "$", "string").try_cast(AMOUNT)
-    )
+    quantity = F.when(number_or_text, F.try_variant_get(F.col("_quantity"), "$", "string"))
+    amount = F.when(decimals(quantity) <= AMOUNT.scale, quantity.try_cast(AMOUNT))
     date = F.when(is_text, strict_date(_text("requested_date")))
     return clean.classify(
         raw.withColumn("quantity", amount).withColumn("date", date)
@@ -86,6 +89,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 
 def load(payloads: DataFrame, tables) -> Report:
+    tables.create(*CREATED)
     # Parsed once; the typed records feed three dimensions and the fact.
     checked = materialize(check(payloads), "payload")
     load_dimensions(checked, tables)

@@ -13,6 +13,9 @@ from starload.plans.report import Report
 from starload.schemas import TABLES
 from starload.session import materialize
 
+# Tables a first load finds missing and creates.
+CREATED = ("d_date", "d_invoice", "d_vendor", "f_payments")
+
 AMOUNTS = ("amount_to_pay", "paid_amount", "overdue_amount", "taxes_sgst", "taxes_cgst")
 INVOICE = (
     "avenue_created_invoice_id", "supplier_name", "created_date", "total_bill_amount", *AMOUNTS,
@@ -43,7 +46,7 @@ def check(extracted: DataFrame) -> DataFrame:
     rows = extracted.withColumn("date", F.to_date("created_date"))
     return clean.classify(rows, [
         ("missing vendor_id", F.col("vendor_id").isNotNull()),
-        *[(f"bad {c}", clean.fits_amount(c)) for c in AMOUNTS],
+        *[(f"bad {c}", clean.fits_amount(rows, c)) for c in AMOUNTS],
     ])
 
 
@@ -53,7 +56,8 @@ def load_dimensions(checked: DataFrame, tables) -> None:
     seen = checked.select("created_date", "invoice_id", "vendor_id", "vendor_name")
     tables.append(
         "d_vendor",
-        dims.first_seen(seen, "d_vendor", tables.read("d_vendor"), ["created_date", "invoice_id"]),
+        dims.first_seen(seen, "d_vendor", tables.read("d_vendor"), ["created_date", "invoice_id"],
+                        tables.top("d_vendor")),
     )
 
 
@@ -71,6 +75,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 
 def load(invoices: DataFrame, vendors: DataFrame, tables) -> Report:
+    tables.create(*CREATED)
     # The match feeds three dimensions and the fact, so it is joined once.
     checked = check(materialize(extract(invoices, vendors), "payments"))
     load_dimensions(checked, tables)

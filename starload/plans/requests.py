@@ -12,8 +12,15 @@ from starload.operators.lookup import Lookup
 from starload.operators.merge import first_wins, total_order
 from starload.plans.report import Report
 from starload.schemas import TABLES
+from starload.session import materialize
 from starload.sources.scan import project
 
+# Tables a first load finds missing and creates.
+CREATED = (
+    "d_employees", "d_item_type", "d_request_status", "d_item",
+    "d_project", "d_property", "fact_inventory_requests",
+)
+
 EMPLOYEE = {
     "emp_id": "employee_code", "first_name": "first_name", "last_name": "last_name",
     "email": "email",
@@ -60,9 +67,8 @@ def purge_blanks(tables) -> dict[str, DataFrame]:
 
 
 def load_dimensions(staff: DataFrame, requests: DataFrame, tables) -> dict[str, DataFrame]:
-    tables.append(
-        "d_employees", dims.first_seen(employees(staff), "d_employees", tables.read("d_employees"))
-    )
+    tables.append("d_employees", dims.first_seen(
+        employees(staff), "d_employees", tables.read("d_employees"), top=tables.top("d_employees")))
     type_, status = F.col("item_type"), F.col("status")
     values = {
         ("d_item_type", "item_type"): F.when(nonblank(type_), type_),
@@ -98,7 +104,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
         Lookup("property_name", properties, "property_name", "property_key", "property_key"),
         Lookup("item_name", tables.read("d_item"), "item_name", "item_key", "item_key"),
     ])
-    return clean.classify(found, [("bad quantity", clean.fits_amount("quantity"))])
+    return clean.classify(found, [("bad quantity", clean.fits_amount(found, "quantity"))])
 
 
 def facts(resolved: DataFrame) -> DataFrame:
@@ -110,8 +116,10 @@ def facts(resolved: DataFrame) -> DataFrame:
 
 
 def load(staff: DataFrame, requests: DataFrame, tables) -> Report:
+    tables.create(*CREATED)
     blanks = load_dimensions(staff, requests, tables)
     checked = check(requests)
-    resolved = resolve(checked, tables)
+    # Written once: the fact, the rejects and the counts read it.
+    resolved = materialize(resolve(checked, tables), "requests")
     merged = tables.insert_absent("fact_inventory_requests", facts(resolved))
-    return Report("requests", "request_id", checked, resolved, merged, blanks)
+    return Report("requests", "request_id", resolved, resolved, merged, blanks)

@@ -26,7 +26,7 @@ def run(
     with scratch(spark):
         for left in reversed(range(attempts)):
             try:
-                report = load(*sources, warehouse)
+                report = load(*sources, warehouse.begin())
                 break
             except Conflict:
                 if not left:

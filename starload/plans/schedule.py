@@ -12,6 +12,9 @@ from starload.operators.merge import last_wins, total_order
 from starload.plans.report import Report
 from starload.session import materialize
 
+# Tables a first load finds missing and creates.
+CREATED = ("d_date", "d_project", "d_property", "d_phase", "d_status", "f_property_schedule")
+
 # Read order of the extract. Project and property columns come right after the
 # start date: all rows of a property and start date meet every version of these,
 # so the winning version follows from the distinct versions alone.
@@ -41,27 +44,23 @@ def check(extracted: DataFrame) -> DataFrame:
         "end_date_key", date_key(F.col("enddate"))
     )
     return clean.classify(rows, [
-        ("bad budget", clean.fits_amount("budget") & clean.fits_amount("usedbudget")),
+        ("bad budget", clean.fits_amount(rows, "budget", "usedbudget")),
         ("missing phasename", F.col("phasename").isNotNull()),
         ("missing status", F.col("status").isNotNull()),
         ("missing scheduleid", F.col("scheduleid").isNotNull()),
-        ("bad percentage", clean.fits_amount("percentage")),
+        ("bad percentage", clean.fits_amount(rows, "percentage")),
     ])
 
 
 def load_dimensions(checked: DataFrame, tables) -> None:
     """Rows rejected later still add dates and refresh project and property."""
     projects = checked.select("project_id", "project_name").distinct()
-    tables.replace("d_project", dims.overwrite(
-        projects, "d_project", tables.read("d_project"), ["project_name"], ["project_name"]
-    ))
+    dims.overwrite_members(projects, "d_project", tables, ["project_name"], ["project_name"])
     attributes = ["property_name", "budget", "usedbudget"]
-    sound = clean.fits_amount("budget") & clean.fits_amount("usedbudget")
+    sound = clean.fits_amount(checked, "budget", "usedbudget")
     properties = checked.filter(sound).select("property_id", "project_name", *attributes).distinct()
-    tables.replace("d_property", dims.overwrite(
-        properties, "d_property", tables.read("d_property"), attributes,
-        ["project_name", *attributes],
-    ))
+    dims.overwrite_members(
+        properties, "d_property", tables, attributes, ["project_name", *attributes])
     phase = F.when(sound, F.col("phasename"))
     values = {
         ("d_date", "date"): [F.col("startdate"), F.col("enddate")],
@@ -89,6 +88,7 @@ def load(
     property_schedule: DataFrame, schedule: DataFrame, properties: DataFrame,
     projects: DataFrame, tables,
 ) -> Report:
+    tables.create(*CREATED)
     # The extract feeds five dimensions and the fact, so it is joined once.
     extracted = extract(property_schedule, schedule, properties, projects)
     checked = check(materialize(extracted, "schedule"))

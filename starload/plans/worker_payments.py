@@ -10,6 +10,9 @@ from starload.operators.lookup import Lookup
 from starload.operators.merge import last_wins, total_order
 from starload.plans.report import Report
 
+# Tables a first load finds missing and creates.
+CREATED = ("core_dim_worker", "core_dim_status", "core_dim_user", "fact_worker_payments")
+
 AMOUNTS = (
     "total_hours_worked", "total_sqft_completed", "total_days", "gross_amount", "tds_percent",
     "tds_amount", "net_amount",
@@ -28,7 +31,7 @@ def check(payments: DataFrame) -> DataFrame:
     """Payments that have an id, with their date."""
     rows = clean.required(payments.select(*SOURCE), "payment_id")
     rows = rows.withColumn("created_date", F.to_date("created_at"))
-    return clean.classify(rows, [(f"bad {c}", clean.fits_amount(c)) for c in AMOUNTS])
+    return clean.classify(rows, [(f"bad {c}", clean.fits_amount(rows, c)) for c in AMOUNTS])
 
 
 def created_date(tables) -> Lookup:
@@ -39,10 +42,10 @@ def created_date(tables) -> Lookup:
 
 def load_dimensions(checked: DataFrame, tables) -> None:
     attributes = ["worker_name", "worker_type"]
-    tables.replace("core_dim_worker", dims.overwrite(
+    dims.overwrite_members(
         checked.select("created_at", "worker_id", *attributes, "payment_id"), "core_dim_worker",
-        tables.read("core_dim_worker"), attributes, ["created_at"],
-    ))
+        tables, attributes, ["created_at"],
+    )
     values = {
         ("core_dim_status", "status_name"): F.col("status"),
         ("core_dim_user", "user_email"): F.col("created_by"),
@@ -51,9 +54,10 @@ def load_dimensions(checked: DataFrame, tables) -> None:
 
 
 def resolve(checked: DataFrame, tables) -> DataFrame:
-    """One row per payment with its keys; raises on an unknown date."""
+    """One row per payment with its keys; the dates are known to be found."""
     rows = clean.kept(checked)
-    found = lookup.or_null(lookup.or_fail(rows, created_date(tables)), [
+    found = lookup.or_null(rows, [
+        created_date(tables),
         Lookup("worker_id", tables.read("core_dim_worker"), "worker_id", "worker_key",
                "worker_key"),
         Lookup("status", tables.read("core_dim_status"), "status_name", "status_key",
@@ -66,12 +70,13 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 
 
 def load(payments: DataFrame, tables) -> Report:
-    """All or nothing: dates and amounts are checked before anything is written."""
+    """Dates and amounts are checked before anything is written."""
     checked = check(payments)
     bad = clean.rejects(checked, "worker_payments", "payment_id").first()
     if bad:
         raise BadAmount(f"payment {bad['key']}: {bad['reason']}")
     lookup.or_fail(checked, created_date(tables))
+    tables.create(*CREATED)
     load_dimensions(checked, tables)
     merged = tables.upsert("fact_worker_payments", resolve(checked, tables))
     return Report("worker_payments", "payment_id", checked, checked, merged)

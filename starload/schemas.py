@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 TEXT, LONG, INT, DATE = T.StringType(), T.LongType(), T.IntegerType(), T.DateType()
-AMOUNT = T.DecimalType(38, 6)
+# As Spark reads a NUMERIC of any scale; a value it would change is rejected.
+AMOUNT = T.DecimalType(38, 18)
 
 
 @dataclass(frozen=True)

@@ -52,7 +52,7 @@ def _file_system(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _session_area(spark: SparkSession) -> str:
+def session_area(spark: SparkSession) -> str:
     """Where copies go outside of ``scratch``; dropped when the application ends."""
     area = f"{scratch_root(spark)}/starload/{spark.sparkContext.applicationId}"
     path, files = _file_system(spark, area)
@@ -83,7 +83,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     broadcast.
     """
     spark = df.sparkSession
-    area = _AREA.get() or _session_area(spark)
+    area = _AREA.get() or session_area(spark)
     path = f"{area}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SCHEMA = "records variant, _corrupt_record string"
+# Each record is a variant of its own, so that a document may be larger than one can be.
+SCHEMA = "records array<variant>, _corrupt_record string"
 
 
 def _with_arrival(df: DataFrame) -> DataFrame:
@@ -32,12 +34,18 @@ def records(payloads: DataFrame) -> DataFrame:
     """One row per element of ``records``, with its place in the list.
 
     A document without the list, or with something else in its place, has none.
-    A document that is not a JSON object gives one row, marked unreadable.
+    A document that is not a JSON object gives one row, marked unreadable. ``records``
+    is an array of variants, or one variant.
     """
     corrupt = F.lit(False)
     if "_corrupt_record" in payloads.columns:
-        corrupt = F.col("_corrupt_record").isNotNull()
-    elements = F.try_variant_get(F.col("records"), "$", "array<variant>")
+        # An object whose ``records`` is no list is kept by the reader as it came.
+        kind = F.schema_of_variant(F.try_parse_json("_corrupt_record"))
+        corrupt = F.col("_corrupt_record").isNotNull() & ~F.coalesce(
+            kind.startswith("OBJECT"), F.lit(False))
+    elements = F.col("records")
+    if payloads.schema["records"].dataType == T.VariantType():
+        elements = F.try_variant_get(elements, "$", "array<variant>")
     listed = payloads.select(
         "arrival", corrupt.alias("unreadable"),
         F.posexplode_outer(elements).alias("position", "record"),

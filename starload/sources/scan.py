@@ -37,10 +37,15 @@ def scan_jdbc(
 ) -> DataFrame:
     """A copy of a database table, read by ``partitions`` tasks over ``split_on``.
 
+    ``split_on`` must be a number, a date or a time: of a table keyed by text, the time a
+    row was made or changed. Rows come ``fetchsize`` at a time (10,000 unless given), as a
+    driver may else hold all rows of a task.
+
     The range bounds are asked from the database. The copy is made once, as a
     load passes over its source several times and the table may change meanwhile.
     The driver jar of the database must be on the class path.
     """
+    options = {"fetchsize": "10000", **options}
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     ends = (
         reader.option("query", f"SELECT MIN({split_on}) AS lo, MAX({split_on}) AS hi FROM {table}")

@@ -27,6 +27,15 @@ class SessionTables:
     def exists(self, name: str) -> bool:
         return name in self._frames
 
+    def top(self, name: str) -> int | None:
+        """Not recorded: keys go on from the highest one in use."""
+        return None
+
+    def create(self, *names: str) -> None:
+        """The named tables without rows, where they do not exist."""
+        for name in names:
+            self._frames.setdefault(name, empty(self.spark, name))
+
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows that are known to be new."""
         rows = conform(rows, name)

@@ -2,8 +2,12 @@
 
 Parquet tables take no MERGE, UPDATE or DELETE. A load therefore writes new files
 beside the ones in use and then names the files that make up the table in a new
-pointer. A load that fails before that leaves the table as it was, and a reader
-sees either all of a load or none of it.
+pointer. A load that fails before that leaves the table as it was, and a reader of
+the table sees either all of it or none. Tables are published one by one: a load that
+fails at its fact leaves its new members, which a rerun finds.
+
+The file system must refuse to rename a file onto one that exists, as HDFS and local
+ones do; stores that copy instead would let two writers of a table both succeed.
 
 Facts are kept in hash buckets of their natural key, and an upsert rewrites only
 the buckets its batch touches. Of two writers of a table the later one is refused.
@@ -17,14 +21,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.operators.checks import verify
-from starload.operators.keys import assign_bucket_keys, bucket
+from starload.operators.checks import verify, verify_members
+from starload.operators.keys import assign_bucket_keys, bucket, highest
 from starload.operators.merge import Conflict, absent
 from starload.schemas import TABLES, conform, empty
 from starload.session import materialize
 
 BUCKET = "kb"
 _WHOLE = "all"
+# Folders a dimension or bucket may have before a load writes them as one, and pointers kept.
+_FOLDERS = 8
+_POINTERS = 8
 
 
 class Warehouse:
@@ -38,10 +45,26 @@ class Warehouse:
         # leaves one bucket per task. A table keeps the number it began with.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.check = check
-        self._seen: dict[str, dict] = {}
+        # Of a load: the pointers it works on, by table. Else reads see the newest ones.
+        self._held: dict[str, dict] | None = None
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def begin(self) -> Warehouse:
+        """The tables as one load sees them.
+
+        A table is held as it was when the load first read it, until the load itself
+        publishes it. Publishing over what another writer did meanwhile is refused.
+        """
+        load = Warehouse(self.spark, self.root, self.buckets, self.check)
+        load._held = {}
+        return load
+
+    def _current(self, name: str) -> dict:
+        if self._held is None:
+            return self._pointer(name)
+        return self._held.setdefault(name, self._pointer(name))
+
     # Pointers: <table>/_pointer/<number>.json, the highest number is current.
 
     def _numbers(self, name: str) -> list[int]:
@@ -54,21 +77,26 @@ class Warehouse:
     def _pointer(self, name: str) -> dict:
         numbers = self._numbers(name)
         if not numbers:
-            return {"number": 0, "buckets": self.buckets, "parts": {}}
+            return {"number": 0, "buckets": self.buckets, "parts": {}, "top": 0}
         path = self._path(f"{self.root}/{name}/_pointer/{numbers[-1]}.json")
         stream = self._fs.open(path)
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return {"number": numbers[-1], **json.loads(text)}
+        return {"number": numbers[-1], "top": 0, **json.loads(text)}
 
-    def _switch(self, name: str, pointer: dict, parts: dict[str, list[str]]) -> None:
-        """Make ``parts`` the table; fail if another writer was first."""
+    def _switch(self, name: str, pointer: dict, parts: dict[str, list[str]], top: int = 0) -> None:
+        """Make ``parts`` the table; fail if another writer was first.
+
+        ``top`` is the highest surrogate key in it. The pointer keeps the highest one ever, as a
+        key that was purged must not name another member.
+        """
         folder = f"{self.root}/{name}/_pointer"
         draft = self._path(f"{folder}/.{uuid.uuid4().hex}")
         final = self._path(f"{folder}/{pointer['number'] + 1}.json")
-        body = json.dumps({"buckets": pointer["buckets"], "parts": parts})
+        top = max(top, pointer["top"])
+        body = json.dumps({"buckets": pointer["buckets"], "parts": parts, "top": top})
         stream = self._fs.create(draft, False)
         try:
             stream.write(bytearray(body, "utf-8"))
@@ -77,6 +105,22 @@ class Warehouse:
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             self._fs.delete(draft, False)
             raise Conflict(f"{name} was published by another writer meanwhile")
+        if self._held is not None:
+            self._held[name] = {
+                "number": pointer["number"] + 1, "buckets": pointer["buckets"], "parts": parts, "top": top,
+            }
+        self._drop_old_pointers(name, pointer["number"])
+
+    def _drop_old_pointers(self, name: str, number: int) -> None:
+        """Keep the newest pointers only: readers open one at once, and name files by it."""
+        for old in self._numbers(name):
+            if old <= number - _POINTERS:
+                self._fs.delete(self._path(f"{self.root}/{name}/_pointer/{old}.json"), False)
+
+    def top(self, name: str) -> int | None:
+        """The highest surrogate key the table ever had; None if it is not recorded."""
+        pointer = self._current(name)
+        return pointer["top"] or (None if pointer["parts"] else 0)
 
     # Reading
 
@@ -92,7 +136,7 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """The published table, empty but with its columns before its first load."""
-        pointer = self._seen[name] = self._pointer(name)
+        pointer = self._current(name)
         paths = {p for paths in pointer["parts"].values() for p in paths}
         return self._load(name, sorted(paths))
 
@@ -122,30 +166,45 @@ class Warehouse:
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows that are known to be new; the files in use stay.
 
-        Rows keyed by what was read before are refused if the table has changed.
+        Rows keyed by what a load has read are refused if the table has changed since.
         """
         version = self._write(name, rows)
-        seen = self._seen.pop(name, None) if TABLES[name].surrogate else None
-        if self.exists(name) and self._load(name, [version]).isEmpty():
+        keyed = TABLES[name].surrogate is not None
+        pointer = self._current(name) if keyed else self._pointer(name)
+        written = self._load(name, [version])
+        if pointer["number"] and written.isEmpty():
             return
+        top = self._check_members(name, written)
         for last in (False, False, False, True):
-            pointer = seen or self._pointer(name)
             parts = dict(pointer["parts"])
-            parts[_WHOLE] = [*parts.get(_WHOLE, []), version]
+            paths = [*parts.get(_WHOLE, []), version]
+            if len(paths) > _FOLDERS:
+                paths = [self._write(name, self._load(name, paths).coalesce(_FOLDERS))]
+            parts[_WHOLE] = paths
             try:
-                return self._switch(name, pointer, parts)
+                return self._switch(name, pointer, parts, top)
             except Conflict:
-                if seen or last:
+                if keyed or last:
                     raise
+                pointer = self._pointer(name)
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Put a whole new table in place, unless it changed since it was read."""
-        pointer = self._seen.pop(name, None) or self._pointer(name)
+        pointer = self._current(name)
         if TABLES[name].fact:
             written = self._write_buckets(name, df, pointer["buckets"])
             self._switch(name, pointer, {b: [folder] for b, folder in written.items()})
         else:
-            self._switch(name, pointer, {_WHOLE: [self._write(name, df)]})
+            version = self._write(name, df)
+            top = self._check_members(name, self._load(name, [version]))
+            self._switch(name, pointer, {_WHOLE: [version]}, top)
+
+    def _check_members(self, name: str, rows: DataFrame) -> int:
+        """Refuse members that repeat a key or are too long; returns their highest key."""
+        surrogate = TABLES[name].surrogate
+        if surrogate is None or not self.check:
+            return 0 if surrogate is None else highest(rows, surrogate)
+        return verify_members(rows, name)
 
     def _check(self, name: str, rows: DataFrame) -> None:
         if self.check:
@@ -157,7 +216,7 @@ class Warehouse:
         The batch is written once, by bucket. Of the stored rows only those in a
         bucket of the batch are read, and written again without the replaced ones.
         """
-        pointer = self._pointer(name)
+        pointer = self._current(name)
         parts = dict(pointer["parts"])
         written = self._write_buckets(name, batch, pointer["buckets"])
         rows = self._load(name, list(written.values()))
@@ -178,7 +237,7 @@ class Warehouse:
         Returns the number of rows added.
         """
         contract = TABLES[name]
-        pointer = self._pointer(name)
+        pointer = self._current(name)
         parts = dict(pointer["parts"])
         staged = materialize(conform(batch, name), f"batch-{name}")
         self._check(name, staged)
@@ -192,10 +251,17 @@ class Warehouse:
                 fresh, stored, contract.natural, contract.surrogate, pointer["buckets"]
             )
         written = self._write_buckets(name, fresh, pointer["buckets"])
+        added = self._load(name, list(written.values())).count()
         for b, folder in written.items():
             parts[b] = [*parts.get(b, []), folder]
+        # Buckets that many small batches built up are written as one folder again.
+        full = [b for b in written if len(parts[b]) > _FOLDERS]
+        if full:
+            rows = self._load(name, [p for b in full for p in parts[b]])
+            whole = self._write_buckets(name, rows.repartition(*contract.natural), pointer["buckets"])
+            parts.update({b: [folder] for b, folder in whole.items()})
         self._switch(name, pointer, parts)
-        return self._load(name, list(written.values())).count()
+        return added
 
     def compact(self, name: str) -> None:
         """Rewrite buckets and dimensions that many small appends have built up."""

@@ -46,17 +46,21 @@ def load_new_invoices(
     """Match new invoices to the known vendors, and new vendors to all invoices.
 
     A full re-read would also match a vendor that is new or has a new name to the
-    invoices loaded before. Only such vendors meet the stored invoices again.
+    invoices loaded before. Only such vendors meet the stored invoices again; "known" are the
+    names of the batch before, not all names ever held.
     """
     key = ["vendor_id", "vendor_name"]
     vendors = vendors.select(*key).distinct()
     seen = warehouse.read("vendors_seen")
     with scratch(warehouse.spark):
+        vendors = materialize(vendors, "vendors")
         unseen = materialize(absent(vendors, seen, key), "new-vendors")
         run(payments.load, warehouse, batch, vendors.join(seen, key, "left_semi"))
         if not unseen.isEmpty():
             run(payments.load, warehouse, stored, unseen)
-            warehouse.append("vendors_seen", unseen)
+        # A name that is gone must count as new when it comes back.
+        if not unseen.isEmpty() or not absent(seen, vendors, key).isEmpty():
+            warehouse.replace("vendors_seen", vendors)
 
 
 def follow_invoices(

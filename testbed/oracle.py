@@ -429,3 +429,22 @@ ORACLE["upsert_payload"] = with_(PAYLOAD, f"""
     SELECT request_id, item.k AS item_key, q AS quantity, proj.k AS project_key,
            {dkey('d')} AS date_key
     FROM won JOIN item ON item.m = item_name JOIN proj ON proj.m = location""")
+
+ORACLE["check_dimensions"] = with_([src("members")], """
+    SELECT 'repeated vendor_key' AS problem, count(*) AS n_rows
+    FROM (SELECT vendor_key FROM src GROUP BY vendor_key HAVING count(*) > 1) x
+    UNION ALL SELECT 'vendor_id too long', count(*) FROM src WHERE length(vendor_id) > 20
+    HAVING count(*) > 0""")
+ORACLE["fine_amounts"] = with_([src("fine_inventory")], """
+    SELECT inventory_id,
+           CASE WHEN quantity = '0.0000000000000000001' THEN 'bad quantity' ELSE 'loaded' END AS outcome,
+           CASE WHEN quantity <> '0.0000000000000000001'
+                THEN CAST(CAST(quantity AS DECIMAL(38,18)) * 10000000 AS DOUBLE) END AS ten_millionths
+    FROM src""")
+
+# Published tables hold what the session's do.
+for _name, _same in (("inventory", "upsert_inventory"), ("requests", "insert_new_requests"),
+                     ("payments", "insert_absent_payments")):
+    ORACLE[f"published_{_name}"] = ORACLE[_same]
+ORACLE["published_request_keys"] = f"""
+    SELECT count(*) AS n_keys, count(*) AS n_different FROM ({ORACLE['insert_new_requests']}) x"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from starload.operators.merge import first_wins, last_wins, total_order
 from starload.plans import (
     inventory, issues, payload, payments, requests, schedule, worker_payments,
 )
-from starload.session import configure
+from starload.plans.run import run
+from starload.session import configure, session_area
 from starload.sources.payload import records
 from starload.sources.scan import project, scan
 from starload.sources.tables import SessionTables
+from starload.sources.warehouse import Warehouse
 from testbed.sources import ISSUE_SPLIT, SPLIT, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,3 +538,72 @@ def check_foreign_keys(spark, d):
     tables = SessionTables(spark, {"core_dim_date": source(spark, d, "core_dim_date")})
     fact = inventory_tables(spark, d).read("f_inventory")
     return checks.orphans(fact, "date_key", tables.read("core_dim_date"), "date_key")
+
+
+@query
+def check_dimensions(spark, d):
+    """What keeps these members from being published."""
+    members = source(spark, d, "members")
+    keys = checks.repeated_keys(members, ["vendor_key"]).agg(F.count(F.lit(1)).alias("n_rows"))
+    return keys.select(F.lit("repeated vendor_key").alias("problem"), "n_rows").unionByName(
+        checks.too_long(members, "d_vendor").select(
+            F.concat("column", F.lit(" too long")).alias("problem"), "n_rows"))
+
+
+@query
+def fine_amounts(spark, d):
+    """Quantities kept to their last digit, or rejected."""
+    checked = inventory.check(source(spark, d, "fine_inventory"))
+    kept = F.when(F.col(clean.REASON).isNull(), F.col("quantity").try_cast("decimal(38,18)"))
+    return checked.select(
+        "inventory_id", F.coalesce(clean.REASON, F.lit("loaded")).alias("outcome"),
+        (kept * 10_000_000).alias("ten_millionths"))
+
+
+# The published path: two loads into tables on disk, and the fact read back.
+
+
+def published(spark: SparkSession, load, *batches) -> Warehouse:
+    warehouse = Warehouse(spark, f"{session_area(spark)}/published-{uuid.uuid4().hex}")
+    for batch in batches:
+        run(load, warehouse, *batch)
+    return warehouse
+
+
+def published_request_tables(spark: SparkSession, d: str) -> Warehouse:
+    every = source(spark, d, "inventory_requests")
+    early, _ = _split(every, "updated_at")
+    staff = source(spark, d, "employees")
+    warehouse = Warehouse(spark, f"{session_area(spark)}/published-{uuid.uuid4().hex}")
+    known = known_members(spark, d)
+    for name in ("d_item", "d_project", "d_property"):
+        warehouse.append(name, known.read(name))
+    for part in (early, every):
+        run(requests.load, warehouse, staff, part)
+    return warehouse
+
+
+@query
+def published_inventory(spark, d):
+    parts = _split(source(spark, d, "inventory"), "updated_date")
+    return published(spark, inventory.load, *[[p] for p in parts]).read("f_inventory")
+
+
+@query
+def published_requests(spark, d):
+    return published_request_tables(spark, d).read("fact_inventory_requests").drop("request_key")
+
+
+@query
+def published_request_keys(spark, d):
+    """Bucket keys of the stored requests: as many as rows."""
+    return published_request_tables(spark, d).read("fact_inventory_requests").agg(
+        F.count("request_key").alias("n_keys"), F.countDistinct("request_key").alias("n_different"))
+
+
+@query
+def published_payments(spark, d):
+    every, vendors = source(spark, d, "invoice_master"), source(spark, d, "vendor")
+    early, _ = _split(every, "created_date")
+    return published(spark, payments.load, [early, vendors], [every, vendors]).read(
+        "f_payments").drop("payment_key")

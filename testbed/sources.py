@@ -35,6 +35,22 @@ SOURCES = {
                CASE WHEN l_linenumber = 6 THEN NULL ELSE p_brand END AS location,
                l_shipdate AS updated_date
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
+    # Quantities as text: finer than six places, finer than any column, and whole ones.
+    "fine_inventory": """
+        SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS inventory_id,
+               l_returnflag AS item_name,
+               CASE WHEN l_linenumber = 1 THEN '0.000000400'
+                    WHEN l_linenumber = 2 THEN '0.0000000000000000001'
+                    WHEN l_linenumber = 3 THEN '4e-7'
+                    ELSE CAST(l_linenumber AS STRING) || '.50' END AS quantity,
+               l_linestatus AS location, l_shipdate AS updated_date
+        FROM {lineitem}""",
+    "members": """
+        SELECT CAST(c_nationkey AS BIGINT) AS vendor_key,
+               CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '-' || c_mktsegment
+                    ELSE c_name END AS vendor_id,
+               c_mktsegment AS vendor_name
+        FROM {customer}""",
     "employees": """
         SELECT CASE WHEN c_acctbal < 0 THEN NULL
                     ELSE CAST(c_nationkey AS STRING) || '-' || c_mktsegment END AS employee_code,

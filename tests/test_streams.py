@@ -1,3 +1,5 @@
+import random
+
 from helpers import INVOICES, VENDORS, frame, invoice, rows
 from starload.plans import payload, payments
 from starload.sources.payload import read_payloads
@@ -63,3 +65,26 @@ def test_invoice_stream_equals_the_batch(spark, tmp_path):
     assert stored(stream) == stored(batch) == [
         ("v1", "ACME", "i1", 20240101, 1.0), ("v1", "ACME", "i3", 20240102, 3.0),
         ("v2", "pipe", "i2", 20240101, 2.0), ("v2", "pipe", "i3", 20240102, 3.0)]
+
+
+def test_a_vendor_name_that_comes_back_meets_what_it_missed(spark, tmp_path):
+    rng = random.Random(4)
+    for turn in range(2):
+        folder = str(tmp_path / f"invoices{turn}")
+        stream = Warehouse(spark, str(tmp_path / f"stream{turn}"), buckets=2)
+        names = ["acme", "zenith", "acme"] if turn == 0 else rng.choices(["acme", "zenith", "pipe"], k=4)
+        for i, name in enumerate(names):
+            new = [invoice(f"i{i}{s}", f"{s} works", "2024-01-01", i + 1) for s in ("acme", "pipe")]
+            frame(spark, INVOICES, *new).coalesce(1).write.mode("append").parquet(folder)
+            vendors = frame(spark, VENDORS, ("v1", name))
+            follow_invoices(spark, folder, lambda v=vendors: v, stream, str(tmp_path / f"cp{turn}"),
+                            every=None).awaitTermination()
+        # Payments are never taken back, so the stream holds those of every name it had.
+        every = spark.read.parquet(folder)
+        stored = stream.read("f_payments").join(stream.read("d_invoice"), "invoice_key")
+        want = set()
+        for i, name in enumerate(names):
+            want |= {r[0] for r in every.filter(f"supplier_name LIKE '%{name}%'").select(
+                "avenue_created_invoice_id").collect() if int(r[0][1]) <= max(
+                    k for k, n in enumerate(names) if n == name)}
+        assert {r[0] for r in stored.select("invoice_id").collect()} == want

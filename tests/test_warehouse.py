@@ -5,7 +5,7 @@ from helpers import (
     EMPLOYEES, INVENTORY, INVOICES, PAYMENTS, REQUESTS, VENDORS, at, frame, invoice, members,
     rows, session_tables, worker_payment,
 )
-from starload.operators import keys
+from starload.operators import dims, keys
 from starload.operators.checks import ConstraintViolation
 from starload.operators.lookup import UnknownMember
 from starload.operators.merge import Conflict
@@ -88,25 +88,96 @@ def test_second_writer_is_refused(spark, warehouse):
 def test_keys_made_from_an_old_read_are_refused(spark, warehouse):
     other = Warehouse(spark, warehouse.root, buckets=4)
     inventory.load(stock(spark, range(3)), warehouse)
+    load = warehouse.begin()
     stale = keys.assign_keys(frame(spark, "item_name string", ("cog",)),
-                             warehouse.read("d_item"), "item_key", ["item_name"], "test")
+                             load.read("d_item"), "item_key", ["item_name"], "test")
     inventory.load(stock(spark, range(3), "bolt"), other)
     with pytest.raises(Conflict):
-        warehouse.append("d_item", stale)
+        load.append("d_item", stale)
     assert rows(warehouse.read("d_item")) == [(1, "nail"), (2, "bolt")]
 
 
+def test_loads_that_share_a_warehouse_do_not_share_their_reads(spark, warehouse):
+    """Load a reads, load b publishes and reads, load a publishes what it made of its old read."""
+    run(inventory.load, warehouse, stock(spark, range(2)))
+    a, b = warehouse.begin(), warehouse.begin()
+
+    def offer(load, *items):
+        values = {("d_item", "item_name"): F.col("item_name")}
+        offered = dims.offers(frame(spark, "item_name string", *[(i,) for i in items]), values)
+        new = dims.new_members(offered, values, {"d_item": load.read("d_item")},
+                               {"d_item": load.top("d_item")})
+        return new["d_item"]
+
+    of_a = offer(a, "axe", "bolt")
+    b.append("d_item", offer(b, "axe", "cog"))
+    b.read("d_item"), warehouse.read("d_item"), a.read("d_item")
+    with pytest.raises(Conflict):
+        a.append("d_item", of_a)
+    again = warehouse.begin()
+    again.append("d_item", offer(again, "axe", "bolt"))
+    assert rows(warehouse.read("d_item")) == [(1, "nail"), (2, "axe"), (3, "cog"), (4, "bolt")]
+
+
+def test_members_are_checked(spark, warehouse):
+    load = warehouse.begin()
+    for members, problem in (
+        ([(1, "v" * 21, "n")], "vendor_id too long"), ([(1, "v", "n" * 256)], "vendor_name too long"),
+        ([(1, "v", "n"), (2, "v", "m")], "repeated vendor_id"),
+        ([(1, "v", "n"), (1, "w", "m")], "repeated vendor_key"),
+    ):
+        df = frame(spark, "vendor_key long, vendor_id string, vendor_name string", *members)
+        with pytest.raises(ConstraintViolation, match=problem):
+            load.append("d_vendor", df)
+        with pytest.raises(ConstraintViolation, match=problem):
+            load.replace("d_vendor", df)
+    assert not warehouse.exists("d_vendor")
+
+
+def test_a_purged_key_is_not_given_again(spark, warehouse):
+    run(inventory.load, warehouse, stock(spark, [1], "nail"))
+    run(inventory.load, warehouse, stock(spark, [2], "axe"))
+    warehouse.replace("d_item", warehouse.read("d_item").filter("item_name <> 'axe'"))
+    run(inventory.load, warehouse, stock(spark, [3], "cog"))
+    assert rows(warehouse.read("d_item")) == [(1, "nail"), (3, "cog")]
+
+
+def test_small_batches_leave_few_files(spark, tmp_path):
+    small = Warehouse(spark, str(tmp_path / "small"), buckets=1)
+    df = "payment_key long, vendor_key long, invoice_key long, date_key int"
+    small.check = False
+    for i in range(24):
+        small.insert_absent("f_payments", frame(spark, df, (None, i, i, i)))
+        small.append("d_item", frame(spark, "item_key long, item_name string", (i + 1, f"item {i}")))
+    for name in ("f_payments", "d_item"):
+        assert small.read(name).count() == 24
+        pointer = small._pointer(name)
+        assert all(len(paths) <= 8 for paths in pointer["parts"].values())
+        assert len(small._numbers(name)) <= 9
+    assert small.read("f_payments").select("payment_key").distinct().count() == 24
+
+
+def test_unchanged_attributes_publish_nothing(spark, warehouse):
+    warehouse.replace("core_dim_date", known_days(spark, "2024-01-01"))
+    batch = frame(spark, PAYMENTS, worker_payment("p1", "w1", "W", "due", "u@x", "2024-01-01"))
+    run(worker_payments.load, warehouse, batch)
+    number = warehouse._pointer("core_dim_worker")["number"]
+    run(worker_payments.load, warehouse, batch)
+    assert warehouse._pointer("core_dim_worker")["number"] == number
+
+
 def test_run_repeats_a_load_that_met_another_writer(spark, warehouse, monkeypatch):
     inventory.load(stock(spark, range(3)), warehouse)
     other = Warehouse(spark, warehouse.root, buckets=4)
-    append, met = warehouse.append, []
+    append, met = Warehouse.append, []
 
-    def late(name, df):
+    def late(self, name, df):
         if name == "d_item" and not met:
-            met.append(inventory.load(stock(spark, [8], "bolt"), other))
-        append(name, df)
+            met.append(True)
+            inventory.load(stock(spark, [8], "bolt"), other)
+        append(self, name, df)
 
-    monkeypatch.setattr(warehouse, "append", late)
+    monkeypatch.setattr(Warehouse, "append", late)
     run(inventory.load, warehouse, stock(spark, [9], "axe"))
     assert met
     assert rows(warehouse.read("d_item")) == [(1, "nail"), (2, "bolt"), (3, "axe")]
