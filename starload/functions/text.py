@@ -35,11 +35,6 @@ def pattern_fragments(name: Column) -> Column:
     return F.transform(runs, lambda run: F.regexp_replace(run, r"(?s)\\(.)", "$1"))
 
 
-def is_literal(name: Column) -> Column:
-    """True when no character of ``name`` has a meaning in a LIKE pattern."""
-    return ~name.rlike(r"[%_\\]")
-
-
 def decimals(number: Column) -> Column:
     """Places after the point that a number written as text uses, its exponent included."""
     digits = F.rtrim(F.regexp_extract(number, r"\.([0-9]*)", 1), F.lit("0"))

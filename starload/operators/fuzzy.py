@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.functions.text import containing_pattern, is_literal, pattern_fragments
+from starload.functions.text import containing_pattern, pattern_fragments
 from starload.session import materialize
 
-# Up to this many names the shorter list is compared with every other name.
+# Up to this many names the shorter list is compared with every other name: one broadcast of
+# bounded size and no shuffle. Longer lists are equi-joined; both ways find the same pairs.
 NESTED_LIMIT = 64
+# Lengths of the stretches names are joined on, longest first.
+GRAMS = (8, 3, 2, 1)
 
 
 def distinct_names(df: DataFrame, column: str) -> DataFrame:
@@ -25,66 +30,59 @@ def nested_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(F.broadcast(b), match).select("left", "right")
 
 
-def _distinct(numbers: DataFrame) -> list[int]:
-    # Lengths only, so that the longest name bounds what reaches the driver.
-    return sorted(row[0] for row in numbers.distinct().collect())
-
-
-def _substrings(texts: DataFrame, lengths: list[int]) -> DataFrame:
-    """Every substring of the given lengths as (text, piece), each once per text."""
-    sized = texts.select(
-        F.col("name").alias("text"), F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n")
-    ).filter(F.col("n") <= F.char_length("text"))
-    starts = F.sequence(F.lit(1), F.char_length("text") - F.col("n") + 1)
-    pieces = F.transform(starts, lambda i: F.substring(F.col("text"), i, F.col("n")))
-    return sized.select("text", F.explode(F.array_distinct(pieces)).alias("piece"))
+def _grams(text: Column, n: int) -> Column:
+    """Every stretch of n characters, each once; none of a shorter text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - (n - 1), F.lit(1)))
+    every = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    return F.array_distinct(F.filter(every, lambda g: F.char_length(g) == n))
 
 
 def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     """(text, needle) for each needle whose containing pattern a text matches.
 
-    A text must hold every literal run of the pattern, so runs are equi-joined
-    with the substrings of that length: a needle without wildcards is one run and
-    needs no further test. Of several runs the one found in the fewest texts
-    leads, and its candidates are tested against the whole pattern. A needle
-    made of wildcards only asks for a least length, joined on that number.
+    A text must hold every stretch of a pattern's literal runs. Of the stretches of one
+    length, the longest of ``GRAMS`` that the needle's longest run allows, the one found in
+    the fewest texts leads: texts holding it are tested against the whole pattern. A text
+    gives at most as many stretches as characters for each length in use. A needle made of
+    wildcards only asks for a least length of text, joined on that number.
     """
     body = F.col("name")
     runs = needles.select(
         body.alias("needle"), containing_pattern(body).alias("pattern"),
-        is_literal(body).alias("literal"), F.array_distinct(pattern_fragments(body)).alias("runs"),
-    )
-    leads = runs.select("needle", "pattern", "literal", F.explode("runs").alias("piece"))
-    pairs = None
-    lengths = _distinct(leads.select(F.char_length("piece")))
-    if lengths:
-        wanted = leads.select("piece").distinct()
-        hits = materialize(_substrings(texts, lengths).join(wanted, "piece"), "name-hits")
-        spread = hits.groupBy("piece").agg(F.count(F.lit(1)).alias("n_texts"))
-        # A run found in no text rules its needle out, hence the left join.
-        rated = leads.join(spread, "piece", "left").fillna(0, ["n_texts"])
-        best = rated.groupBy("needle", "pattern", "literal").agg(
-            F.min_by("piece", F.struct("n_texts", "piece")).alias("piece")
-        )
-        pairs = (
-            hits.join(best, "piece")
-            .filter(F.col("literal") | F.like(F.col("text"), F.col("pattern")))
-            .select("text", "needle")
-        )
-
-    bare = runs.filter(F.size("runs") == 0).select(
-        "needle", F.char_length(F.translate("needle", "%", "")).alias("n")
-    )
-    least = _distinct(bare.select("n"))
-    if least:
+        F.array_distinct(pattern_fragments(body)).alias("runs"),
+    ).withColumn("longest", F.coalesce(
+        F.array_max(F.transform("runs", lambda r: F.char_length(r))), F.lit(0)))
+    runs = materialize(runs, "needles")
+    # At most one row per length in use reaches the driver.
+    longest = {row[0] for row in runs.select(
+        F.greatest(*[F.when(F.col("longest") >= n, n).otherwise(0) for n in (*GRAMS, 0)])
+    ).distinct().collect()}
+    found = []
+    for n, longer in zip(GRAMS, (None, *GRAMS)):
+        if n not in longest:
+            continue
+        own = runs.filter((F.col("longest") >= n) & (F.lit(longer is None) | (F.col("longest") < (longer or 0))))
+        leads = own.select("needle", "pattern", F.explode(F.array_distinct(F.flatten(
+            F.transform("runs", lambda r: _grams(r, n))))).alias("gram"))
+        pieces = texts.select(body.alias("text"), F.explode(_grams(body, n)).alias("gram"))
+        spread = pieces.join(leads.select("gram").distinct(), "gram").groupBy("gram").agg(
+            F.count(F.lit(1)).alias("n_texts"))
+        # A stretch found in no text rules its needle out, hence the left join.
+        best = leads.join(spread, "gram", "left").fillna(0, ["n_texts"]).groupBy("needle", "pattern").agg(
+            F.min_by("gram", F.struct("n_texts", "gram")).alias("gram"))
+        found.append(pieces.join(best, "gram").filter(F.like(F.col("text"), F.col("pattern")))
+                     .select("text", "needle"))
+    if 0 in longest:
+        bare = runs.filter("longest = 0").select(
+            "needle", F.char_length(F.translate("needle", "%", "")).alias("n"))
+        # Lengths only, so that the longest name bounds what reaches the driver.
+        least = sorted(row[0] for row in bare.select("n").distinct().collect())
         long_enough = texts.select(
-            F.col("name").alias("text"), F.explode(F.array(*[F.lit(n) for n in least])).alias("n")
+            body.alias("text"), F.explode(F.array(*[F.lit(n) for n in least])).alias("n")
         ).filter(F.col("n") <= F.char_length("text"))
-        by_length = long_enough.join(bare, "n").select("text", "needle")
-        pairs = by_length if pairs is None else pairs.unionByName(by_length)
-    if pairs is None:
-        pairs = texts.select(F.col("name").alias("text"), F.col("name").alias("needle")).limit(0)
-    return pairs
+        found.append(long_enough.join(bare, "n").select("text", "needle"))
+    none = texts.select(body.alias("text"), body.alias("needle")).limit(0)
+    return functools.reduce(DataFrame.unionByName, found) if found else none
 
 
 def blocked_pairs(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -247,10 +247,18 @@ ORACLE["fuzzy_casefold"] = """
     SELECT a.n AS "left", b.n AS "right" FROM a JOIN b
       ON a.n ILIKE '%' || b.n || '%' OR b.n ILIKE '%' || a.n || '%'"""
 ORACLE["fuzzy_blocked"] = f"""
-    WITH a AS (SELECT DISTINCT lower(s_name) AS n FROM supplier WHERE s_name IS NOT NULL),
-         b AS (SELECT DISTINCT lower(name) AS n FROM ({source_sql('digit_names')}))
+    WITH a AS (SELECT DISTINCT lower(name) AS n FROM ({source_sql('customer_names')})),
+         b AS (SELECT DISTINCT lower(name) AS n FROM ({source_sql('name_patterns')}))
     SELECT a.n AS "left", b.n AS "right" FROM a JOIN b
       ON a.n ILIKE '%' || b.n || '%' OR b.n ILIKE '%' || a.n || '%'"""
+ORACLE["match_many_vendors"] = with_([src("customer_invoices", "bi"), src("customer_vendors", "v"), (
+    "pairs", """SELECT s.supplier_name, v.vendor_id, v.vendor_name
+                FROM (SELECT DISTINCT supplier_name FROM bi) s
+                JOIN v ON contains(lower(s.supplier_name), lower(v.vendor_name))
+                       OR contains(lower(v.vendor_name), lower(s.supplier_name))""")], f"""
+    SELECT avenue_created_invoice_id AS invoice_id, vendor_id, vendor_name,
+           {dbl('amount_to_pay')} AS amount_to_pay
+    FROM bi JOIN pairs USING (supplier_name)""")
 
 # Schedules
 

@@ -410,10 +410,16 @@ def fuzzy_casefold(spark, d):
 
 @query
 def fuzzy_blocked(spark, d):
-    digits = source(spark, d, "digit_names")
-    suppliers = scan(spark, f"{d}/supplier.parquet", ["s_name"])
-    return fuzzy.blocked_pairs(fuzzy.distinct_names(suppliers, "s_name"),
-                               fuzzy.distinct_names(digits, "name"))
+    """Whole customer names, with and without wildcards, in longer names."""
+    longer = fuzzy.distinct_names(source(spark, d, "customer_names"), "name")
+    return fuzzy.blocked_pairs(longer, fuzzy.distinct_names(source(spark, d, "name_patterns"), "name"))
+
+
+@query
+def match_many_vendors(spark, d):
+    """Invoices matched to more vendors than are compared one by one."""
+    return payments.extract(source(spark, d, "customer_invoices"), source(spark, d, "customer_vendors")).select(
+        "invoice_id", "vendor_id", "vendor_name", "amount_to_pay")
 
 
 @query

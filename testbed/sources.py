@@ -203,10 +203,23 @@ SOURCES = {
                                 ELSE CAST(day(o_orderdate) AS STRING) END
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey
         JOIN {nation} ON c_nationkey = n_nationkey""",
-    "digit_names": """
-        SELECT substr(c_name, 15) AS name FROM {customer}
-        UNION ALL SELECT replace(substr(c_name, 15), '0', '_') FROM {customer}
-        WHERE c_mktsegment = 'MACHINERY'""",
+    "customer_names": """
+        SELECT c_name || ' ' || c_mktsegment AS name FROM {customer}""",
+    "name_patterns": """
+        SELECT c_name AS name FROM {customer}
+        UNION ALL SELECT replace(c_name, '0', '_') FROM {customer} WHERE c_nationkey = 7
+        UNION ALL SELECT substr(c_name, 1, 8) || '%' || c_mktsegment FROM {customer}
+        WHERE c_nationkey = 3""",
+    "customer_invoices": """
+        SELECT CAST(o_orderkey AS STRING) AS avenue_created_invoice_id,
+               upper(c_name) || ' ' || c_mktsegment AS supplier_name, o_orderdate AS created_date,
+               '1' AS total_bill_amount, CAST(o_totalprice AS DECIMAL(38,6)) AS amount_to_pay,
+               CAST(NULL AS DECIMAL(38,6)) AS paid_amount, CAST(NULL AS DECIMAL(38,6)) AS overdue_amount,
+               CAST(NULL AS DECIMAL(38,6)) AS taxes_sgst, CAST(NULL AS DECIMAL(38,6)) AS taxes_cgst,
+               '2' AS taxes_igst, '3' AS taxes_gst_percentage
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    "customer_vendors": """
+        SELECT CAST(c_custkey AS STRING) AS vendor_id, c_name AS vendor_name FROM {customer}""",
 }
 
 
