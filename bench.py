@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = (
     "upsert_inventory", "insert_new_requests", "insert_absent_payments", "upsert_schedule",
     "upsert_payload", "upsert_issues", "upsert_worker_payments", "fuzzy_vendor_match",
-    "fuzzy_blocked", "last_wins_batch", "first_wins_batch", "dim_date", "load_counters",
+    "fuzzy_blocked", "published_inventory", "published_requests", "published_payments",
+    "last_wins_batch", "first_wins_batch", "dim_date", "load_counters",
 )
 
 

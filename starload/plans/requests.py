@@ -122,4 +122,4 @@ def load(staff: DataFrame, requests: DataFrame, tables) -> Report:
     # Written once: the fact, the rejects and the counts read it.
     resolved = materialize(resolve(checked, tables), "requests")
     merged = tables.insert_absent("fact_inventory_requests", facts(resolved))
-    return Report("requests", "request_id", resolved, resolved, merged, blanks)
+    return Report("requests", "request_id", resolved, merged, blanks)

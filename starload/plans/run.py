@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.merge import Conflict
 from starload.plans.report import Report
-from starload.session import configure, materialize, scratch
+from starload.session import configure, scratch
 from starload.sources.warehouse import Warehouse
 
 
@@ -31,15 +31,15 @@ def run(
             except Conflict:
                 if not left:
                     raise
-        rejects = materialize(report.rejects(), "rejects")
-        # One row per reason reaches the driver.
-        counts = {r["reason"]: r["count"] for r in rejects.groupBy("reason").count().collect()}
-        retrieved = report.read.count()
+        # One row per outcome reaches the driver; rejects are read only if there are any.
+        counts = {r["outcome"]: r["n_rows"] for r in report.counters().collect()}
+        loaded = counts.pop("loaded", 0)
         if counts:
-            warehouse.append("rejects", rejects.withColumn("loaded_at", F.current_timestamp()))
+            warehouse.append(
+                "rejects", report.rejects().withColumn("loaded_at", F.current_timestamp()))
         held = {
             f"blank members kept in {name}": found.filter("referenced").count()
             for name, found in report.blanks.items()
         }
-    loaded = retrieved - sum(counts.values())
+    retrieved = loaded + sum(counts.values())
     return {"retrieved": retrieved, "loaded": loaded, **counts, "merged": report.merged, **held}
