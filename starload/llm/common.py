@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER_ASCII = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 # Texts are handled in pieces of about this many characters inside a task.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 # A side of a join is broadcast only if it was counted and has at most so many rows.
 BROADCAST_ROWS = 500_000
 # Rows of one key are ranked in groups of about this many, but in 256 groups at least.
@@ -96,7 +96,7 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS) -> Itera
 # Hashed bytes: the value of each byte, and the odd base of their polynomial.
 _BYTES = np.random.default_rng(20_240_601).integers(0, 1 << 64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C17
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 19
 
 
 class WordHashes:

@@ -6,6 +6,7 @@ import json
 
 import numpy as np
 import tiktoken
+import tiktoken.registry
 
 # Fixed value: how texts are split before the byte pairs are merged.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -21,25 +22,31 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _encoding(path: str) -> tiktoken.Encoding:
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    byte_of = _byte_of()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    ranks = {
+        bytes(byte_of[c] for c in token): i
+        for token, i in spec["model"]["vocab"].items() if token not in special
+    }
+    return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
+
+
 class Tokenizer:
     """The ids the tokenizers library gives for ``path``, without special tokens added.
 
     The file's vocabulary is numbered in the order of its merges, so it is run as ranks, which
     is several times as fast. A special token written out in a text is taken as that token.
+    The tasks of a Python worker share one encoding of a file.
     """
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        byte_of = _byte_of()
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        ranks = {
-            bytes(byte_of[c] for c in token): i
-            for token, i in spec["model"]["vocab"].items() if token not in special
-        }
-        self.encoding = tiktoken.Encoding(
-            "ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special
-        )
+        known = tiktoken.registry.ENCODINGS
+        if path not in known:
+            known[path] = _encoding(path)
+        self.encoding = known[path]
 
     def __call__(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, allowed_special="all")
