@@ -456,3 +456,26 @@ for _name, _same in (("inventory", "upsert_inventory"), ("requests", "insert_new
     ORACLE[f"published_{_name}"] = ORACLE[_same]
 ORACLE["published_request_keys"] = f"""
     SELECT count(*) AS n_keys, count(*) AS n_different FROM ({ORACLE['insert_new_requests']}) x"""
+
+ORACLE["last_payment_wins"] = with_([src("repeated_payments")], f"""
+    SELECT payment_id, work_duration_type, {dbl('total_hours_worked')} AS total_hours_worked,
+           {dbl('gross_amount')} AS gross_amount, {dkey('created_at')} AS created_date_key
+    FROM ({best('src', 'payment_id', ['created_at', 'worker_id', 'worker_name', 'worker_type',
+                                      'work_duration_type', 'total_hours_worked'], LAST)}) x""")
+ORACLE["bad_requests"] = with_([
+    src("bad_requests"), src("known_items", "items"), src("known_projects", "projects"),
+    src("known_properties", "properties"),
+    *members("itype", "SELECT CASE WHEN trim(item_type, ' ') <> '' THEN item_type END AS m FROM src"),
+    ("judged", """
+        SELECT *, CASE WHEN trim(status, ' ') = '' THEN 'unknown status'
+                       WHEN itype.k IS NULL THEN 'unknown item_type'
+                       WHEN project_name NOT IN (SELECT project_name FROM projects)
+                         THEN 'unknown project_name'
+                       WHEN property_name NOT IN (SELECT property_name FROM properties)
+                         THEN 'unknown property_name'
+                       WHEN item_name NOT IN (SELECT item_name FROM items) THEN 'unknown item_name'
+                       WHEN requested_quantity = 'many' THEN 'bad quantity' ELSE 'loaded' END AS outcome
+        FROM src LEFT JOIN itype ON itype.m = item_type""")], """
+    SELECT outcome, k AS item_type_key, count(*) AS n_rows,
+           sum(TRY_CAST(requested_quantity AS DOUBLE)) AS quantity
+    FROM judged GROUP BY outcome, k""")

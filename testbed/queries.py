@@ -613,3 +613,23 @@ def published_payments(spark, d):
     early, _ = _split(every, "created_date")
     return published(spark, payments.load, [early, vendors], [every, vendors]).read(
         "f_payments").drop("payment_key")
+
+
+@query
+def last_payment_wins(spark, d):
+    """Of payments with one id the last one stays."""
+    tables = SessionTables(spark, {"core_dim_date": source(spark, d, "core_dim_date")})
+    worker_payments.load(source(spark, d, "repeated_payments"), tables)
+    return tables.read("fact_worker_payments").select(
+        "payment_id", "work_duration_type", "total_hours_worked", "gross_amount", "created_date_key")
+
+
+@query
+def bad_requests(spark, d):
+    """Requests with blank or tab members and odd quantities, and what became of them."""
+    tables = known_members(spark, d)
+    rows = source(spark, d, "bad_requests")
+    requests.load_dimensions(source(spark, d, "employees"), rows, tables)
+    return requests.resolve(requests.check(rows), tables).groupBy(
+        F.coalesce(clean.REASON, F.lit("loaded")).alias("outcome"), "item_type_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("quantity").try_cast("double")).alias("quantity"))

@@ -170,6 +170,32 @@ SOURCES = {
                     ELSE o_orderpriority END AS created_by,
                o_orderdate AS created_at
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    # Payment ids that come for several orders, a day or more apart or the same day.
+    "repeated_payments": """
+        SELECT 'P' || CAST(o_custkey AS STRING) AS payment_id,
+               CAST(o_custkey % 97 AS STRING) AS worker_id,
+               'W' || CAST(o_custkey % 97 AS STRING) AS worker_name, c_mktsegment AS worker_type,
+               o_orderpriority AS work_duration_type,
+               CAST(o_orderkey AS DECIMAL(38,6)) AS total_hours_worked,
+               CAST(NULL AS DECIMAL(38,6)) AS total_sqft_completed,
+               CAST(NULL AS DECIMAL(38,6)) AS total_days,
+               CAST(o_totalprice AS DECIMAL(38,6)) AS gross_amount,
+               CAST(10 AS DECIMAL(38,6)) AS tds_percent, CAST(NULL AS DECIMAL(38,6)) AS tds_amount,
+               CAST(NULL AS DECIMAL(38,6)) AS net_amount, 'cash' AS payment_mode,
+               o_orderstatus AS status, o_orderpriority AS created_by, o_orderdate AS created_at
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    "bad_requests": """
+        SELECT CAST(l_orderkey * 10 + l_linenumber AS STRING) AS request_id,
+               s_name AS property_name, n_name AS project_name, p_name AS item_name,
+               CASE WHEN l_linenumber = 6 THEN '  ' WHEN l_linenumber = 5 THEN chr(9)
+                    ELSE p_type END AS item_type,
+               CASE WHEN l_linenumber = 2 THEN 'many' WHEN l_linenumber = 3 THEN '0'
+                    WHEN l_linenumber = 4 THEN NULL ELSE '1.5' END AS requested_quantity,
+               CASE WHEN l_linenumber = 7 THEN ' ' ELSE l_linestatus END AS status,
+               o_orderdate AS created_at, l_shipdate AS updated_at
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+        JOIN {part} ON l_partkey = p_partkey
+        JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey""",
     "core_dim_date": """
         SELECT CAST(CAST(day AS DATE) AS DATE) AS full_date,
                year(day) * 10000 + month(day) * 100 + day(day) AS date_key
