@@ -195,4 +195,52 @@ TOP_K_SQL = """
       FROM scored)
     SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM numbered WHERE rank <= 5"""
 
-ORACLE: dict[str, str] = {"op5_top_k": TOP_K_SQL, "op6_licenses": _license_sql()}
+WORDS_SQL = r"[^\x20\x09-\x0D]+"
+
+SUBSTRINGS_SQL = f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS_SQL}') AS w
+      FROM documents),
+    windows AS (
+      SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+      FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35) x),
+    hits AS (
+      SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM windows
+      WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+    words AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d WHERE len(w) > 0),
+    kept AS (
+      SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+      FROM words ANTI JOIN hits USING (r, i) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)"""
+
+JACCARD_SQL = f"""
+    WITH RECURSIVE d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '{WORDS_SQL}') AS w
+      FROM documents),
+    shingles AS (
+      SELECT DISTINCT r, doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS h
+      FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d
+            WHERE len(w) > 0) x),
+    sizes AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM shingles GROUP BY r),
+    common AS (
+      SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b USING (h)
+      WHERE a.r <> b.r AND a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY a.r, b.r),
+    links AS (
+      SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM common o
+      JOIN sizes x ON x.r = o.a JOIN sizes y ON y.r = o.b
+      WHERE 100 * o.n >= 75 * (x.n + y.n - o.n)),
+    reached(a, b) AS (
+      SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+    lowest AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+    SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles,
+           CASE WHEN sizes.n > 0 THEN least(d.doc_id, coalesce(lowest.b, d.doc_id))
+                ELSE d.doc_id END AS component_id
+    FROM d LEFT JOIN sizes USING (r) LEFT JOIN lowest ON lowest.a = d.doc_id"""
+
+ORACLE: dict[str, str] = {
+    "op2_substrings": SUBSTRINGS_SQL, "op9_jaccard": JACCARD_SQL,
+    "op5_top_k": TOP_K_SQL, "op6_licenses": _license_sql(),
+}
