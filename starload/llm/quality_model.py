@@ -115,7 +115,7 @@ def tree_rules(model) -> list[Rule]:
 
 
 def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001) -> RuleModel:
-    """Fit on rows with the statistics and a ``label`` of 0 or 1.
+    """Fit on rows (doc_id, the statistics, and a ``label`` of 0 or 1).
 
     With no rows, or rows of one label only, every text gets the smoothed share of label 1.
     """
@@ -128,9 +128,11 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001)
         return RuleModel(math.log(share / (1 - share)), ())
     rows = rows.filter(F.col("label").isin(0.0, 1.0))
     parts = max(1, min(12, (n0 + n1) // 2000))
+    # Dealt out and sorted by id, as the forest's random choices follow the rows' places.
+    rows = rows.repartition(parts, "doc_id").sortWithinPartitions("doc_id")
     train = rows.select(
         "label", array_to_vector(F.array(*[F.col(s) for s in STATISTICS])).alias("x")
-    ).repartition(parts)
+    )
     forest = RandomForestClassifier(
         featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, maxBins=64,
         featureSubsetStrategy="onethird", minInstancesPerNode=5, seed=11,
@@ -140,7 +142,7 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001)
         return RuleModel(math.log((n1 + 1.0) / (n0 + 1.0)), ())
     marks = rows.select("label", array_to_vector(
         F.array(*[F.when(_all(r), 1.0).otherwise(0.0) for r in rules])
-    ).alias("x")).repartition(parts)
+    ).alias("x"))
     weights = LogisticRegression(
         featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60,
         standardization=False,
