@@ -14,6 +14,8 @@ from starload.llm.quality_model import quality_scores
 from starload.llm.substrings import remove_repeats
 from starload.session import configure, materialize
 
+# Target weight of each source; None: the square root of its number of rows.
+WEIGHTS = None
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -69,13 +71,17 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the mixed order of their sources."""
     _prepared(spark)
-    return mix(docs).orderBy("mix_position").select(*COLUMNS)
+    return mix(docs, WEIGHTS).orderBy("mix_position").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in training sequences."""
+    """The pieces of all documents and their places in training sequences, along the mixed order.
+
+    Files keep no order and the columns are fixed, so places in the mixture are worked out anew.
+    """
     _prepared(spark)
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False,
+                          mixed=lambda rows: mix(rows, WEIGHTS))
 
 
 STAGES = [

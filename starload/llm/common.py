@@ -71,6 +71,26 @@ def ranked(df: DataFrame, key: str, order: list[str], total: int, name: str) ->
     )
 
 
+def ranked_along(df: DataFrame, key: list[str], order: list[str], end: int, name: str) -> DataFrame:
+    """``df`` with the place of each row among those of its key along ``order``, from 0.
+
+    The first column of ``order`` holds whole numbers from 0 to below ``end``. Rows are ranked
+    in stretches of it, so that no task holds all rows of a key; ``df`` is read twice.
+    """
+    width = max(1, min(-(-end // LEAST_GROUPS), GROUP_ROWS))
+    group, before = f"{name}_group", f"{name}_before"
+    df = df.withColumn(group, F.expr(f"`{order[0]}` div {width}"))
+    earlier = Window.partitionBy(*key).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*key, group).agg(F.count("*").alias(before)).select(
+        *key, group, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before)
+    )
+    own = Window.partitionBy(*key, group).orderBy(*order)
+    return (
+        df.withColumn(name, F.row_number().over(own) - 1).join(bounded(counts), [*key, group])
+        .withColumn(name, F.col(name) + F.col(before)).drop(group, before)
+    )
+
+
 def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS) -> Iterator[list[list]]:
     """The columns of batches as lists, in pieces of about ``limit`` characters of text.
 

@@ -3,34 +3,42 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import chunks, ranked
+from starload.llm.common import bounded, chunks, ranked, ranked_along
 from starload.llm.tokens import Tokenizer
 from starload.session import materialize
 
 CAPACITY = 1024
 END = 2
+# Sequences of one kind are spread evenly over so many instants.
+INSTANTS = 1 << 30
+# One row makes the places of so many sequences.
+CHUNK_SEQUENCES = 10_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END,
-           with_ids: bool = True) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]) of every row of ``docs`` (doc_id, text).
+           with_ids: bool = True, others: Mapping[str, str] | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids][, others]) of every row of ``docs`` (doc_id, text).
 
     A text's ids are followed by ``end``; only longer ones are cut. All pieces but the first
-    are full. ``tokenizer`` is a vocabulary file that every executor has.
+    are full. ``tokenizer`` is a vocabulary file that every executor has. ``others`` names
+    long or string columns, with their types, that each piece keeps.
     """
+    others = dict(others or {})
+    other_types = [pa.int64() if t == "long" else pa.string() for t in others.values()]
+    other_names = list(others)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Tokenizer(tokenizer)
-        for ids, texts in chunks(batches):
-            rows, kept = [], []
-            for key, text in zip(ids, texts):
+        for ids, texts, *more in chunks(batches):
+            rows, kept, beside = [], [], [[] for _ in more]
+            for at, (key, text) in enumerate(zip(ids, texts)):
                 tokens = np.append(encode(text), np.uint32(end)).astype("<u4")
                 stop = (len(tokens) - 1) % capacity + 1
                 start = piece = 0
@@ -39,6 +47,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
                     rows.append((key, piece, start, len(part), zlib.crc32(part.tobytes())))
                     if with_ids:
                         kept.append(part.astype(np.int32))
+                    for column, values in zip(beside, more):
+                        column.append(values[at])
                     start, stop, piece = stop, stop + capacity, piece + 1
             columns = [pa.array(c, t) for c, t in zip(
                 zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
@@ -48,11 +58,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
                 columns.append(pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(np.concatenate(kept))))
                 names.append("ids")
+            columns.extend(pa.array(c, t) for c, t in zip(beside, other_types))
+            names.extend(other_names)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        cut, schema + ", ids array<int>" * with_ids)
+    return docs.select(
+        F.col("doc_id").cast("long"), "text", *[F.col(c).cast(t) for c, t in others.items()]
+    ).mapInArrow(
+        cut, schema + ", ids array<int>" * with_ids + "".join(f", {c} {t}" for c, t in others.items()))
 
 
 def _reachable(counts: Mapping[int, int], limit: int) -> int:
@@ -186,12 +200,64 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
+def pack_along(parts: DataFrame, order: str, capacity: int = CAPACITY) -> DataFrame:
+    """As ``pack``, with sequences that follow the whole number in column ``order``.
+
+    The sequences of each kind in the plan are spread evenly, and the pieces of a length take
+    their places along the spread in their order, so that pieces of one sequence stand near each
+    other. Sequences are then numbered by the mean of the order over their tokens.
+    """
+    spark = parts.sparkSession
+    counts = {r["length"]: r["n"] for r in
+              parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    end = (parts.agg(F.max(order)).first()[0] or 0) + 1
+    kinds = [(length, (stop - first) // each, each, sequence, offset)
+             for length, first, stop, each, sequence, offset in plan(counts, capacity)]
+    # Bounded like the plan; the places themselves are made in tasks.
+    places = spark.createDataFrame(
+        kinds, "length long, times long, each long, sequence long, first_offset long"
+    ).withColumn("chunk", F.explode(F.expr(f"sequence(0L, times - 1, {CHUNK_SEQUENCES}L)")))
+    places = (
+        places.repartition("length", "sequence", "chunk")
+        .withColumn("k", F.explode(F.expr(f"sequence(chunk, least(times, chunk + {CHUNK_SEQUENCES}) - 1)")))
+        .withColumn("i", F.explode(F.expr("sequence(0L, each - 1)")))
+        .select(
+            "length", F.expr(f"((2 * k + 1) * {INSTANTS // 2}) div times").alias("pack_instant"),
+            F.expr("sequence + k").alias("pack_sequence"),
+            F.expr("first_offset + i * length").alias("offset"),
+        )
+    )
+    places = ranked_along(
+        places, ["length"], ["pack_instant", "pack_sequence", "offset"], INSTANTS, "pack_rank")
+    placed = materialize(
+        ranked_along(parts, ["length"], [order, "piece"], end, "pack_rank")
+        .join(places, ["length", "pack_rank"]), "placed")
+    sequences = placed.groupBy("pack_sequence").agg(
+        F.expr(f"sum({order} * length) div sum(length)").alias("pack_mean"))
+    numbered = ranked_along(
+        materialize(sequences, "sequences"), [], ["pack_mean", "pack_sequence"], end, "sequence_id")
+    return placed.join(
+        bounded(numbered.select("pack_sequence", F.col("sequence_id").cast("long"))), "pack_sequence"
+    ).select(*[F.col(f"`{c}`") for c in parts.columns], "sequence_id", "offset")
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END,
-                   with_ids: bool = True) -> DataFrame:
+                   with_ids: bool = True,
+                   mixed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) and their places: sequences of at most
     ``capacity`` ids, gapless from offset 0.
 
-    Null or empty text: one piece holding ``end`` only. Null doc_id and repeated rows: pieces
+    ``mixed`` gives rows (doc_id, source, one more) their ``mix_position``; sequences then follow
+    it. Null or empty text: one piece holding ``end`` only. Null doc_id and repeated rows: pieces
     and places of their own. Empty table: no rows. Other columns are not read.
     """
-    return pack(materialize(pieces(docs, tokenizer, capacity, end, with_ids), "pieces"), capacity)
+    if mixed is None:
+        return pack(materialize(pieces(docs, tokenizer, capacity, end, with_ids), "pieces"), capacity)
+    # Rows are told apart by a number, which is fixed once the pieces are written.
+    parts = materialize(
+        pieces(docs.withColumn("pack_row", F.monotonically_increasing_id()), tokenizer, capacity, end,
+               with_ids, {"pack_row": "long", "source": "string"}), "pieces")
+    heads = mixed(parts.filter("piece = 0").select("doc_id", "source", "pack_row"))
+    order = materialize(heads.select("pack_row", "mix_position"), "positions")
+    ordered = materialize(parts.join(bounded(order), "pack_row"), "ordered-pieces")
+    return pack_along(ordered, "mix_position", capacity).drop("pack_row", "source", "mix_position")
