@@ -71,3 +71,20 @@ def test_slots_are_those_of_a_plain_schedule(spark, seed):
     for area in (8, 256):
         got = {r.mix_order: r.mix_slot for r in earliest_first(jobs, n, area).collect()}
         assert got == want
+
+
+def test_sources_that_run_out_one_by_one(spark, monkeypatch):
+    def on_the_driver(*_):
+        raise AssertionError("no schedule on the driver")
+
+    monkeypatch.setattr("starload.llm.mixing.phases", on_the_driver)
+    monkeypatch.setattr("starload.llm.mixing.period_slots", on_the_driver)
+    docs = spark.range(1, 301).selectExpr(
+        "explode(sequence(1L, id)) AS doc_id", "concat('domain', id) AS source")
+    rows = mix(docs, {f"domain{i}": 1 for i in range(1, 301)}, block_rows=1).collect()
+    assert sorted(r.mix_slot for r in rows) == list(range(300 * 301 // 2))
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in rows)
+    # Equal weights: by turns, and a phase for each source that is left.
+    assert sorted(r.source for r in rows if r.mix_slot < 300) == sorted(
+        f"domain{i}" for i in range(1, 301))
+    assert {r.mix_phase for r in rows} == set(range(300))
