@@ -151,16 +151,23 @@ class WordHashes:
         lengths = (end - first).astype(np.uint64)
         return mixed((sums[end] - sums[first]) * self.inverse[first] + mixed(lengths)), first
 
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The hashes of all words, and the first word of each text, with their number last."""
-        flat = np.frombuffer(b"\n".join(texts), np.uint8)
-        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-        hashes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    def cuts(self, flat: np.ndarray) -> Iterator[int]:
+        """Ends of the segments of ``flat``; none cuts a word."""
+        at = 0
         while at < len(flat):
             stop = min(at + _SEGMENT, len(flat))
             while stop < len(flat) and not self.space[flat[stop]]:
                 rest = np.flatnonzero(self.space[flat[stop: stop + _SEGMENT]])
                 stop = stop + int(rest[0]) if len(rest) else min(stop + _SEGMENT, len(flat))
+            yield stop
+            at = stop
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words, and the first word of each text, with their number last."""
+        flat = np.frombuffer(b"\n".join(texts), np.uint8)
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+        hashes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+        for stop in self.cuts(flat):
             found, first = self._segment(flat[at:stop])
             hashes.append(found)
             places.append(first + at)

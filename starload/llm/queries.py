@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import licenses
+from starload.llm.bwt_dedup import remove_earlier
+from starload.llm.collocations import collocations
 from starload.llm.edit_counts import counts_after_edits
+from starload.llm.hard_negatives import hard_negatives
 from starload.llm.jaccard import jaccard_join
 from starload.llm.licenses import license_scan
 from starload.llm.mixing import mix
@@ -129,6 +132,26 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    """Some labels are moved on by one first, so that near neighbours differ."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, d, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations(table(spark, d, "documents"))
+
+
+@query
+def op13_bwt_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return remove_earlier(table(spark, d, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("bytes_kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     return corpus_pipeline.run(spark, d)
@@ -240,7 +263,100 @@ JACCARD_SQL = f"""
                 ELSE d.doc_id END AS component_id
     FROM d LEFT JOIN sizes USING (r) LEFT JOIN lowest ON lowest.a = d.doc_id"""
 
+HARD_NEGATIVES_SQL = """
+    WITH v AS (
+      SELECT row_number() OVER () AS r, vec_id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT q.r, q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+             list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+    positives AS (
+      SELECT * FROM (
+        SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score,
+               row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place
+        FROM scored WHERE same) x WHERE place <= 5),
+    negatives AS (
+      SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score,
+             s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM positives p JOIN scored s ON s.r = p.r AND NOT s.same
+        AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+    FROM negatives WHERE rank <= 5"""
+
+COLLOCATIONS_SQL = f"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+               translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+               '[.,;:!?\\x0A-\\x0D]')) AS piece
+      FROM documents),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0),
+    n AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+    grams AS (
+      SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM starts, (VALUES (1), (2), (3), (4), (5)) sizes(k) WHERE i + k - 1 <= len(w)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+    cuts AS (
+      SELECT lang, phrase, k, f AS a, p AS w, unnest(range(1, k)) AS cut
+      FROM (SELECT *, string_split(phrase, ' ') AS p FROM f WHERE k > 1) x),
+    parts AS (
+      SELECT c.*, x.f AS l, y.f AS r, n.n,
+             (1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f) AS score
+      FROM cuts c JOIN n USING (lang)
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+    worst AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place
+        FROM parts) x WHERE place = 1),
+    inside AS (
+      SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(f) AS f
+      FROM (SELECT lang, w, f, i, unnest(range(i + 1, k + 1)) AS j
+            FROM (SELECT lang, string_split(phrase, ' ') AS w, f, k, unnest(range(1, k)) AS i
+                  FROM f WHERE k > 2) x) y
+      WHERE j - i + 1 < len(w) GROUP BY ALL),
+    kept AS (
+      SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase)
+      WHERE inside.f IS NULL OR 100 * inside.f < 100 * worst.a),
+    numbered AS (
+      SELECT lang, row_number() OVER (
+               PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+             phrase, a, l, r, n, score::BIGINT AS score
+      FROM kept)
+    SELECT * FROM numbered WHERE rank <= 2000"""
+
+# Bytes are written as pairs of hex digits.
+BWT_DEDUP_SQL = """
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    starts AS (
+      SELECT r, doc_id, i, hash(substr(x, 2 * i + 1, 100)) AS h
+      FROM (SELECT r, doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM d
+            WHERE doc_id IS NOT NULL AND length(x) >= 100) s),
+    least AS (SELECT h, min(doc_id) AS doc_id FROM starts GROUP BY h),
+    hits AS (SELECT s.r, s.i FROM starts s JOIN least USING (h) WHERE least.doc_id < s.doc_id),
+    gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM hits),
+    counts AS (
+      SELECT r, count(*) AS n_removed, sum(CASE WHEN i = before + 1 THEN 0 ELSE 1 END)::BIGINT AS n_spans
+      FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM gone) g GROUP BY r),
+    bytes AS (
+      SELECT r, i, substr(x, 2 * i + 1, 2) AS b
+      FROM (SELECT r, x, unnest(range(0, length(x) // 2)) AS i FROM d WHERE r IN (SELECT r FROM gone)) s),
+    kept AS (
+      SELECT r, string_agg(b, '' ORDER BY i) AS x FROM bytes ANTI JOIN gone USING (r, i) GROUP BY r)
+    SELECT doc_id, length(d.x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+           coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(CASE WHEN n_removed > 0 THEN coalesce(kept.x, '') ELSE d.x END)) AS kept_sha256
+    FROM d LEFT JOIN counts USING (r) LEFT JOIN kept USING (r)"""
+
 ORACLE: dict[str, str] = {
+    "op11_hard_negatives": HARD_NEGATIVES_SQL, "op12_collocations": COLLOCATIONS_SQL,
+    "op13_bwt_dedup": BWT_DEDUP_SQL,
     "op2_substrings": SUBSTRINGS_SQL, "op9_jaccard": JACCARD_SQL,
     "op5_top_k": TOP_K_SQL, "op6_licenses": _license_sql(),
 }

@@ -56,10 +56,11 @@ def test_blocks_meet_templates_by_containment(spark):
 
 def test_every_operator_has_a_query():
     names = {n.split("_")[0] for n in __spark_entry__.queries()}
-    assert {f"op{i}" for i in range(1, 11)} | {"pipeline"} <= names
+    assert {f"op{i}" for i in range(1, 14)} | {"pipeline"} <= names
 
 
-@pytest.mark.parametrize("name", ["op2_substrings", "op3_edit_counts", "op4_mix", "op9_jaccard"])
+@pytest.mark.parametrize("name", ["op2_substrings", "op3_edit_counts", "op4_mix", "op9_jaccard",
+                                  "op13_bwt_dedup"])
 def test_query_gives_a_row_per_document(spark, name):
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
