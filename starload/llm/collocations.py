@@ -15,8 +15,10 @@ from starload.session import materialize
 
 LONGEST = 5
 # Bytes of text handled at once, and distinct pairs a task holds before it sends them on.
-CHUNK = 8_000_000
-HELD = 1 << 22
+CHUNK = 4_000_000
+HELD = 1 << 21
+# Phrases of an output batch.
+SENT = 50_000
 # Bytes of text for a block of pairs on average; bits of the filter, at least and at most.
 BLOCK_BYTES = 16_000_000
 LEAST_BITS, MOST_BITS = 16, 28
@@ -48,7 +50,7 @@ class _Words(WordHashes):
         flat = np.frombuffer(b"\n".join(texts), np.uint8)
         hashes, first = self.located(flat)
         size = np.concatenate(self.ends) if self.ends else np.empty(0, np.int64)
-        breaks = np.cumsum(self.breaks[flat], dtype=np.int64)
+        breaks = np.cumsum(self.breaks[flat], dtype=np.uint32)
         piece = breaks[first] if len(first) else first
         stops = np.flatnonzero(np.append(piece[1:] != piece[:-1], True)) if len(piece) else piece
         left = stops[np.searchsorted(stops, np.arange(len(piece)))] - np.arange(len(piece)) + 1
@@ -65,6 +67,12 @@ class _Words(WordHashes):
         return np.concatenate(hashes), np.concatenate(places)
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 def _of_langs(hashes: np.ndarray, doc: np.ndarray, langs: list[str]) -> np.ndarray:
     """Word hashes that differ between languages."""
     names, number = np.unique(np.array(langs, object).astype(str), return_inverse=True)
@@ -145,6 +153,8 @@ def _gram_rows(filter_, longest: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, bits = _Words(), filter_.value
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
         shift = np.uint64(64 - (len(bits) * 8 - 1).bit_length())
         for langs, texts in chunks(batches, CHUNK):
             flat, word, first, end, doc, left = reader.pieces(texts)
@@ -162,15 +172,21 @@ def _gram_rows(filter_, longest: int):
                 name = np.where(size > k, joined(name, np.append(word[k:], np.zeros(k, np.uint64))[: len(word)]),
                                 name)
             _, at, times = np.unique(mixed(name + size.astype(np.uint64)), return_index=True, return_counts=True)
-            raw = flat.tobytes().lower()
-            stop = end[at + size[at] - 1]
-            grams = [b" ".join(raw[a:b].split()) if n > 1 else raw[a:b]
-                     for a, b, n in zip(first[at].tolist(), stop.tolist(), size[at].tolist())]
-            names = np.array(langs, object)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[doc[at]], pa.string()), pa.array(grams, pa.binary()).cast(pa.string()),
-                 pa.array(size[at].astype(np.int32)), pa.array(times.astype(np.int64))],
-                ["lang", "phrase", "words", "n"])
+            # The words one after the other, each with a blank behind.
+            length = end - first + 1
+            spaced = lower[flat[np.minimum(_ranges(first, length), len(flat) - 1)]]
+            edge = np.concatenate([[0], np.cumsum(length)])
+            spaced[edge[1:] - 1] = ord(" ")
+            names = pa.array(langs, pa.string())
+            for some in range(0, len(at), SENT):
+                place, n = at[some: some + SENT], times[some: some + SENT]
+                start, count = edge[place], edge[place + size[place]] - 1 - edge[place]
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                phrases = pa.StringArray.from_buffers(
+                    len(place), pa.py_buffer(offsets), pa.py_buffer(spaced[_ranges(start, count)]))
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(doc[place])), phrases, pa.array(size[place].astype(np.int32)),
+                     pa.array(n.astype(np.int64))], ["lang", "phrase", "words", "n"])
     return run
 
 
