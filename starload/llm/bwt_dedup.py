@@ -291,12 +291,13 @@ def earlier(flat: np.ndarray, size: np.ndarray, left: np.ndarray, doc: np.ndarra
     return of, least
 
 
-REPLIES = "block int, owner long, starts binary, masks binary"
+REPLIES = "block int, owners binary, starts binary, masks binary"
 
 
 def _compared(table: pa.Table, blocks: int, length: int) -> pa.Table:
     """Replies to the owners of a block's stretches: which windows an earlier text holds.
 
+    Replies go to the blocks of their owners, in one row for each.
     Rows of ``_stretch_rows`` are put together to shards of at least SHARD strings.
     """
     rows, total = [], 0
@@ -332,35 +333,40 @@ def _compared(table: pa.Table, blocks: int, length: int) -> pa.Table:
         hit = (window >= 0) & (window <= size - length) & (earliest[of[number], o] < doc)
         mask[hit] |= np.uint64(1) << window[hit].astype(np.uint64)
     hit = np.flatnonzero(mask)
-    hit = hit[np.argsort(owner[hit], kind="stable")]
-    out = []
-    for part in np.split(hit, np.flatnonzero(np.diff(owner[hit])) + 1):
-        if len(part):
-            own = int(owner[part[0]])
-            out.append((own % blocks, own, place[part].tobytes(), mask[part].tobytes()))
-    columns = list(zip(*out)) or [[]] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["block", "owner", "starts", "masks"])
+    owner, place, mask = owner[hit], place[hit].astype(np.uint32), mask[hit]
+    home = (owner.view(np.uint64) % np.uint64(blocks)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    edges = np.searchsorted(home[order], np.arange(blocks + 1))
+    homes = [h for h in range(blocks) if edges[h] < edges[h + 1]]
+    parts = [order[edges[h]: edges[h + 1]] for h in homes]
+    return pa.table([pa.array(homes, pa.int32()), *[pa.array([x[p].tobytes() for p in parts], pa.binary())
+                                                    for x in (owner, place, mask)]],
+                    names=["block", "owners", "starts", "masks"])
 
 
 def _spans(table: pa.Table, length: int) -> pa.Table:
     """(owner, places): per owner, the first byte and the end of each stretch to remove."""
-    got: dict[int, list] = {}
-    for own, starts, masks in zip(*[table[c].to_pylist() for c in ("owner", "starts", "masks")]):
-        got.setdefault(own, []).append((starts, masks))
-    out = []
-    for own, parts in got.items():
-        starts = np.concatenate([np.frombuffer(a, np.uint32) for a, _ in parts]).astype(np.int64)
-        masks = np.concatenate([np.frombuffer(b, np.uint64) for _, b in parts])
-        bits = np.unpackbits(masks.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        row, window = np.nonzero(bits)
-        first = np.unique(starts[row] + window)
-        gap = np.flatnonzero(first[1:] > first[:-1] + length)
-        edge = np.stack([first[np.concatenate([[0], gap + 1])],
-                         first[np.append(gap, len(first) - 1)] + length], 1)
-        out.append((own, edge.astype(np.uint32).tobytes()))
-    columns = list(zip(*out)) or [[], []]
-    return pa.table({"owner": pa.array(columns[0], pa.int64()), "places": pa.array(columns[1], pa.binary())})
+    owner, start, mask = (np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()])
+                          for c, kind in (("owners", np.int64), ("starts", np.uint32), ("masks", np.uint64)))
+    one = np.uint64(1)
+    firsts, lasts = mask & ~(mask << one), mask & ~(mask >> one)
+    found = []
+    for edge in (firsts, lasts):
+        bits = np.unpackbits(edge.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        found.append(np.nonzero(bits))
+    (row, window), (_, last) = found
+    owners, at = np.unique(owner, return_inverse=True)
+    # Texts one after the other, so that one running maximum serves all of them.
+    base = at[row].astype(np.int64) << 34
+    first, end = base + start[row] + window, base + start[row] + last + length
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
+    first, end = first[new], np.append(end[new[1:] - 1], end[-1])
+    edges = np.searchsorted(first >> 34, np.arange(len(owners) + 1))
+    both = (np.stack([first, end], 1) & ((1 << 34) - 1)).astype(np.uint32)
+    return pa.table({"owner": pa.array(owners), "places": pa.array(
+        [both[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
