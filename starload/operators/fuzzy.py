@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +12,9 @@ from starload.session import materialize
 # bounded size and no shuffle. Longer lists are equi-joined; both ways find the same pairs.
 NESTED_LIMIT = 64
 # Lengths of the stretches names are joined on, longest first.
-GRAMS = (8, 3, 2, 1)
+GRAMS = (8, 5, 3, 2, 1)
+# Up to this many stretches (of 8 characters at most, with a run beside them) are broadcast.
+FEW_GRAMS = 200_000
 
 
 def distinct_names(df: DataFrame, column: str) -> DataFrame:
@@ -37,56 +37,113 @@ def _grams(text: Column, n: int) -> Column:
     return F.array_distinct(F.filter(every, lambda g: F.char_length(g) == n))
 
 
-def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
-    """(text, needle) for each needle whose containing pattern a text matches.
+def _longest_grams(run: Column) -> Column:
+    """The stretches of a literal run, of the longest of ``GRAMS`` that it allows.
 
-    A text must hold every stretch of a pattern's literal runs. Of the stretches of one
-    length, the longest of ``GRAMS`` that the needle's longest run allows, the one found in
-    the fewest texts leads: texts holding it are tested against the whole pattern. A text
-    gives at most as many stretches as characters for each length in use. A needle made of
-    wildcards only asks for a least length of text, joined on that number.
+    Within a run no shorter stretch is found in fewer texts.
+    """
+    out = F.array().cast("array<string>")
+    for n in sorted(GRAMS):
+        out = F.when(F.char_length(run) >= n, _grams(run, n)).otherwise(out)
+    return out
+
+
+def leading_stretches(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """(needle, pattern, runs, plain, gram, second, n_texts): how each needle is to be found.
+
+    Each literal run of a pattern is weighed by its stretch that the fewest texts hold, as
+    counted. The rarest of all leads (``gram``); ``second`` is the next rarest run as a whole,
+    or the only one. A needle without wildcards is ``plain``. Needles made of wildcards only
+    have no row. A stretch found in no text rules its needle out, and has no row either.
     """
     body = F.col("name")
-    runs = needles.select(
+    runs = materialize(needles.select(
         body.alias("needle"), containing_pattern(body).alias("pattern"),
         F.array_distinct(pattern_fragments(body)).alias("runs"),
-    ).withColumn("longest", F.coalesce(
-        F.array_max(F.transform("runs", lambda r: F.char_length(r))), F.lit(0)))
-    runs = materialize(runs, "needles")
-    # At most one row per length in use reaches the driver.
-    longest = {row[0] for row in runs.select(
-        F.greatest(*[F.when(F.col("longest") >= n, n).otherwise(0) for n in (*GRAMS, 0)])
-    ).distinct().collect()}
-    found = []
-    for n, longer in zip(GRAMS, (None, *GRAMS)):
-        if n not in longest:
-            continue
-        own = runs.filter((F.col("longest") >= n) & (F.lit(longer is None) | (F.col("longest") < (longer or 0))))
-        leads = own.select("needle", "pattern", F.explode(F.array_distinct(F.flatten(
-            F.transform("runs", lambda r: _grams(r, n))))).alias("gram"))
-        pieces = texts.select(body.alias("text"), F.explode(_grams(body, n)).alias("gram"))
-        spread = pieces.join(leads.select("gram").distinct(), "gram").groupBy("gram").agg(
-            F.count(F.lit(1)).alias("n_texts"))
-        # A stretch found in no text rules its needle out, hence the left join.
-        best = leads.join(spread, "gram", "left").fillna(0, ["n_texts"]).groupBy("needle", "pattern").agg(
-            F.min_by("gram", F.struct("n_texts", "gram")).alias("gram"))
-        found.append(pieces.join(best, "gram").filter(F.like(F.col("text"), F.col("pattern")))
-                     .select("text", "needle"))
-    if 0 in longest:
-        bare = runs.filter("longest = 0").select(
-            "needle", F.char_length(F.translate("needle", "%", "")).alias("n"))
-        # Lengths only, so that the longest name bounds what reaches the driver.
-        least = sorted(row[0] for row in bare.select("n").distinct().collect())
-        long_enough = texts.select(
-            body.alias("text"), F.explode(F.array(*[F.lit(n) for n in least])).alias("n")
-        ).filter(F.col("n") <= F.char_length("text"))
-        found.append(long_enough.join(bare, "n").select("text", "needle"))
-    none = texts.select(body.alias("text"), body.alias("needle")).limit(0)
-    return functools.reduce(DataFrame.unionByName, found) if found else none
+        (~F.contains(body, F.lit("%")) & ~F.contains(body, F.lit("_")) & ~F.contains(body, F.lit("\\")))
+        .alias("plain"),
+    ).filter(F.size("runs") > 0), "needles")
+    stretches = materialize(runs.select("needle", F.explode("runs").alias("run")).select(
+        "needle", "run", F.explode(_longest_grams(F.col("run"))).alias("gram")), "stretches")
+    grams = materialize(stretches.select("gram").distinct(), "grams")
+    spread = materialize(spread_of(texts, grams), "spread")
+    # A run with a stretch that no text holds counts as found in none.
+    per_run = stretches.join(spread, "gram", "left").fillna(0, ["n_texts"]).groupBy("needle", "run").agg(
+        F.min(F.struct("n_texts", (-F.char_length("gram")).alias("size"), "gram")).alias("rarest"))
+    ranked = per_run.groupBy("needle").agg(
+        F.sort_array(F.collect_list(F.struct("rarest", "run"))).alias("ranked"))
+    lead = F.get("ranked", F.lit(0))
+    return runs.join(ranked, "needle").select(
+        "needle", "pattern", "runs", "plain", lead["rarest"]["gram"].alias("gram"),
+        F.coalesce(F.get("ranked", F.lit(1)), lead)["run"].alias("second"),
+        lead["rarest"]["n_texts"].alias("n_texts"),
+    ).filter("n_texts > 0")
+
+
+def pieces_of(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """(text, gram): which of the asked ``grams`` each text holds, by equi-join.
+
+    A text gives at most as many rows as characters for each length in use.
+    """
+    # One row per length in use reaches the driver.
+    lengths = sorted(r[0] for r in grams.select(F.char_length("gram")).distinct().collect()) or [1]
+    body = F.col("name")
+    every = F.array_distinct(F.concat(*[_grams(body, n) for n in lengths]))
+    # The optimizer takes the taken apart names for as small as the whole ones: it must not
+    # broadcast them. The asked stretches are, if there are few by count.
+    few = grams.limit(FEW_GRAMS + 1).count() <= FEW_GRAMS
+    asked = F.broadcast(grams) if few else grams.hint("merge")
+    return texts.select(body.alias("text"), F.explode(every).alias("gram")).join(asked, "gram")
+
+
+def spread_of(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """(gram, n_texts): in how many texts each of the grams is found, if in any."""
+    return pieces_of(texts, grams).groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
+
+
+def candidates(texts: DataFrame, leads: DataFrame) -> DataFrame:
+    """(text, gram, second): texts that hold both stretches of some needle.
+
+    Needles with the same two stretches share their candidates, so that a stretch that is
+    frequent alone brings no row per needle.
+    """
+    asked = leads.select("gram", "second").distinct()
+    held = pieces_of(texts, materialize(asked, "asked-stretches"))
+    return held.filter(F.contains(F.col("text"), F.col("second")))
+
+
+def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """(text, needle) for each needle whose containing pattern a text matches.
+
+    A text must hold every literal run of a pattern. Texts that hold the needle's two leading
+    stretches (see ``leading_stretches``) are tested for the other runs and then, unless the
+    needle has no wildcards, against the whole pattern. A needle made of wildcards only asks
+    for a least length of text, joined on that number.
+    """
+    body = F.col("name")
+    leads = materialize(leading_stretches(texts, needles), "leading-stretches")
+    holds = F.forall("runs", lambda run: F.contains(F.col("text"), run))
+    found = candidates(texts, leads).join(leads, ["gram", "second"]).filter(
+        F.col("plain") | (holds & F.like(F.col("text"), F.col("pattern")))).select("text", "needle")
+    bare = needles.select(
+        body.alias("needle"), F.char_length(F.translate(body, "%", "")).alias("n"),
+    ).filter(F.size(pattern_fragments(F.col("needle"))) == 0)
+    # Lengths only, so that the longest name bounds what reaches the driver.
+    least = sorted(row[0] for row in bare.select("n").distinct().collect())
+    if not least:
+        return found
+    long_enough = texts.select(
+        body.alias("text"), F.explode(F.array(*[F.lit(n) for n in least])).alias("n")
+    ).filter(F.col("n") <= F.char_length("text"))
+    return found.unionByName(long_enough.join(bare, "n").select("text", "needle"))
 
 
 def blocked_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Matching (left, right) names by equi-joins, for lists of any size."""
+    # Names are short and dear to take apart: small lists are spread over all tasks, too.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (materialize(side.repartition(tasks, F.xxhash64("name")), "names")
+                   for side in (left, right))
     forward = contained(left, right).select(
         F.col("text").alias("left"), F.col("needle").alias("right")
     )
@@ -101,7 +158,7 @@ def name_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     right = materialize(right, "right-names")
     if right.limit(NESTED_LIMIT + 1).count() <= NESTED_LIMIT:
         return nested_pairs(left, right)
-    return blocked_pairs(materialize(left, "left-names"), right)
+    return blocked_pairs(left, right)
 
 
 def fuzzy_join(
