@@ -138,6 +138,19 @@ def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     return found.unionByName(long_enough.join(bare, "n").select("text", "needle"))
 
 
+def held_stretches(names: DataFrame) -> DataFrame:
+    """(gram, name): every stretch of each name, of all lengths a pattern may be led by."""
+    every = F.array_distinct(F.concat(*[_grams(F.col("name"), n) for n in GRAMS]))
+    return names.select(F.explode(every).alias("gram"), "name")
+
+
+def pattern_stretch(names: DataFrame) -> DataFrame:
+    """(gram, name): a stretch each name asks for as a pattern; empty if it has wildcards only."""
+    runs = pattern_fragments(F.col("name"))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.char_length(r).alias("n"), r.alias("run"))))["run"]
+    return names.select(F.coalesce(F.get(_longest_grams(longest), F.lit(0)), F.lit("")).alias("gram"), "name")
+
+
 def blocked_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Matching (left, right) names by equi-joins, for lists of any size."""
     # Names are short and dear to take apart: small lists are spread over all tasks, too.

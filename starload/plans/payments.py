@@ -23,10 +23,10 @@ INVOICE = (
 )
 
 
-def readable(invoices: DataFrame) -> DataFrame:
+def readable(invoices: DataFrame, *others: str) -> DataFrame:
     """Invoices with an id, a date and a supplier."""
     return clean.required(
-        invoices.select(*INVOICE), "avenue_created_invoice_id", "created_date", "supplier_name"
+        invoices.select(*INVOICE, *others), "avenue_created_invoice_id", "created_date", "supplier_name"
     )
 
 

@@ -27,6 +27,12 @@ class Table:
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     lengths: dict[str, int] = field(default_factory=dict)
     fact: bool = False
+    # Columns whose hash places a fact row in its bucket; all of the natural key unless named.
+    placed_by: tuple[str, ...] = ()
+
+    @property
+    def placed(self) -> tuple[str, ...]:
+        return self.placed_by or self.natural
 
     @property
     def schema(self) -> T.StructType:
@@ -83,11 +89,27 @@ _TABLES = [
     _dimension("core_dim_user", "user_key", "user_email"),
     Table(
         "rejects",
-        (("job", TEXT), ("key", TEXT), ("reason", TEXT), ("loaded_at", T.TimestampType())),
+        (("job", TEXT), ("key", TEXT), ("reason", TEXT), ("loaded_at", T.TimestampType()),
+         ("run_id", TEXT)),
         ("job", "key", "reason", "loaded_at"),
     ),
+    # Counts of the runs that were given an id.
+    Table(
+        "run_counts",
+        (("job", TEXT), ("outcome", TEXT), ("n_rows", LONG), ("loaded_at", T.TimestampType()),
+         ("run_id", TEXT)),
+        ("run_id", "outcome"),
+    ),
     # Vendor names already matched against every stored invoice (payment stream).
     Table("vendors_seen", (("vendor_id", TEXT), ("vendor_name", TEXT)), ("vendor_id", "vendor_name")),
+    # Index of the payment stream: the stretches of each supplier name, the one it is found by as
+    # a pattern itself, and the files its invoices came in.
+    Table("supplier_holds", (("gram", TEXT), ("name", TEXT)), ("gram", "name"), fact=True,
+          placed_by=("gram",)),
+    Table("supplier_leads", (("gram", TEXT), ("name", TEXT)), ("gram", "name"), fact=True,
+          placed_by=("gram",)),
+    Table("supplier_files", (("name", TEXT), ("file", TEXT)), ("name", "file"), fact=True,
+          placed_by=("name",)),
     _fact(
         "f_inventory",
         [("inventory_id", TEXT), ("item_key", LONG), ("quantity", AMOUNT), ("project_key", LONG),

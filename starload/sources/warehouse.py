@@ -140,6 +140,16 @@ class Warehouse:
         paths = {p for paths in pointer["parts"].values() for p in paths}
         return self._load(name, sorted(paths))
 
+    def _near(self, name: str, rows: DataFrame, pointer: dict) -> DataFrame:
+        near = rows.select(bucket(TABLES[name].placed, pointer["buckets"]).alias("b")).distinct()
+        # At most one row per bucket reaches the driver.
+        touched = [str(row["b"]) for row in near.collect()]
+        return self._load(name, [p for b in touched for p in pointer["parts"].get(b, [])])
+
+    def read_near(self, name: str, rows: DataFrame) -> DataFrame:
+        """Of a fact, the buckets that hold the rows placed as ``rows`` are."""
+        return self._near(name, rows, self._current(name))
+
     # Writing
 
     def _write(self, name: str, df: DataFrame) -> str:
@@ -151,7 +161,7 @@ class Warehouse:
         """Write by bucket; returns bucket -> folder for the buckets written."""
         version = f"data/{uuid.uuid4().hex}"
         path = f"{self.root}/{name}/{version}"
-        df = conform(df, name).withColumn(BUCKET, bucket(TABLES[name].natural, buckets))
+        df = conform(df, name).withColumn(BUCKET, bucket(TABLES[name].placed, buckets))
         df.write.partitionBy(BUCKET).parquet(path)
         folders = [f.getPath().getName() for f in self._fs.listStatus(self._path(path))]
         prefix = BUCKET + "="
@@ -188,6 +198,37 @@ class Warehouse:
                     raise
                 pointer = self._pointer(name)
 
+    def put_run(self, name: str, run_id: str, rows: DataFrame | None) -> None:
+        """Make ``rows`` what the run left in a table of runs, in place of what it left before.
+
+        The newest runs have folders of their own; older ones share some, from which an old
+        run that is repeated is taken out. No rows: the run leaves nothing.
+        """
+        rows = None if rows is None else rows.withColumn("run_id", F.lit(run_id))
+        version = None if rows is None else self._write(name, rows)
+        for last in (False, False, False, True):
+            pointer = self._pointer(name)
+            # One entry per run: which came first is told by a number before its id.
+            parts = {k: v for k, v in pointer["parts"].items() if k.partition(":")[2] != run_id}
+            whole = parts.get(_WHOLE, [])
+            if whole and not self._load(name, whole).filter(F.col("run_id") == run_id).isEmpty():
+                others = self._load(name, whole).filter(~F.col("run_id").eqNullSafe(F.lit(run_id)))
+                parts[_WHOLE] = whole = [self._write(name, others)]
+            if version is None and parts == pointer["parts"]:
+                return
+            if version is not None:
+                parts[f"{pointer['number']:012d}:{run_id}"] = [version]
+            own = sorted(k for k in parts if k != _WHOLE)
+            if len(own) > _FOLDERS:
+                old = [p for k in own for p in parts.pop(k)]
+                rest = self._load(name, [*whole, *old]).coalesce(_FOLDERS)
+                parts[_WHOLE] = [self._write(name, rest)]
+            try:
+                return self._switch(name, pointer, parts)
+            except Conflict:
+                if last:
+                    raise
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Put a whole new table in place, unless it changed since it was read."""
         pointer = self._current(name)
@@ -241,10 +282,7 @@ class Warehouse:
         parts = dict(pointer["parts"])
         staged = materialize(conform(batch, name), f"batch-{name}")
         self._check(name, staged)
-        # At most one row per bucket reaches the driver.
-        near = staged.select(bucket(contract.natural, pointer["buckets"]).alias("b")).distinct()
-        touched = [str(row["b"]) for row in near.collect()]
-        stored = self._load(name, [p for b in touched for p in parts.get(b, [])])
+        stored = self._near(name, staged, pointer)
         fresh = absent(staged, stored, contract.natural)
         if contract.surrogate:
             fresh = assign_bucket_keys(
@@ -258,7 +296,7 @@ class Warehouse:
         full = [b for b in written if len(parts[b]) > _FOLDERS]
         if full:
             rows = self._load(name, [p for b in full for p in parts[b]])
-            whole = self._write_buckets(name, rows.repartition(*contract.natural), pointer["buckets"])
+            whole = self._write_buckets(name, rows.repartition(*contract.placed), pointer["buckets"])
             parts.update({b: [folder] for b, folder in whole.items()})
         self._switch(name, pointer, parts)
         return added
@@ -274,7 +312,7 @@ class Warehouse:
         if many == [_WHOLE]:
             parts[_WHOLE] = [self._write(name, rows)]
         else:
-            merged = rows.repartition(*TABLES[name].natural)
+            merged = rows.repartition(*TABLES[name].placed)
             for b, folder in self._write_buckets(name, merged, pointer["buckets"]).items():
                 parts[b] = [folder]
         self._switch(name, pointer, parts)
