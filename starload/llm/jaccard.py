@@ -291,8 +291,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     pairs of sides. Shingles are compared by 64-bit hashes.
 
     Null or empty text: no shingles, and a component of its own. Null doc_id: no component
-    (NULL), linked with nothing. Repeated rows: one result each. Empty table: no rows. Other
-    columns are not read.
+    (NULL), linked with nothing. Repeated rows: one result each. Texts of one doc_id are linked
+    as that document. Empty table: no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     blocks = block_count(spark)
@@ -322,11 +322,13 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     def packed(batches):
         for rows in _sets(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[1] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
-                 pa.array([r[2].tobytes() for r in rows], pa.binary())], ["class", "doc", "values"])
+                [pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2].tobytes() for r in rows], pa.binary())], ["class", "values"])
 
-    wanted = named.join(bounded(members.select("doc_id")), "doc_id", "left_semi")
-    sets = wanted.mapInArrow(packed, "class long, doc long, values binary").dropDuplicates(["class"])
+    # An id may come with other texts, too: sets go by their class, and classes by their least id.
+    wanted = named.join(bounded(members.select("doc_id").distinct()), "doc_id", "left_semi")
+    sets = wanted.mapInArrow(packed, "class long, values binary").dropDuplicates(["class"])
+    sets = sets.join(bounded(members.withColumnRenamed("doc_id", "doc")), "class")
 
     sizes = groups.groupBy("leader").agg(F.count("*").alias("n"))
     sided = (
@@ -343,6 +345,11 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
                 .alias("task"))
     )
     links = sided.join(sets, "class").groupBy("task").applyInArrow(_links, "a long, b long")
+    # An id with several texts links their classes.
+    several = info.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
+        F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    held = info.filter("n_shingles > 0").join(several.select("doc_id"), "doc_id").join(classes, "class")
+    links = links.unionByName(held.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b")))
     labels = components(links)
     # The class representative's component, or the representative itself.
     found = classes.join(labels.withColumnRenamed("node", "first_id"), "first_id", "left").select(

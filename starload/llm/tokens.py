@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import tiktoken
@@ -34,6 +35,11 @@ def _encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
+# Blanks as the split takes them, in runs too long for its look-ahead.
+_LONG_RUN = re.compile(
+    "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
 class Tokenizer:
     """The ids the tokenizers library gives for ``path``, without special tokens added.
 
@@ -49,4 +55,22 @@ class Tokenizer:
         self.encoding = known[path]
 
     def __call__(self, text: str) -> np.ndarray:
+        """Ids of a text of any length.
+
+        The split cannot look past a very long run of blanks, which are one pre-token: all of
+        them before a special token or the end, else all but the last, which goes with what
+        follows. Such runs are merged by themselves.
+        """
+        special = tuple(self.encoding.special_tokens_set)
+        parts, at = [], 0
+        for run in _LONG_RUN.finditer(text):
+            end = run.end()
+            if end < len(text) and not text.startswith(special, end):
+                end -= 1
+            parts.append(self._plain(text[at: run.start()]))
+            parts.append(np.array(self.encoding._encode_single_piece(text[run.start(): end]), np.uint32))
+            at = end
+        return np.concatenate([*parts, self._plain(text[at:])]) if parts else self._plain(text)
+
+    def _plain(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, allowed_special="all")

@@ -34,6 +34,11 @@ def plain(pairs):
                 root[top(j)] = top(k)
         for x in s:
             lists[x].append(j)
+    # Texts of one document are linked as that document.
+    first = {}
+    for j, (key, _) in enumerate(pairs):
+        if key is not None and sets[j]:
+            root[top(j)] = top(first.setdefault(key, j))
     least = defaultdict(list)
     for j, (key, _) in enumerate(pairs):
         least[top(j)].append(key)
@@ -44,8 +49,7 @@ def plain(pairs):
 def planted():
     rng = random.Random(7)
     base = [t.split() for t in prose(3, 14, longest=110) if t]
-    pairs = [a for a in AWKWARD if a != (6, "another text, same id")]
-    pairs += [(10, "a b"), (11, "A  B"), (12, "a b c d e"), (13, "a b c d e f"), (14, "A B C D E")]
+    pairs = AWKWARD + [(10, "a b"), (11, "A  B"), (12, "a b c d e"), (13, "a b c d e f"), (14, "A B C D E")]
     for i in range(250):
         w = list(rng.choice(base))
         for _ in range(rng.randint(0, 4)):
@@ -74,6 +78,19 @@ def test_the_bound_is_met_exactly(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_an_id_with_several_texts(spark, seed):
+    """Links go through every text of an id, whatever the order of rows."""
+    a, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "ac")
+    pairs = [(3, a), (6, a), (6, c), (20, a + " extra"), (21, c + " tail"), (30, "alone with six words of mine"),
+             (30, c[:-4]), (6, None)]
+    random.Random(seed).shuffle(pairs)
+    docs = frame(spark, pairs, 1 + seed).withColumnsRenamed({"lang": "class", "source": "doc", "n_chars": "a"})
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(docs).collect()}
+    assert {(k, c) for k, n, c in got if n} == {(3, 3), (6, 3), (20, 3), (21, 3), (30, 3)}
+    assert (6, 0, 6) in got
+
+
 def test_empty_table(spark):
     assert jaccard_join(frame(spark, [])).collect() == []
 
