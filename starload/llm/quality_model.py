@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,10 @@ FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
 # Labelled rows a fit uses at most.
 FIT_ROWS = 40_000
+# Rows of the sample that must meet a rule, and fail it.
+LEAST_ROWS = 5
+# Before the names of statistics that stand beside other columns.
+_OWN = "quality_"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 STATISTICS = (
@@ -60,8 +65,8 @@ class Condition:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
-        value = F.col(self.statistic)
+    def column(self, names: dict[str, str] | None = None) -> Column:
+        value = F.col((names or {}).get(self.statistic, self.statistic))
         return value > self.threshold if self.above else value <= self.threshold
 
 
@@ -75,18 +80,18 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[float, Rule], ...]
 
-    def score(self) -> Column:
-        """Probability of label 1, as an expression over the statistics."""
+    def score(self, names: dict[str, str] | None = None) -> Column:
+        """Probability of label 1, as an expression over the statistics, maybe by other names."""
         total = F.lit(self.intercept)
         for weight, rule in self.rules:
-            total = total + F.when(_all(rule), weight).otherwise(0.0)
+            total = total + F.when(_all(rule, names), weight).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-def _all(rule: Rule) -> Column:
-    test = rule[0].column()
+def _all(rule: Rule, names: dict[str, str] | None = None) -> Column:
+    test = rule[0].column(names)
     for condition in rule[1:]:
-        test = test & condition.column()
+        test = test & condition.column(names)
     return test
 
 
@@ -114,6 +119,32 @@ def tree_rules(model) -> list[Rule]:
     return list(rules)
 
 
+def marked(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(label, x): which rules each row meets."""
+    return rows.select("label", array_to_vector(
+        F.array(*[F.when(_all(r), 1.0).otherwise(0.0) for r in rules])
+    ).alias("x"))
+
+
+def supported(rows: DataFrame, rules: list[Rule]) -> list[Rule]:
+    """The rules, and their conditions alone, that enough rows meet and enough do not.
+
+    A conjunction that as many rows meet as one of its conditions alone is left out: what it
+    adds is chance.
+    """
+    singles = list(dict.fromkeys((c,) for r in rules for c in r))
+    every = [*singles, *[r for r in rules if len(r) > 1]]
+    if not every:
+        return []
+    found = marked(rows, every).agg(F.count("*").alias("n"), Summarizer.sum(F.col("x")).alias("x")).first()
+    met = dict(zip(every, found["x"].toArray().astype(int).tolist()))
+    return [
+        r for r in every
+        if LEAST_ROWS <= met[r] <= found["n"] - LEAST_ROWS
+        and not (len(r) > 1 and any(met[(c,)] == met[r] for c in r))
+    ]
+
+
 def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001) -> RuleModel:
     """Fit on rows (doc_id, the statistics, and a ``label`` of 0 or 1).
 
@@ -137,12 +168,10 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001)
         featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, maxBins=64,
         featureSubsetStrategy="onethird", minInstancesPerNode=5, seed=11,
     ).fit(train)
-    rules = tree_rules(forest)
+    rules = supported(rows, tree_rules(forest))
     if not rules:
         return RuleModel(math.log((n1 + 1.0) / (n0 + 1.0)), ())
-    marks = rows.select("label", array_to_vector(
-        F.array(*[F.when(_all(r), 1.0).otherwise(0.0) for r in rules])
-    ).alias("x"))
+    marks = marked(rows, rules)
     weights = LogisticRegression(
         featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60,
         standardization=False,
@@ -151,27 +180,44 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, lasso: float = 0.001)
     return RuleModel(float(weights.intercept), tuple(kept))
 
 
+def fitted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> RuleModel:
+    """The model of the labelled rows of ``docs``: about ``fit_rows`` at most, none held out.
+
+    Of the texts of a repeated id the one with the least statistics is learned from.
+    """
+    sample = label_sample(labels, "quality", FOLDS, HELD, fit_rows)
+    # The bound of the sample bounds the broadcast.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = materialize(
+        rows.select("doc_id", "label", F.struct(*[c.alias(n) for n, c in statistics(F.col("text")).items()])
+                    .alias("of_text")), "quality-sample")
+    return fit(rows.groupBy("doc_id", "label").agg(F.min("of_text").alias("of_text"))
+               .select("doc_id", "label", "of_text.*"))
+
+
+def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
+    """``docs`` with ``quality_score``, from their ``text``."""
+    names = docs.columns
+    rows = docs.select(*names, *[c.alias(_OWN + n) for n, c in statistics(F.col("text")).items()])
+    # A column that is no function of the row keeps later filters above the statistics, which
+    # would otherwise be worked out again for every rule.
+    rows = rows.withColumn("quality_row", F.monotonically_increasing_id())
+    own = model.score({n: _OWN + n for n in STATISTICS})
+    return rows.select(*names, "quality_row", own.alias("quality_score")).drop("quality_row")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text).
 
-    The statistics of all texts are computed once and kept in the shared folder; the
-    forest and the lasso see about ``fit_rows`` labelled rows at most, none of the held-out
-    fold. Rules become one column expression, so scoring is a projection.
+    The forest and the lasso see about ``fit_rows`` labelled rows at most, none of the
+    held-out fold. Rules become one column expression over the statistics of a text, so
+    scoring is a projection.
 
     Null or empty text: scored by statistics that are all zero. Null doc_id: scored, not held
     out. Repeated rows: one result each. Empty tables: no result rows, or, without labels, a
     score of 0.5. Other columns of either table are not read.
     """
-    rows = materialize(
-        docs.select("doc_id", *[c.alias(n) for n, c in statistics(F.col("text")).items()]),
-        "statistics",
-    )
-    sample = label_sample(labels, "quality", FOLDS, HELD, fit_rows)
-    train = materialize(
-        rows.dropDuplicates(["doc_id"]).join(F.broadcast(sample), "doc_id"), "quality-sample"
-    )
-    model = fit(train)
-    return rows.select(
+    return scored(docs.select("doc_id", "text"), fitted(docs, labels, fit_rows)).select(
         "doc_id", in_fold(F.col("doc_id"), FOLDS, HELD).alias("held_out"),
-        model.score().alias("score"),
+        F.col("quality_score").alias("score"),
     ).withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))

@@ -66,26 +66,35 @@ def test_query_gives_a_row_per_document(spark, name):
 
 
 def test_pipeline(spark, tmp_path):
-    prose = [p for p in everything(3, 120) if p[0] is not None and p[0] != 6]
-    long = [p for p in prose if p[0] >= 100 and len(p[1] or "") > 300]
+    prose = everything(3, 120)
+    long = [p for p in prose if (p[0] or 0) >= 100 and len(p[1] or "") > 300]
     passage = " ".join(f"shared{i}" for i in range(60))
     pairs = prose + [(700, long[0][1]), (701, long[0][1] + " more"), (702, f"{long[1][1]} {passage}"),
                      (703, f"{passage} {long[2][1]}")]
     pairs += [(800 + i, " ".join(f"{w}###" for w in t.split())) for i, (_, t) in enumerate(long[3:20])]
-    labels = [(k, int(k < 800), 0) for k, _ in pairs if k >= 100]
+    # A clean text beside a rejected one under one id, a copy without an id, and long blanks.
+    pairs += [(801, long[20][1]), (None, long[4][1]), (None, long[6][1] + " and more"), (900, " " * 1_000_000 + "end")]
+    labels = [(k, int(k < 800), 0) for k, _ in pairs if k is not None and 100 <= k < 900 and k != 801]
     spark.createDataFrame(rows(pairs), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
         f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("component_id", F.lit(1))
-    texts = {}
+    texts, kept = {}, []
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, str(tmp_path))
         if name != "best-fit packing":
             assert docs.columns == list(corpus_pipeline.COLUMNS)
             docs = spark.createDataFrame(docs.collect(), docs.schema)
             texts[name] = {r.doc_id: r.text for r in docs.collect()}
+            held = sorted((r.doc_id or 0, r.text or "") for r in docs.collect())
+            kept.append(held)
     good, single, cut, mixed = texts.values()
-    assert not any(k >= 800 for k in good) and {k for k, _ in long} <= set(good)
+    assert not any(t and "###" in t for _, t in kept[0]) and {k for k, _ in long} <= set(good)
+    # Only rejected rows go, with and without an id; then copies, each row by itself.
+    assert kept[0] == sorted((k or 0, t or "") for k, t in pairs if "###" not in (t or ""))
+    assert (801, long[20][1]) in kept[0] and (0, prose[0][1]) in kept[1]
+    assert (0, long[4][1]) not in kept[1] and (long[4][0], long[4][1]) in kept[1]
+    assert [t for k, t in kept[1] if k == 6] == ["another text, same id", "same text twice"]
     first = min(long[0][0], 700)
     assert first in single and not {700, 701} & set(single)
     assert set(cut) == set(single) == set(mixed) and cut == mixed
@@ -93,7 +102,8 @@ def test_pipeline(spark, tmp_path):
     assert cut[long[5][0]] == dict(pairs)[long[5][0]]
     packed = docs.collect()
     assert {r.doc_id for r in packed} == set(mixed)
+    assert sum(r.length for r in packed if r.doc_id == 900) > 1_000_000
     run = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in run) == sorted(
-        (r.doc_id, r.piece, r.ids_crc32) for r in packed)
+    assert sorted((r.doc_id or 0, r.piece, r.ids_crc32) for r in run) == sorted(
+        (r.doc_id or 0, r.piece, r.ids_crc32) for r in packed)
     assert public_tokenizers.path("byte_bpe_50k.json")
