@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +12,9 @@ from starload.llm.common import bounded
 from starload.llm.jaccard import jaccard_join
 from starload.llm.mixing import mix
 from starload.llm.packing import pack_documents
-from starload.llm.quality_model import quality_scores
+from starload.llm.quality_model import THRESHOLD, fitted, scored
 from starload.llm.substrings import remove_repeats
-from starload.session import configure, materialize
+from starload.session import configure, materialize, scratch, session_area
 
 # Target weight of each source; None: the square root of its number of rows.
 WEIGHTS = None
@@ -23,36 +25,43 @@ def _prepared(spark: SparkSession) -> None:
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows with one of the ids; few ids, by count, are broadcast, so that texts stay put."""
-    return docs.join(bounded(ids), "doc_id", "left_semi").select(*COLUMNS)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject.
+    """Rows that the classifier does not reject, each by its own text.
 
-    Rows with a NULL id go: no later stage could name them. Of rows with one id and different
-    texts all stay if one is accepted. Null or empty texts are scored as such.
+    Null or empty texts are scored as such, and rows without an id like all others.
     """
     _prepared(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = quality_scores(docs, labels).filter("predicted = 1")
-    return _kept(docs, materialize(good.select("doc_id").distinct(), "good-ids"))
+    model = fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = scored(docs.select(*COLUMNS), model)
+    return rows.filter(F.col("quality_score") >= THRESHOLD).select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id.
+    """Of each group of linked rows the one with the smallest id, one without an id last.
 
-    Documents without words are linked with nothing, and stay. Repeated rows of the one that
-    stays are reduced to one.
+    Rows are told apart by id and text, so that texts of one id are judged each by itself.
+    Rows without words are linked with nothing, and stay. Repeated rows of the one that stays
+    are reduced to one.
     """
     _prepared(spark)
-    first = materialize(
-        jaccard_join(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
-        "first-ids",
-    )
-    rows = _kept(docs, first.select("doc_id"))
-    return rows.dropDuplicates(["doc_id"]) if first.filter("n > 1").count() else rows
+    rows = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    links = materialize(jaccard_join(rows.select(F.col("row_key").alias("doc_id"), "text")), "links")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    ids = rows.select("row_key", "doc_id").distinct()
+    linked = links.filter("n_shingles > 0").withColumnRenamed("doc_id", "row_key")
+    first = linked.distinct().join(ids, "row_key").groupBy("component_id").agg(
+        F.min(order)["row_key"].alias("row_key"))
+    alone = links.filter("n_shingles = 0").select(F.col("doc_id").alias("row_key")).distinct()
+    keys = materialize(first.select("row_key").unionByName(alone), "first-rows")
+    # Few keys, by count, are broadcast, so that texts stay put.
+    kept = rows.join(bounded(keys), "row_key", "left_semi")
+    again = materialize(
+        linked.groupBy("row_key").count().filter("count > 1").select("row_key"), "repeated-rows")
+    if again.isEmpty():
+        return kept.select(*COLUMNS)
+    again = bounded(again)
+    once = kept.join(again, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.join(again, "row_key", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -99,5 +108,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # What a stage writes besides its result goes with the stage.
+        path = f"{session_area(spark)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
