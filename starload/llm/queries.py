@@ -162,7 +162,9 @@ def _license_sql() -> str:
         f"({len(p.split())}, ' {p} ', '{label}')" for p, label in licenses.PHRASES.items()
     )
     templates = ", ".join(
-        f"('{label}', list_distinct(string_split('{words}', ' ')))"
+        f"('{label}', list_distinct(string_split('{words}', ' ')), "
+        f"string_split('{licenses.NAMING.get(label, '')}', ' '), "
+        f"{licenses.block_words(words)})"
         for label, words in licenses.TEMPLATES.items()
     )
     return f"""
@@ -173,7 +175,7 @@ def _license_sql() -> str:
     w AS (SELECT doc_id, h, lower_text, regexp_extract_all(lower_text, '{licenses.WORD}') AS words
           FROM d),
     phrases(n, phrase, label) AS (VALUES {phrases}),
-    templates(label, template) AS (VALUES {templates}),
+    templates(label, template, named, span) AS (VALUES {templates}),
     places AS (
       SELECT DISTINCT h, label, i - 1 AS start
       FROM (SELECT h, words, unnest(range(1, len(words) + 1)) AS i FROM w
@@ -182,13 +184,20 @@ def _license_sql() -> str:
     found AS (
       SELECT h, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word
       FROM places GROUP BY ALL),
-    blocks AS (
-      SELECT DISTINCT h, list_distinct(regexp_extract_all(line, '{licenses.WORD}')) AS held
-      FROM (SELECT h, unnest(string_split(lower_text, chr(10))) AS line FROM w) x),
+    -- A block worth a look begins with a word of the template.
+    begun AS (
+      SELECT DISTINCT h, i, t.label
+      FROM (SELECT DISTINCT h, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word
+            FROM (SELECT DISTINCT h, words FROM w WHERE len(words) > 0) y) x
+      JOIN (SELECT label, unnest(template) AS word FROM templates) t ON t.word = x.word),
     met AS (
-      SELECT h, label, max(len(list_intersect(held, template)) / len(template)) AS c
-      FROM blocks, templates
-      WHERE len(list_intersect(held, template)) * 10 >= 8 * len(template) GROUP BY ALL),
+      SELECT h, label, max(len(held) / len(template)) AS c
+      FROM (SELECT b.h, b.label, t.template, t.named,
+                   list_intersect(list_distinct(u.words[b.i:b.i + t.span - 1]), t.template) AS held
+            FROM begun b JOIN templates t USING (label)
+            JOIN (SELECT DISTINCT h, words FROM w) u USING (h)) x
+      WHERE len(held) * 10 >= 8 * len(template)
+        AND (named = [''] OR len(list_intersect(held, named)) = len(named)) GROUP BY ALL),
     best AS (SELECT h, max(c) AS c FROM met GROUP BY ALL),
     named AS (
       SELECT h, string_agg(DISTINCT label, ',' ORDER BY label) AS labels

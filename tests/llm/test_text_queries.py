@@ -1,5 +1,7 @@
 """Queries beside their SQL, and the pipeline's stages on small tables."""
 
+import textwrap
+
 import duckdb
 import public_tokenizers
 import pytest
@@ -18,6 +20,9 @@ NOTICES = [
     (302, "x\nLicensed under CC BY-NC 4.0.\ny"), (303, "apache\nlicense, apache license"),
     (304, "the MIT   License and the mit-license"), (305, "ccby cc byx cc-by"),
     (305, "Redistribution in source and binary forms"), (None, "Apache License"),
+    (308, "Redistribution and use in\n * source and binary forms, with or\n * without modification, "
+          "are permitted\n * provided that the following conditions are met:"),
+    (309, "released under the\nMIT license or under the Apache License"),
     (306, "You may not use this file except in compliance with the License, ever"),
     (307, "apachelicense Éapache license"),
 ]
@@ -47,13 +52,41 @@ def test_license_query_on_awkward_rows(spark, tmp_path):
 
 def test_blocks_meet_templates_by_containment(spark):
     templates = {"t": "a b c d e", "u": "x y", "none": "q"}
-    pairs = [(1, "a b c d z\nE D C B A"), (2, "a b c\nd e"), (3, "x"), (4, "Y x a"), (5, None)]
-    got = {(r.doc_id, r.block, r.label, r.containment) for r in
-           template_hits(read_words(frame(spark, pairs), templates), templates, 0.8).collect()}
-    assert got == {(1, 0, "t", 0.8), (1, 1, "t", 1.0), (4, 0, "u", 1.0)}
+    pairs = [(1, "a b c d z\nE D C B A"), (2, "a b c\nd e"), (3, "x"), (4, "Y x a"), (5, None),
+             (6, "a b z z z z c d e"), (7, "a z b c d"), (8, "y - z - x"), (9, "y z z x")]
+    got = {(r.doc_id, r.label, r.containment) for r in
+           template_hits(read_words(frame(spark, pairs), templates), templates, 0.8).groupBy(
+               "doc_id", "label").agg(F.max("containment").alias("containment")).collect()}
+    # Blocks have seven words for five, and three for two.
+    assert got == {(1, "t", 1.0), (2, "t", 1.0), (4, "u", 1.0), (7, "t", 0.8), (8, "u", 1.0)}
+    named = template_hits(read_words(frame(spark, pairs), templates), templates, 0.8, {"t": "e"})
+    assert {r.doc_id for r in named.filter("label = 't'").collect()} == {1, 2}
     assert license_scan(frame(spark, [])).collect() == []
 
 
+def wrapped(text, width):
+    return "\n * ".join(textwrap.wrap(text, width))
+
+
+def test_wrapped_notices_and_near_ones(spark):
+    """Terms wrapped as they usually are get their labels, and the names of others do not."""
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the "
+           "GNU General Public License as published by the Free Software Foundation")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+           "provided that the following conditions are met:")
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+           "associated documentation files (the Software)")
+    filler = "one of the words in this text is not to be taken for a notice under any law " * 400
+    pairs = [(1, wrapped(gpl, 60)), (2, filler + wrapped(bsd, 40) + filler), (3, wrapped(mit, 75)),
+             (4, "Released under the Apache License"), (5, "Licensed under CC BY 4.0"),
+             (6, "licensed under the GNU General Public License version 2.0"),
+             (7, "released under\nthe MIT\nlicense"), (8, filler),
+             (9, "Licensed under the\nApache License, Version 2.0")]
+    got = {r.doc_id: set(r.notices) for r in license_scan(frame(spark, pairs)).collect()}
+    assert got == {1: {"gpl-terms"}, 2: {"bsd-terms"}, 3: {"mit-terms"}, 4: set(), 5: set(), 6: set(),
+                   7: {"mit-notice"}, 8: set(), 9: {"apache-2.0"}}
+
+
 def test_every_operator_has_a_query():
     names = {n.split("_")[0] for n in __spark_entry__.queries()}
     assert {f"op{i}" for i in range(1, 14)} | {"pipeline"} <= names
