@@ -72,10 +72,22 @@ def new_members(
     return {table: members(table, natural) for table, natural in values}
 
 
-def insert_members(offered: DataFrame, values: Iterable[tuple[str, str]], tables) -> None:
-    """Add the new ones of the offered members to the target tables."""
+def stored_members(tables, table: str, natural: str, values: list | None) -> DataFrame:
+    """The stored members with one of a few values; all of them for None, or where the highest
+    key must be found among them."""
+    return tables.members(table, natural, None if tables.top(table) is None else values)
+
+
+def insert_members(
+    offered: DataFrame, values: Iterable[tuple[str, str]], tables, few: dict[str, list] | None = None,
+) -> None:
+    """Add the new ones of the offered members to the target tables.
+
+    ``few`` has all the values that are offered to a table, by its name, if they are few.
+    """
     values = list(values)
-    targets = {table: tables.read(table) for table, _ in values}
+    targets = {table: stored_members(tables, table, natural, (few or {}).get(table))
+               for table, natural in values}
     tops = {table: tables.top(table) for table, _ in values}
     for table, new in new_members(offered, values, targets, tops).items():
         tables.append(table, new)

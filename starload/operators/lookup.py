@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.clean import classify
+from starload.session import FEW
 
 
 class UnknownMember(ValueError):
@@ -25,6 +26,20 @@ class Lookup:
     output: str
 
 
+def few_values(tables, rows: DataFrame, *columns: str) -> dict[str, list] | None:
+    """The values in the columns of a batch of at most ``FEW`` rows, as text; None for a larger one.
+
+    A small batch, such as one of a stream, reads of a large dimension only its own members.
+    None, too, for tables that cannot be read by member.
+    """
+    if not tables.by_member:
+        return None
+    found = rows.select(*[F.col(c).cast("string").alias(c) for c in columns]).limit(FEW + 1).collect()
+    if len(found) > FEW:
+        return None
+    return {c: sorted({r[c] for r in found if r[c] is not None}) for c in columns}
+
+
 def by_name(dimension: DataFrame, name: str, key: str) -> DataFrame:
     """One key per name, the lowest, for dimensions whose names may repeat."""
     return dimension.groupBy(name).agg(F.min(key).alias(key))

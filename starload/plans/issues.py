@@ -66,7 +66,8 @@ def _names(offered: DataFrame, dim: str, key: str, source: DataFrame, source_key
 
 
 def load_dimensions(
-    checked: DataFrame, projects: DataFrame, properties: DataFrame, tables
+    checked: DataFrame, projects: DataFrame, properties: DataFrame, tables,
+    few: dict[str, list] | None = None,
 ) -> None:
     """Every issue offers its attributes, also one that is rejected afterwards."""
     both = F.col("project_id").isNotNull() & F.col("property_id").isNotNull()
@@ -79,7 +80,8 @@ def load_dimensions(
     # Distinct members only, needed three times.
     offered = materialize(dims.offers(checked, {**values, **named}), "issue-offers")
     dims.insert_members(
-        offered.filter(~F.col("dim").isin([dim for dim, _ in named])), values, tables
+        offered.filter(~F.col("dim").isin([dim for dim, _ in named])), values, tables,
+        few and {"dim_reporter": few["reported_by_email"]},
     )
     names = _names(offered, "d_project", "project_id", projects, "project_id", "project_name",
                    "project_name")
@@ -89,15 +91,19 @@ def load_dimensions(
     dims.overwrite_members(names, "d_property", tables, ["property_name"], ["property_name"])
 
 
-def resolve(checked: DataFrame, tables) -> DataFrame:
-    """One row per issue with its keys."""
+def resolve(checked: DataFrame, tables, few: dict[str, list] | None = None) -> DataFrame:
+    """One row per issue with its keys; ``few`` has the reporters of a small batch."""
+
+    def members(dim: str, natural: str) -> DataFrame:
+        return tables.members(dim, natural, few["reported_by_email"] if few and dim == "dim_reporter" else None)
+
     rows = clean.kept(checked, "issue_id", "project_id", "property_id", "updated_at")
     found = lookup.or_null(rows, [
         Lookup("project_id", tables.read("d_project"), "project_id", "project_key", "project_key"),
         Lookup("property_id", tables.read("d_property"), "property_id", "property_key",
                "property_key"),
         *[
-            Lookup(column, tables.read(dim), natural, key, output)
+            Lookup(column, members(dim, natural), natural, key, output)
             for column, (dim, natural, key, output) in ATTRIBUTES.items()
         ],
         Lookup("date", tables.read("d_date"), "date", "date_key", "updated_date_key"),
@@ -108,6 +114,7 @@ def resolve(checked: DataFrame, tables) -> DataFrame:
 def load(issues: DataFrame, projects: DataFrame, properties: DataFrame, tables) -> Report:
     tables.create(*CREATED)
     checked = check(issues)
-    load_dimensions(checked, projects, properties, tables)
-    merged = tables.upsert("fact_issues", resolve(checked, tables))
+    few = lookup.few_values(tables, checked, "reported_by_email")
+    load_dimensions(checked, projects, properties, tables, few)
+    merged = tables.upsert("fact_issues", resolve(checked, tables, few))
     return Report("issues", "issue_id", checked, merged)

@@ -50,24 +50,26 @@ def check(extracted: DataFrame) -> DataFrame:
     ])
 
 
-def load_dimensions(checked: DataFrame, tables) -> None:
+def load_dimensions(checked: DataFrame, tables, few: dict[str, list] | None = None) -> None:
     values = {("d_date", "date"): F.col("date"), ("d_invoice", "invoice_id"): F.col("invoice_id")}
-    dims.insert_members(dims.offers(checked, values), values, tables)
+    dims.insert_members(dims.offers(checked, values), values, tables,
+                        few and {"d_invoice": few["invoice_id"]})
     seen = checked.select("created_date", "invoice_id", "vendor_id", "vendor_name")
+    stored = dims.stored_members(tables, "d_vendor", "vendor_id", few and few["vendor_id"])
     tables.append(
         "d_vendor",
-        dims.first_seen(seen, "d_vendor", tables.read("d_vendor"), ["created_date", "invoice_id"],
-                        tables.top("d_vendor")),
+        dims.first_seen(seen, "d_vendor", stored, ["created_date", "invoice_id"], tables.top("d_vendor")),
     )
 
 
-def resolve(checked: DataFrame, tables) -> DataFrame:
+def resolve(checked: DataFrame, tables, few: dict[str, list] | None = None) -> DataFrame:
     """The first row per vendor, invoice and date, with its keys."""
     rows = clean.kept(checked, "vendor_id")
+    vendors = tables.members("d_vendor", "vendor_id", few and few["vendor_id"])
+    invoices = tables.members("d_invoice", "invoice_id", few and few["invoice_id"])
     found = lookup.or_null(rows, [
-        Lookup("vendor_id", tables.read("d_vendor"), "vendor_id", "vendor_key", "vendor_key"),
-        Lookup("invoice_id", tables.read("d_invoice"), "invoice_id", "invoice_key",
-               "invoice_key"),
+        Lookup("vendor_id", vendors, "vendor_id", "vendor_key", "vendor_key"),
+        Lookup("invoice_id", invoices, "invoice_id", "invoice_key", "invoice_key"),
         Lookup("date", tables.read("d_date"), "date", "date_key", "date_key"),
     ])
     order = total_order(rows, ["created_date"], ["vendor_id", "invoice_id", "date"])
@@ -78,6 +80,7 @@ def load(invoices: DataFrame, vendors: DataFrame, tables) -> Report:
     tables.create(*CREATED)
     # The match feeds three dimensions and the fact, so it is joined once.
     checked = check(materialize(extract(invoices, vendors), "payments"))
-    load_dimensions(checked, tables)
-    merged = tables.insert_absent("f_payments", resolve(checked, tables))
+    few = lookup.few_values(tables, checked, "vendor_id", "invoice_id")
+    load_dimensions(checked, tables, few)
+    merged = tables.insert_absent("f_payments", resolve(checked, tables, few))
     return Report("payments", "invoice_id", checked, merged)

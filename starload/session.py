@@ -11,6 +11,9 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows of a batch that is small enough to ask dimensions for its members by value.
+FEW = 500
+
 _AREA: ContextVar[str | None] = ContextVar("scratch area", default=None)
 
 
@@ -25,6 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.sources.fileCompressionFactor", "4.0")
+    # A few members are looked up by value in the files of a dimension, not by their range.
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(FEW))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

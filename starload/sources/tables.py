@@ -12,6 +12,8 @@ from starload.schemas import TABLES, conform, empty
 class SessionTables:
     """Target tables as DataFrames; every change gives a new one."""
 
+    by_member = False
+
     def __init__(self, spark: SparkSession, frames: dict[str, DataFrame] | None = None,
                  buckets: int = 8):
         self.spark = spark
@@ -24,6 +26,10 @@ class SessionTables:
             return empty(self.spark, name)
         return self._frames[name]
 
+    def members(self, name: str, column: str, values: list | None) -> DataFrame:
+        """The whole dimension: a plan in memory has no pages to leave out."""
+        return self.read(name)
+
     def exists(self, name: str) -> bool:
         return name in self._frames
 

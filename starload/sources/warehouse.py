@@ -32,11 +32,15 @@ _WHOLE = "all"
 # Folders a dimension or bucket may have before a load writes them as one, and pointers kept.
 _FOLDERS = 8
 _POINTERS = 8
+# Members of a page of a dimension's files, the least a scan by member reads.
+_PAGE_ROWS = 500
 
 
 class Warehouse:
     """The published tables below a root folder all executors share."""
 
+    by_member = True
+
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
                  check: bool = True):
         self.spark = spark
@@ -150,11 +154,23 @@ class Warehouse:
         """Of a fact, the buckets that hold the rows placed as ``rows`` are."""
         return self._near(name, rows, self._current(name))
 
+    def members(self, name: str, column: str, values: list | None) -> DataFrame:
+        """Of a dimension, the members with one of a few values; all of them for None.
+
+        Members are written in the order of their natural key in small pages, so that the scan
+        reads the pages around the values only.
+        """
+        members = self.read(name)
+        return members if values is None else members.filter(F.col(column).isin(values))
+
     # Writing
 
     def _write(self, name: str, df: DataFrame) -> str:
         version = f"data/{uuid.uuid4().hex}"
-        conform(df, name).write.parquet(f"{self.root}/{name}/{version}")
+        writer = conform(df, name).write
+        if TABLES[name].surrogate and not TABLES[name].fact:
+            writer = writer.option("parquet.page.row.count.limit", str(_PAGE_ROWS))
+        writer.parquet(f"{self.root}/{name}/{version}")
         return version
 
     def _write_buckets(self, name: str, df: DataFrame, buckets: int) -> dict[str, str]:

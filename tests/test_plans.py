@@ -5,11 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from starload.operators import keys, lookup, merge
+from helpers import frame
+from starload.operators import dims, keys, lookup, merge
 from starload.plans import inventory, payments, requests
 from starload.session import materialize
 from starload.sources.scan import scan
 from starload.sources.tables import SessionTables
+from starload.sources.warehouse import Warehouse
 from testbed.queries import QUERIES
 from testbed.sources import source
 
@@ -36,6 +38,35 @@ def settings(spark):
         spark.conf.set(key, value)
 
 
+def scanned(df):
+    """Rows that the scan of a file brings up."""
+    executed = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    return executed.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+
+def test_a_small_batch_reads_its_own_members_of_a_large_dimension(spark, tmp_path):
+    """Of a million members a batch of a hundred reads pages, and gets the keys of a whole read."""
+    warehouse = Warehouse(spark, str(tmp_path), buckets=2)
+    every = spark.range(1_000_000).select(F.format_string("i%07d", "id").alias("invoice_id"))
+    values = {("d_invoice", "invoice_id"): F.col("invoice_id")}
+    dims.insert_members(dims.offers(every, values), values, warehouse)
+    wanted = [f"i{i * 9973:07d}" for i in range(100)]
+    batch = frame(spark, "invoice_id string, vendor_id string", *[(i, "v") for i in wanted], (None, "v"), ("new", "v"))
+    few = lookup.few_values(warehouse, batch, "invoice_id", "vendor_id")
+    assert few == {"invoice_id": sorted([*wanted, "new"]), "vendor_id": ["v"]}
+    members = warehouse.members("d_invoice", "invoice_id", few["invoice_id"])
+    assert members.count() == 100
+    assert scanned(members) <= 100 * 2 * 500 < scanned(warehouse.read("d_invoice"))
+    # New members are found and keyed as over the whole dimension.
+    dims.insert_members(dims.offers(batch, values), values, warehouse, {"d_invoice": few["invoice_id"]})
+    stored = warehouse.read("d_invoice")
+    assert stored.count() == 1_000_001 and stored.filter("invoice_id = 'new'").first()[0] == 1_000_001
+    # A large batch, or a table whose highest key is not recorded, reads all.
+    assert lookup.few_values(warehouse, every, "invoice_id") is None
+    assert lookup.few_values(SessionTables(spark), batch, "invoice_id") is None
+
+
 def test_one_row_per_key_is_limited_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     text = plan(merge.last_wins(df, ["k"], ["id"]))
