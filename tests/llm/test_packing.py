@@ -127,3 +127,18 @@ def test_many_lengths_stay_near_the_bound(seed):
     counts = {k: rng.randint(1, 300) for k in range(1, 1025)}
     used = sum(each[0] for each in [*dominant_sets(counts, 1024)[0], *best_fit(dominant_sets(counts, 1024)[1], 1024)])
     assert used <= sum(k * n for k, n in counts.items()) / 1024 * 1.02
+
+
+@pytest.mark.parametrize("text", [
+    " " * 1_000_000, "a" + "\n" * 1_000_000 + "b c", " " * 20_001 + "<|endoftext|> x", " " * 20_000 + "'s",
+    "x" + " \n" * 20_000 + " é" + " " * 20_000 + "z", "q" * 300_000, " " * 15_000 + "\x1c" + "\t" * 15_000 + "!",
+])
+def test_long_runs_have_the_ids_of_the_library(text):
+    want = Library.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert Tokenizer(PATH)(text).tolist() == want
+
+
+def test_a_long_run_is_packed(spark):
+    packed = pack_documents(frame(spark, [(1, " " * 1_000_000), (2, "word")]), PATH, with_ids=False).collect()
+    assert sum(r.length for r in packed if r.doc_id == 1) == 1_000_001
+    assert max(r.length for r in packed) <= 1024
