@@ -14,7 +14,7 @@ from starload.operators.clean import required
 from starload.operators.keys import assign_keys, number_groups
 from starload.operators.merge import absent, first_wins, last_wins, total_order
 from starload.schemas import TABLES, conform
-from starload.session import materialize
+from starload.session import FEW, materialize
 
 
 Offers = dict[tuple[str, str], Column | list[Column]]
@@ -165,17 +165,31 @@ def overwrite_members(
         tables.replace(table, changed)
 
 
+def referring(fact: DataFrame, column: str, keys: Sequence[int]) -> DataFrame:
+    """Keys of those given that rows of the fact refer to, one per row.
+
+    The keys go into the scan, which leaves out the row groups and pages without any of them.
+    """
+    return fact.filter(F.col(column).isin(list(keys))).select(F.col(column).alias("_used"))
+
+
 def blank_members(
     target: DataFrame, table: str, name: str, facts: Sequence[tuple[DataFrame, str]]
 ) -> DataFrame:
-    """Blank or NULL members and whether a fact still refers to them."""
+    """Blank or NULL members and whether a fact still refers to them.
+
+    Up to ``FEW`` members are asked for by value; of more, the facts are joined with them.
+    """
     surrogate = TABLES[table].surrogate
     blank = target.filter(~nonblank(F.col(name)))
+    keys = [r[0] for r in blank.select(surrogate).limit(FEW + 1).collect()]
     used = None
     for fact, column in facts:
-        # The few blank members are the small side; the fact is only scanned.
-        side = blank.select(F.col(surrogate).alias("_used"))
-        hits = side.join(fact.select(F.col(column).alias("_key")), F.col("_used") == F.col("_key"))
+        if len(keys) <= FEW:
+            hits = referring(fact, column, keys)
+        else:
+            side = blank.select(F.col(surrogate).alias("_used"))
+            hits = side.join(fact.select(F.col(column).alias("_key")), F.col("_used") == F.col("_key"))
         hits = hits.select("_used").distinct()
         used = hits if used is None else used.unionByName(hits)
     if used is None:

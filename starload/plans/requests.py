@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,11 +57,18 @@ def referring_facts(tables, dimension: str) -> list[tuple[DataFrame, str]]:
 
 def purge_blanks(tables) -> dict[str, DataFrame]:
     """Drop blank members no fact refers to; returns those that were found."""
+    read = {name: tables.read(name) for name in PURGED}
+    # One job looks for blanks in all dimensions.
+    asked = functools.reduce(DataFrame.unionByName, [
+        read[name].filter(~nonblank(F.col(column))).select(F.lit(name).alias("dim"))
+        for name, column in PURGED.items()
+    ])
+    held = {r["dim"] for r in asked.distinct().collect()}
     found = {}
     for name, column in PURGED.items():
-        dimension = tables.read(name)
-        if dimension.filter(~nonblank(F.col(column))).isEmpty():
+        if name not in held:
             continue
+        dimension = read[name]
         blanks = dims.blank_members(dimension, name, column, referring_facts(tables, name))
         found[name] = blanks
         tables.replace(name, dims.purge(dimension, name, blanks))

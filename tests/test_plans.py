@@ -67,6 +67,26 @@ def test_a_small_batch_reads_its_own_members_of_a_large_dimension(spark, tmp_pat
     assert lookup.few_values(SessionTables(spark), batch, "invoice_id") is None
 
 
+def test_few_blank_members_are_asked_for_in_the_scan_of_a_fact(spark, tmp_path, monkeypatch):
+    """Of a fact in the order of its keys only the pages with a blank key are read."""
+    path = str(tmp_path / "fact")
+    spark.range(200_000).coalesce(1).select(F.floor(F.col("id") / 4).alias("item_key")).write.option(
+        "parquet.page.row.count.limit", "1000").parquet(path)
+    fact = spark.read.parquet(path)
+    hits = dims.referring(fact, "item_key", [77, 40_000, 60_000])
+    assert "PushedFilters: [In(item_key" in plan(hits)
+    assert hits.count() == 8
+    assert scanned(hits) <= 2 * 1000 * 2 < scanned(fact)
+    # Many blank members are joined, with the same result.
+    items = frame(spark, "item_key long, item_name string", (77, " "), (60_000, None), (3, "nail"), (40_000, ""))
+    held = {77: True, 40_000: True, 60_000: False}
+    for few in (500, 2, 0):
+        monkeypatch.setattr(dims, "FEW", few)
+        found = dims.blank_members(items, "d_item", "item_name", [(fact, "item_key")])
+        assert {r.item_key: r.referenced for r in found.collect()} == held
+    assert dims.blank_members(items.limit(0), "d_item", "item_name", [(fact, "item_key")]).isEmpty()
+
+
 def test_one_row_per_key_is_limited_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     text = plan(merge.last_wins(df, ["k"], ["id"]))
