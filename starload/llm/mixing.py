@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Mapping
 from fractions import Fraction
@@ -13,9 +12,6 @@ from pyspark.sql import functions as F
 from starload.llm.common import BROADCAST_ROWS, bounded, ranked, ranked_along
 from starload.session import materialize
 
-# Slots of the period of the schedule in rounded parts (``parts_of`` to ``phases``), which ``mix``
-# does not use.
-PERIOD = 1000
 # Weights are whole numbers: the given ones are exact if they fit in this, roots are rounded.
 WEIGHT_BOUND = 1 << 48
 ROOT_UNIT = 1 << 20
@@ -25,70 +21,6 @@ CHUNK_BLOCKS = 10_000
 AREA = 4096
 
 
-def parts_of(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Whole parts of ``period`` per source, at least one each, by largest remainder."""
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * (period - len(weights)) for s, w in sorted(weights.items())}
-    parts = {s: 1 + math.floor(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[: period - sum(parts.values())]:
-        parts[s] += 1
-    return parts
-
-
-def period_slots(parts: Mapping[str, int]) -> dict[str, list[int]]:
-    """Slots of each source's blocks in one period: of the released blocks the one whose
-    deadline is earliest goes next.
-
-    Block i of a source with p of n parts may run from floor(i n / p) on and must have run by
-    ceil((i + 1) n / p). With one slot at a time this meets every deadline, ties as they fall.
-    """
-    n = sum(parts.values())
-    waiting = [(0, s, 0) for s in parts]
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    slots: dict[str, list[int]] = {s: [] for s in parts}
-    for slot in range(n):
-        while waiting and waiting[0][0] <= slot:
-            _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * n // parts[s]), s, i))
-        deadline, s, i = heapq.heappop(ready)
-        assert slot < deadline
-        slots[s].append(slot)
-        if i + 1 < parts[s]:
-            heapq.heappush(waiting, ((i + 1) * n // parts[s], s, i + 1))
-    return slots
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> tuple:
-    """Rows (phase, source, first block, end block, parts, first slot, period) and slots
-    (phase, source, block in the period, slot in the period).
-
-    A phase ends when a source has no blocks left; the others go on with their weights among
-    themselves, so every block gets a slot. There are at most as many phases as sources.
-    """
-    used = {s: 0 for s in blocks if blocks[s] > 0}
-    spans, offsets, start, phase = [], [], 0, 0
-    while used:
-        parts = parts_of({s: weights[s] for s in used}, period)
-        slots = period_slots(parts)
-        n = sum(parts.values())
-        ends = {}
-        for s in used:  # the slot after each source's last block
-            last = blocks[s] - used[s] - 1
-            ends[s] = last // parts[s] * n + slots[s][last % parts[s]] + 1
-        end = min(ends.values())
-        rest = {}
-        for s in used:
-            done = end // n * parts[s] + sum(x < end % n for x in slots[s])
-            spans.append((phase, s, used[s], used[s] + done, parts[s], start, n))
-            offsets.extend((phase, s, i, x) for i, x in enumerate(slots[s]))
-            if used[s] + done < blocks[s]:
-                rest[s] = used[s] + done
-        used, start, phase = rest, start + end, phase + 1
-    return spans, offsets
-
-
 def whole_weights(weights: Mapping[str, float]) -> tuple[dict[str, int], int]:
     """The weights as whole numbers, and the unit they were multiplied by.
 
@@ -273,7 +205,6 @@ def earliest_first(jobs: DataFrame, n: int, area: int = AREA) -> DataFrame:
 
 def mix(
     docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = 16,
-    period: int = PERIOD,
 ) -> DataFrame:
     """Every row of ``docs`` (doc_id, source, others kept) with its place in the mixed order.
 
@@ -285,7 +216,7 @@ def mix(
 
     ``weights`` holds the target weight of each source; sources without one, and all sources if
     it is None, get the square root of their number of rows (scaled to the known ones). Sources
-    of weight 0 follow all others, mixed among themselves by their roots. ``period`` has no effect.
+    of weight 0 follow all others, mixed among themselves by their roots.
     Rows of a source are ranked in groups by a hash of their id, so that no task holds a whole
     source; besides, counts and blocks are shuffled. The driver sees counts of sources and blocks.
 

@@ -1,38 +1,8 @@
 import math
-import random
 
-import pytest
 from texts import everything, frame
 
-from starload.llm.mixing import mix, parts_of, period_slots, phases
-
-
-@pytest.mark.parametrize("seed", range(8))
-def test_each_block_runs_in_its_window(seed):
-    rng = random.Random(seed)
-    parts = parts_of({f"s{i}": rng.random() ** 3 + 0.001 for i in range(rng.randint(1, 40))}, 200)
-    slots, n = period_slots(parts), sum(parts.values())
-    assert sorted(x for s in slots.values() for x in s) == list(range(n))
-    for s, places in slots.items():
-        for i, at in enumerate(places):
-            assert i * n // parts[s] <= at < -(-(i + 1) * n // parts[s])
-        done = 0
-        for t in range(n + 1):  # never a block ahead or behind
-            done = sum(x < t for x in places)
-            assert abs(done - t * parts[s] / n) < 1
-
-
-def test_phases_give_every_block_one_slot():
-    blocks = {"a": 400, "b": 3, "c": 57, "d": 0}
-    spans, offsets = phases(blocks, {"a": 1, "b": 1, "c": 2, "d": 5}, 10)
-    at = {(p, s, i): x for p, s, i, x in offsets}
-    seen = []
-    for phase, s, first, end, parts, start, n in spans:
-        for k in range(end - first):
-            seen.append((start + k // parts * n + at[phase, s, k % parts], s, first + k))
-    assert sorted(x for x, _, _ in seen) == list(range(460))
-    assert sorted((s, k) for _, s, k in seen) == sorted(
-        (s, k) for s, n in blocks.items() for k in range(n))
+from starload.llm.mixing import mix
 
 
 def test_mix_keeps_every_row_and_its_weights(spark):
@@ -40,7 +10,7 @@ def test_mix_keeps_every_row_and_its_weights(spark):
     docs = frame(spark, everything() + hot).selectExpr(
         "*", "CASE WHEN doc_id >= 1000 THEN 'hot' ELSE source END AS other", "1 AS mix_slot", "2 AS n"
     ).drop("source").withColumnRenamed("other", "source")
-    got = mix(docs, {"hot": 3, "s0": 1}, block_rows=2, period=20)
+    got = mix(docs, {"hot": 3, "s0": 1}, block_rows=2)
     assert set(docs.columns) - {"mix_slot"} < set(got.columns)
     rows = got.collect()
     assert len(rows) == docs.count()
