@@ -208,16 +208,25 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 HITS = "anchor_id long, tag long, anchor_key long, vec_id long, score long"
 
 
-def _found(probes: list[tuple], ids: np.ndarray, labels: np.ndarray, v: np.ndarray, k: int) -> list[tuple]:
-    """Up to k first rows of one block for each probe (anchor, tag, key, label, v, lowest,
-    highest, same): by score, then by id."""
+def _found(anchors: list[tuple], ids: np.ndarray, labels: np.ndarray, v: np.ndarray, k: int) -> list[tuple]:
+    """Up to k first rows of one block for each probe: by score, then by id.
+
+    Probes come by anchor (anchor, key, label, v, same, [(tag, lowest, highest)]), whose products
+    are made and put in order once for all of its windows.
+    """
     out = []
-    scores = _products(np.stack([p[4] for p in probes]), v)
-    for (anchor, tag, key, label, _, lowest, highest, same), score in zip(probes, scores):
-        fits = np.flatnonzero((score >= lowest) & (score <= highest))
-        fits = fits[((labels[fits] == label) == same) & (ids[fits] != anchor)]
-        best = fits[np.lexsort((ids[fits], -score[fits]))[:k]]
-        out.extend((anchor, tag, key, int(ids[i]), int(score[i])) for i in best)
+    names, codes = np.unique(labels, return_inverse=True)
+    code = {name: i for i, name in enumerate(names)}
+    scores = _products(np.stack([a[3] for a in anchors]), v)
+    for (anchor, key, label, _, same, windows), score in zip(anchors, scores):
+        fits = (score >= min(w[1] for w in windows)) & (score <= max(w[2] for w in windows))
+        fits = np.flatnonzero(fits & ((codes == code.get(label, -1)) == same) & (ids != anchor))
+        fits = fits[np.lexsort((ids[fits], -score[fits]))]
+        falling = -score[fits].astype(float)
+        for tag, lowest, highest in windows:
+            first = np.searchsorted(falling, -highest, "left")
+            end = min(first + k, np.searchsorted(falling, -lowest, "right"))
+            out.extend((anchor, tag, key, int(ids[i]), int(score[i])) for i in fits[first:end])
     return out
 
 
@@ -234,8 +243,11 @@ def _packed_rows(table: pa.Table) -> pa.Table:
 
 def _search(probes: DataFrame, asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     """Hits of the probes of a group in the blocks that ``asked`` (group, block, asking) names."""
-    packed = probes.groupBy("group").agg(F.collect_list(F.struct(
-        "probe", "anchor_id", "tag", "anchor_key", "label", "v", "lowest", "highest", "same")).alias("probes"))
+    # The vector of an anchor goes to a group once, however many probes it has there.
+    packed = probes.groupBy("group", "anchor_id", "anchor_key", "label", "v", "same").agg(
+        F.collect_list(F.struct("probe", "tag", "lowest", "highest")).alias("windows")
+    ).groupBy("group").agg(F.collect_list(F.struct(
+        "anchor_id", "anchor_key", "label", "v", "same", "windows")).alias("anchors"))
 
     def run(batches):
         for batch in batches:
@@ -245,10 +257,14 @@ def _search(probes: DataFrame, asked: DataFrame, blocks: DataFrame, k: int) -> D
                 kind = np.int16 if row["small"] else np.float64
                 v = np.frombuffer(row["vectors"], kind).reshape(len(ids), row["width"]).astype(float)
                 asking = set(row["asking"])
-                mine = [(p["anchor_id"], p["tag"], p["anchor_key"], p["label"], np.array(p["v"]),
-                         -np.inf if p["lowest"] is None else p["lowest"],
-                         np.inf if p["highest"] is None else p["highest"], p["same"])
-                        for p in row["probes"] if p["probe"] in asking]
+                mine = []
+                for a in row["anchors"]:
+                    windows = [(w["tag"], -np.inf if w["lowest"] is None else w["lowest"],
+                                np.inf if w["highest"] is None else w["highest"])
+                               for w in a["windows"] if w["probe"] in asking]
+                    if windows:
+                        mine.append((a["anchor_id"], a["anchor_key"], a["label"], np.array(a["v"]),
+                                     a["same"], windows))
                 if mine:
                     out.extend(_found(mine, ids, np.array(row["labels"], object), v, k))
             columns = list(zip(*out)) or [[]] * 5
@@ -275,12 +291,14 @@ def first_in_window(probes: DataFrame, tree: Tree, blocks: DataFrame, n_blocks:
     """
     groups = -(-max(1, probes.count()) // PROBES)
     leaves = max(1, tree.leaves)
-    # Probes of neighbouring leaves share a group, so that a group asks for few blocks.
+    # Probes of neighbouring leaves share a group, so that a group asks for few blocks, and those
+    # of an anchor the same one.
     near = F.floor(F.col("leaf") * F.lit(groups) / leaves).cast("int")
     per = probes.groupBy(near.alias("near")).count().agg(F.max("count")).first()[0] or 1
     probes = materialize(probes.withColumns({
         "probe": F.xxhash64(*PROBE, "label", "v"),
-        "group": F.concat_ws("-", near, F.pmod(F.xxhash64(*PROBE), F.lit(-(-per // PROBES)))),
+        "group": F.concat_ws("-", near, F.pmod(
+            F.xxhash64("anchor_id", "anchor_key"), F.lit(-(-per // PROBES)))),
     }), "probes")
 
     def blocks_of(leaf: Column) -> Column:

@@ -84,3 +84,15 @@ def test_products_beyond_doubles(spark):
     rows = [(0, [big, 1.0], 1), (1, [big, 1.0], 1), (2, [big / 2 + 0.25, 3.0], 2), (3, [big * 0.9, 5.0], 2)]
     got = hard_negatives(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0)
     assert sorted(map(tuple, got.collect())) == plain(rows, every=100)
+
+
+def test_windows_of_an_anchor_share_its_products(monkeypatch):
+    made = []
+    plain = module._products
+    monkeypatch.setattr(module, "_products", lambda a, b: made.append(len(a)) or plain(a, b))
+    ids, labels = np.arange(6), np.array(["a", "b", "b", "a", "b", "b"], object)
+    v = np.array([[5.0], [4.0], [4.0], [3.0], [2.0], [1.0]])
+    windows = [(1, 2.0, 4.0), (2, -np.inf, 3.0), (3, 4.0, np.inf), (4, 3.0, 3.0)]
+    found = module._found([(4, 9, "a", np.array([1.0]), False, windows)], ids, labels, v, 2)
+    assert made == [1]
+    assert found == [(4, 1, 9, 1, 4), (4, 1, 9, 2, 4), (4, 2, 9, 5, 1), (4, 3, 9, 1, 4), (4, 3, 9, 2, 4)]
