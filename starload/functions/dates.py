@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 def date_key(value: Column) -> Column:
     """yyyymmdd as an integer; NULL stays NULL."""
-    return F.date_format(value, "yyyyMMdd").cast("int")
+    year = F.year(value)
+    # Counted where the text would have eight digits, which costs less than writing it.
+    return F.when(
+        year.between(1, 9999), year * 10000 + F.month(value) * 100 + F.dayofmonth(value)
+    ).otherwise(F.date_format(value, "yyyyMMdd").cast("int"))
 
 
 def calendar(date: Column) -> list[Column]:
@@ -28,7 +32,7 @@ def calendar(date: Column) -> list[Column]:
 
 def strict_date(text: Column) -> Column:
     """``yyyy-m-d`` with one or two digits for month and day, else NULL."""
-    shaped = text.rlike(r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z")
-    parsed = F.try_to_date(F.when(shaped, text), "yyyy-M-d")
-    # The earliest year a calendar date can hold is 1.
-    return F.when(F.year(parsed) >= 1, parsed)
+    # The earliest year a calendar date can hold is 1. Months and days out of range are told by
+    # their shape, as a parser that fails costs far more than one that does not.
+    shaped = text.rlike(r"\A(?!0000)[0-9]{4}-(0?[1-9]|1[0-2])-(0?[1-9]|[12][0-9]|3[01])\z")
+    return F.when(shaped, text).try_cast("date")

@@ -41,4 +41,10 @@ def decimals(number: Column) -> Column:
     power = F.regexp_extract(number, r"[eE]([+-]?[0-9]+)", 1).try_cast("int")
     zeros = F.length(F.regexp_extract(number, r"^[^.]*?(0*)[eE]", 1))
     short = F.when(digits == "", -zeros).otherwise(F.length(digits))
-    return short - F.coalesce(power, F.lit(0))
+    plain = ~F.contains(number, F.lit("e")) & ~F.contains(number, F.lit("E"))
+    # Few numbers have an exponent; whole ones without it use no place.
+    return (
+        F.when(plain & ~F.contains(number, F.lit(".")), F.lit(0))
+        .when(plain, F.length(digits))
+        .otherwise(short - F.coalesce(power, F.lit(0)))
+    )

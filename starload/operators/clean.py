@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,14 @@ def fits_amount(df: DataFrame, *columns: str) -> Column:
     test = F.lit(True)
     for column in columns:
         value, dtype = F.col(column), df.schema[column].dataType
+        if isinstance(dtype, T.DecimalType) and dtype.scale <= AMOUNT.scale:
+            # No place is lost, so that only the digits before the point count.
+            digits = AMOUNT.precision - AMOUNT.scale
+            if dtype.precision - dtype.scale > digits:
+                # Compared on both sides: ``abs`` would round beyond 34 digits.
+                bound = Decimal(10) ** digits
+                test = test & (value.isNull() | ((value < F.lit(bound)) & (value > F.lit(-bound))))
+            continue
         amount = value.try_cast(AMOUNT)
         if isinstance(dtype, T.StringType):
             same = amount.isNotNull() & (decimals(value) <= AMOUNT.scale)

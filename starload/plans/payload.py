@@ -23,39 +23,45 @@ CREATED = ("d_date", "d_item", "d_project", "f_inventory_requests")
 FIELDS = ("request_id", "item_name", "quantity", "location", "requested_date")
 
 
-def _text(field: str):
-    return F.try_variant_get(F.col(f"_{field}"), "$", "string")
-
-
 def check(payloads: DataFrame) -> DataFrame:
     """One row per record with typed columns and the reason of rejection."""
-    raw = records(payloads).select(
-        "arrival", "position", "unreadable",
-        F.schema_of_variant("record").startswith("OBJECT").alias("_object"),
+    fields = records(payloads).select(
+        "arrival", "position", "unreadable", "record",
         *[F.try_variant_get("record", f"$.{f}", "variant").alias(f"_{f}") for f in FIELDS],
     )
+    # Kinds and texts are taken out once. The rules over them must stay small: Java runs code
+    # beyond 8,000 bytes without compiling it.
+    raw = fields.select(
+        "*", *[F.schema_of_variant(f"_{f}").alias(f"_kind_{f}") for f in FIELDS],
+        *[F.try_variant_get(f"_{f}", "$", "string").alias(f"_text_{f}") for f in FIELDS],
+    )
+    raw = raw.withColumn("_number", F.when(
+        F.col("_kind_quantity").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING)"), F.col("_text_quantity")))
+    kind, text = ({f: F.col(f"_{what}_{f}") for f in FIELDS} for what in ("kind", "text"))
+    # What has a field is an object; the schema of a whole record is asked for only without one.
+    is_object = F.when(F.coalesce(*kind.values()).isNotNull(), True).otherwise(
+        F.schema_of_variant("record").startswith("OBJECT"))
     complete = F.lit(True)
-    for field in FIELDS:
-        complete = complete & truthy(F.col(f"_{field}"))
-    is_text = F.schema_of_variant("_requested_date") == "STRING"
-    number_or_text = F.schema_of_variant("_quantity").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING)")
-    quantity = F.when(number_or_text, F.try_variant_get(F.col("_quantity"), "$", "string"))
-    amount = F.when(decimals(quantity) <= AMOUNT.scale, quantity.try_cast(AMOUNT))
-    date = F.when(is_text, strict_date(_text("requested_date")))
+    for f in FIELDS:
+        complete = complete & truthy(F.col(f"_{f}"), kind[f], text[f])
+    number = F.col("_number")
+    amount = F.when(decimals(number) <= AMOUNT.scale, number.try_cast(AMOUNT))
+    date = F.when(kind["requested_date"] == "STRING", strict_date(text["requested_date"]))
+    scalar = {f: is_scalar(F.col(f"_{f}"), kind[f]) for f in FIELDS}
     return clean.classify(
         raw.withColumn("quantity", amount).withColumn("date", date)
         .withColumn("request_id", F.when(F.col("unreadable"), F.col("arrival.path"))
-                    .otherwise(_text("request_id")))
-        .withColumn("item_name", _text("item_name"))
-        .withColumn("location", _text("location")),
+                    .otherwise(text["request_id"]))
+        .withColumn("item_name", text["item_name"])
+        .withColumn("location", text["location"]),
         [
             ("unreadable payload", ~F.col("unreadable")),
-            ("not an object", F.col("_object")),
+            ("not an object", is_object),
             ("incomplete", complete),
             ("bad requested_date", F.col("date").isNotNull()),
-            ("bad item_name", is_scalar(F.col("_item_name"))),
-            ("bad location", is_scalar(F.col("_location"))),
-            ("bad request_id", is_scalar(F.col("_request_id"))),
+            ("bad item_name", scalar["item_name"]),
+            ("bad location", scalar["location"]),
+            ("bad request_id", scalar["request_id"]),
             ("bad quantity", F.col("quantity").isNotNull()),
         ],
     ).select(
