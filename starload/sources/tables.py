@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from starload.operators.keys import assign_bucket_keys
 from starload.operators.merge import absent, upsert
 from starload.schemas import TABLES, conform, empty
+from starload.session import materialize
 
 
 class SessionTables:
-    """Target tables as DataFrames; every change gives a new one."""
+    """Target tables as DataFrames; every change gives a new one. Batches of facts are copies."""
 
     by_member = False
 
@@ -54,8 +55,12 @@ class SessionTables:
         self._frames[name] = conform(df, name)
 
     def upsert(self, name: str, batch: DataFrame) -> None:
-        """Add or replace rows by natural key. Nothing is run, so nothing is counted."""
-        batch = conform(batch, name)
+        """Add or replace rows by natural key. They are not counted.
+
+        The batch is written once: its keys and its rows are read by later plans, which would
+        else each reduce all rows of the source again.
+        """
+        batch = materialize(conform(batch, name), f"batch-{name}")
         self._frames[name] = (
             upsert(self._frames[name], batch, TABLES[name].natural)
             if name in self._frames else batch
@@ -64,7 +69,9 @@ class SessionTables:
     def insert_absent(self, name: str, batch: DataFrame) -> None:
         """Add rows whose natural key is not stored; stored rows stay as they are."""
         contract = TABLES[name]
-        batch, target = conform(batch, name), self.read(name)
+        # Written once, as in ``upsert``.
+        batch = materialize(conform(batch, name), f"batch-{name}")
+        target = self.read(name)
         fresh = absent(batch, target, contract.natural)
         if contract.surrogate:
             fresh = assign_bucket_keys(
