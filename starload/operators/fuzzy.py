@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ NESTED_LIMIT = 64
 GRAMS = (8, 5, 3, 2, 1)
 # Up to this many stretches (of 8 characters at most, with a run beside them) are broadcast.
 FEW_GRAMS = 200_000
+# A run that gives stretches of the longest kind is weighed by every fourth of them and its last.
+STEP = 4
 
 
 def distinct_names(df: DataFrame, column: str) -> DataFrame:
@@ -38,14 +42,20 @@ def _grams(text: Column, n: int) -> Column:
 
 
 def _longest_grams(run: Column) -> Column:
-    """The stretches of a literal run, of the longest of ``GRAMS`` that it allows.
+    """Stretches of a literal run, of the longest of ``GRAMS`` that it allows, its first one first.
 
-    Within a run no shorter stretch is found in fewer texts.
+    Within a run no shorter stretch is found in fewer texts. Any of them finds all texts that hold
+    the run, and neighbours are about as rare: of the longest kind a few will do, such that every
+    five characters in a row lie in one of them.
     """
     out = F.array().cast("array<string>")
-    for n in sorted(GRAMS):
+    longest = GRAMS[0]
+    for n in sorted(GRAMS[1:]):
         out = F.when(F.char_length(run) >= n, _grams(run, n)).otherwise(out)
-    return out
+    last = F.greatest(F.char_length(run) - (longest - 1), F.lit(1))
+    starts = F.concat(F.sequence(F.lit(1), last, F.lit(STEP)), F.array(last))
+    cover = F.array_distinct(F.transform(starts, lambda i: F.substring(run, i, F.lit(longest))))
+    return F.when(F.char_length(run) >= longest, cover).otherwise(out)
 
 
 def leading_stretches(texts: DataFrame, needles: DataFrame) -> DataFrame:
@@ -80,25 +90,59 @@ def leading_stretches(texts: DataFrame, needles: DataFrame) -> DataFrame:
     ).filter("n_texts > 0")
 
 
-def pieces_of(texts: DataFrame, grams: DataFrame) -> DataFrame:
-    """(text, gram): which of the asked ``grams`` each text holds, by equi-join.
+def _shares(grams: DataFrame) -> list[tuple[list[int], bool]]:
+    """The lengths of the asked stretches: those that are few together by count, and the others.
 
-    A text gives at most as many rows as characters for each length in use.
+    Each with whether it is to be broadcast. Short stretches are few whatever the names, long ones
+    grow with them: only the latter are shuffled.
     """
     # One row per length in use reaches the driver.
-    lengths = sorted(r[0] for r in grams.select(F.char_length("gram")).distinct().collect()) or [1]
-    body = F.col("name")
-    every = F.array_distinct(F.concat(*[_grams(body, n) for n in lengths]))
-    # The optimizer takes the taken apart names for as small as the whole ones: it must not
-    # broadcast them. The asked stretches are, if there are few by count.
-    few = grams.limit(FEW_GRAMS + 1).count() <= FEW_GRAMS
-    asked = F.broadcast(grams) if few else grams.hint("merge")
-    return texts.select(body.alias("text"), F.explode(every).alias("gram")).join(asked, "gram")
+    counted = grams.groupBy(F.char_length("gram").alias("n")).agg(F.count(F.lit(1)).alias("asked")).collect()
+    few, many, room = [], [], FEW_GRAMS
+    for n, asked in sorted(counted, key=lambda row: row["asked"]):
+        room -= asked
+        (few if room >= 0 else many).append(n)
+    return [(sorted(lengths), held) for lengths, held in ((few, True), (many, False)) if lengths]
+
+
+def _stretches_of(texts: DataFrame, lengths: list[int]) -> DataFrame:
+    """(text, gram): every stretch of the given lengths of each text, once."""
+    every = F.concat(*[_grams(F.col("name"), n) for n in lengths])
+    return texts.select(F.col("name").alias("text"), F.explode(every).alias("gram"))
+
+
+def pieces_of(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """(text, gram, ...): which of the asked ``grams`` each text holds, by equi-join.
+
+    A text gives at most as many rows as characters for each length in use. The optimizer takes
+    the taken apart names for as small as the whole ones: it must not broadcast them.
+    """
+    parts = []
+    for lengths, few in _shares(grams):
+        asked = grams.filter(F.char_length("gram").isin(lengths))
+        parts.append(_stretches_of(texts, lengths).join(
+            F.broadcast(asked) if few else asked.hint("merge"), "gram"))
+    if not parts:
+        return _stretches_of(texts, [1]).join(grams, "gram")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def spread_of(texts: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, n_texts): in how many texts each of the grams is found, if in any."""
-    return pieces_of(texts, grams).groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
+    """(gram, n_texts): in how many texts each of the grams is found, if in any.
+
+    Stretches too many to be broadcast are counted before they are joined, so that a stretch of
+    many names is one row per task.
+    """
+    parts = []
+    for lengths, few in _shares(grams):
+        asked = grams.filter(F.char_length("gram").isin(lengths))
+        every = _stretches_of(texts, lengths).select("gram")
+        n_texts = F.count(F.lit(1)).alias("n_texts")
+        parts.append(every.join(F.broadcast(asked), "gram").groupBy("gram").agg(n_texts) if few
+                     else every.groupBy("gram").agg(n_texts).join(asked.hint("merge"), "gram"))
+    if not parts:
+        return grams.select("gram", F.lit(0).cast("long").alias("n_texts"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def candidates(texts: DataFrame, leads: DataFrame) -> DataFrame:
@@ -112,6 +156,20 @@ def candidates(texts: DataFrame, leads: DataFrame) -> DataFrame:
     return held.filter(F.contains(F.col("text"), F.col("second")))
 
 
+def possible(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """The needles that ask for no longer text than there is.
+
+    A needle asks for as many characters as its literal runs and its ``_`` have.
+    """
+    body = F.col("name")
+    literal = F.char_length(F.array_join(pattern_fragments(body), ""))
+    # Escaped ones are in the runs: nothing is asked for twice.
+    single = F.char_length(F.regexp_replace(body, r"(?s)\\.|[^_]", ""))
+    # One number reaches the driver.
+    longest = texts.agg(F.max(F.char_length(body))).first()[0] or 0
+    return needles.filter(literal + single <= F.lit(longest))
+
+
 def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     """(text, needle) for each needle whose containing pattern a text matches.
 
@@ -121,10 +179,16 @@ def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     for a least length of text, joined on that number.
     """
     body = F.col("name")
+    needles = possible(texts, needles)
     leads = materialize(leading_stretches(texts, needles), "leading-stretches")
+    # The only run of a needle without wildcards is the needle.
+    whole = pieces_of(texts, leads.filter("plain").select("gram", "needle")).filter(
+        F.contains(F.col("text"), F.col("needle"))).select("text", "needle")
+    # Needles with wildcards are mostly few: by themselves they may be small enough to be broadcast.
+    wild = materialize(leads.filter("NOT plain"), "wild-stretches")
     holds = F.forall("runs", lambda run: F.contains(F.col("text"), run))
-    found = candidates(texts, leads).join(leads, ["gram", "second"]).filter(
-        F.col("plain") | (holds & F.like(F.col("text"), F.col("pattern")))).select("text", "needle")
+    found = whole.unionByName(candidates(texts, wild).join(wild, ["gram", "second"]).filter(
+        holds & F.like(F.col("text"), F.col("pattern"))).select("text", "needle"))
     bare = needles.select(
         body.alias("needle"), F.char_length(F.translate(body, "%", "")).alias("n"),
     ).filter(F.size(pattern_fragments(F.col("needle"))) == 0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import INVOICES, VENDORS, frame, invoice, rows
 from starload.functions.text import containing_pattern, pattern_fragments
+from starload.operators import fuzzy
 from starload.operators.fuzzy import blocked_pairs, distinct_names, fuzzy_join, nested_pairs
 
 
@@ -87,3 +88,48 @@ def test_blocked_form_is_equi_joined(spark):
     plan = blocked_pairs(left, right)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "HashJoin" in plan or "SortMergeJoin" in plan
+
+
+def test_only_the_many_stretches_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "FEW_GRAMS", 20)
+    texts = [f"customer#{i:05d} steel" for i in range(40)]
+    asked = [f"#{i:05d} s" for i in range(40)] + ["1", "12", "st"]
+    grams = frame(spark, "gram string", *[(g,) for g in asked])
+    held = fuzzy.pieces_of(names(spark, texts), grams)
+    plan = held._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    # The three short ones are sent to the names; only the pieces of 8 characters are shuffled.
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    assert rows(held, "text", "gram") == sorted((t, g) for t in texts for g in asked if g in t)
+    spread = fuzzy.spread_of(names(spark, texts), grams)
+    assert rows(spread, "gram", "n_texts") == sorted((g, sum(g in t for t in texts)) for g in asked)
+
+
+@pytest.mark.parametrize("few", [0, 30, 10**6])
+def test_long_names_by_any_number_of_stretches(spark, monkeypatch, few):
+    monkeypatch.setattr(fuzzy, "FEW_GRAMS", few)
+    left = [f"Customer#{i:09d} {s}" for i, s in zip(range(0, 900, 37), ["STEEL", "Steel works"] * 20)]
+    left += ["steel", "a_b", "customer%works", "", None, left[3].replace("0", "_"), "x" * 30]
+    right = [f"customer#{i:09d}" for i in range(0, 900, 74)] + [left[5], left[6].replace("0", "_")]
+    right += ["customer%works", "er#000000__7", "00003_ st", "x" * 12, "x" * 9 + "_" + "x" * 11, "#%0 st%ks", "\\_", "%"]
+    want = brute([n for n in left if n is not None], right)
+    assert rows(blocked_pairs(names(spark, left), names(spark, right)), "left", "right") == want
+
+
+def test_long_runs_are_weighed_by_few_stretches(spark):
+    run = "abcdefghijklmnopqrstuvwxyz#1"
+    for n in (7, 8, 9, 11, 12, 13, 28):
+        got = frame(spark, "run string", (run[:n],)).select(fuzzy._longest_grams(F.col("run"))).first()[0]
+        assert got[0] == run[:min(n, 8) if n >= 8 else 5]
+        assert all(g in run[:n] for g in got) and len(got) <= 1 + (n + 3) // 4
+        assert all(any(run[i:i + 5] in g for g in got) for i in range(n - 4))
+
+
+def test_needles_longer_than_all_texts_are_left_out(spark):
+    least = {"": 0, "_": 1, "\\_": 1, "a\\": 2, "__": 2, "%_%a": 2, "\\\\_": 2, "a\\b_": 3, "_%_\\%": 3, "a_b": 3}
+    needles = names(spark, list(least))
+    for n in range(4):
+        got = fuzzy.possible(names(spark, ["x" * n]), needles)
+        assert rows(got, "name") == sorted([(k,) for k, size in least.items() if size <= n], key=repr)
+    # Without texts nothing is found, and nothing fails.
+    none = names(spark, [None])
+    assert rows(blocked_pairs(none, needles)) == rows(blocked_pairs(needles, none)) == []
