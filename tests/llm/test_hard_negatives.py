@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from starload.llm import hard_negatives as module
 from starload.llm.hard_negatives import Tree, hard_negatives
@@ -96,3 +98,71 @@ def test_windows_of_an_anchor_share_its_products(monkeypatch):
     found = module._found([(4, 9, "a", np.array([1.0]), False, windows)], ids, labels, v, 2)
     assert made == [1]
     assert found == [(4, 1, 9, 1, 4), (4, 1, 9, 2, 4), (4, 2, 9, 5, 1), (4, 3, 9, 1, 4), (4, 3, 9, 2, 4)]
+
+
+def test_parts_slices_and_tiles_are_whole(spark, monkeypatch):
+    """Many parts, slices and tiles, with vectors that are found often, give the rows of a scan."""
+    for name, n in (("LEAF_ROWS", 40), ("PROBES", 20), ("PART_ROWS", 90), ("SLICE_BYTES", 8000),
+                    ("TILE", 16), ("LEAST_TILE", 4), ("HITS_AT_ONCE", 50), ("SAMPLE", 200)):
+        monkeypatch.setattr(module, name, n)
+    rows = clustered(500, 7) + AWKWARD + [(3000 + i, [0.3, -0.2, 0.1, 0.4, 0.2, 0.1], i % 2) for i in range(150)]
+    got = hard_negatives(spark.createDataFrame(rows, SCHEMA).repartition(3), F.col("vec_id") % 10 == 0)
+    assert sorted(map(tuple, got.collect())) == plain(rows)
+
+
+def test_an_anchor_is_sent_to_a_part_once(monkeypatch):
+    """Of each anchor one copy goes to a part, with all of its windows, for every open leaf there."""
+    monkeypatch.setattr(module, "PART_ROWS", 300)
+    vectors = np.floor(256 * np.array([v for _, v, _ in clustered(3000, 2)]))
+    tree = Tree(vectors[::5], 40_000)
+    leaf = tree.leaf_of(vectors)
+    for r in (r for b in module._range_rows(tree)([pa.record_batch({"v": vectors.tolist()})]) for r in b.to_pylist()):
+        at = (r["point"], r["child"])
+        tree.low[r["node"]][at], tree.high[r["node"]][at] = r["low"], r["high"]
+        tree.least[r["node"]][r["child"]], tree.most[r["node"]][r["child"]] = r["least"], r["most"]
+    layout = module.Layout({int(x): int((leaf == x).sum()) for x in np.unique(leaf)}, tree.leaves)
+    anchors = vectors[:200]
+    top = np.sort(anchors @ vectors.T, axis=1)[:, -30]
+    windows = [[{"tag": 1, "lowest": 0.9 * t, "highest": t}, {"tag": 2, "lowest": t, "highest": None}] for t in top]
+    batch = pa.record_batch({
+        "anchor_id": pa.array(range(200)), "anchor_key": pa.array(range(200)), "label": ["a"] * 200,
+        "v": anchors.tolist(), "leaf": pa.array(leaf[:200], pa.int32()), "slice": [0] * 200,
+        "windows": pa.array(windows, pa.list_(pa.struct({"tag": pa.int64(), "lowest": pa.float64(),
+                                                         "highest": pa.float64()})))})
+    asked = [r for b in module._asked(tree, layout, False)([batch]) for r in b.to_pylist()]
+    assert len({r["part"] for r in asked}) == len(asked) > 5
+    sent = set()
+    for r in asked:
+        ids = np.frombuffer(r["ids"], np.int64)
+        assert len(set(ids)) == len(ids) and len(r["tags"]) == 16 * len(ids)
+        who = np.frombuffer(r["asking"], bool).reshape(len(r["leaves"]), len(ids))
+        sent |= {(int(i), x) for x, some in zip(r["leaves"], who) for i in ids[some]}
+    opened = tree.open_leaves(np.repeat(anchors, 2, axis=0), np.ravel(np.stack([0.9 * top, top], 1)),
+                              np.ravel(np.stack([top, np.full(200, np.inf)], 1)))
+    assert sent == {(i, x) for i in range(200) for x in opened[2 * i] + opened[2 * i + 1]
+                    if x != leaf[i] and layout.blocks[x]}
+
+
+def test_what_is_searched_does_not_grow_with_anchors_times_blocks(spark, monkeypatch):
+    """Tasks that search are handed the vectors once, not again for each group of anchors."""
+    monkeypatch.setattr(module, "LEAF_ROWS", 40)
+    monkeypatch.setattr(module, "PROBES", 20)
+    handed = []
+
+    def size(df):
+        return df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+
+    def whole(self, f, schema):
+        handed.append(size(self))
+        return mapped(self, f, schema)
+
+    def pairs(self, f, schema):
+        handed.append(size(self._gd1._df) + size(self._gd2._df))
+        return grouped(self, f, schema)
+
+    rows = spark.createDataFrame(clustered(900, 4), SCHEMA)
+    mapped, grouped = type(rows).mapInArrow, PandasCogroupedOps.applyInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", whole)
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", pairs)
+    hard_negatives(rows, F.col("vec_id") % 10 == 0).count()
+    assert max(handed) < 3 * size(rows)
