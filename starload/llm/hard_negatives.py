@@ -283,11 +283,16 @@ def _found(anchors: list[tuple], ids: np.ndarray, labels: np.ndarray, v: np.ndar
             more.append((probe[fits], score[fits], row[fits]))
         if not any(len(m[0]) for m in more):
             return
-        probe, score, row = (np.concatenate(x) for x in zip(best, *more))
+        # Only probes that found something are put in order again.
+        touched = np.zeros(len(windows), bool)
+        for m in more:
+            touched[m[0]] = True
+        again = touched[best[0]]
+        probe, score, row = (np.concatenate(x) for x in zip([b[again] for b in best], *more))
         order = np.lexsort((row, -score, probe))
         probe, score, row = probe[order], score[order], row[order]
         place = np.arange(len(probe)) - np.searchsorted(probe, probe, "left")
-        best = [x[place < k] for x in (probe, score, row)]
+        best = [np.concatenate((b[~again], x[place < k])) for b, x in zip(best, (probe, score, row))]
         end = place == k - 1
         lowest[probe[end]], last[probe[end]] = score[end], row[end]
 
@@ -301,12 +306,13 @@ def _found(anchors: list[tuple], ids: np.ndarray, labels: np.ndarray, v: np.ndar
             fits = score >= least[:, None]
             while score.shape[1] > LEAST_TILE and np.count_nonzero(fits) > HITS_AT_ONCE:
                 score, fits = (x[:, : -(-x.shape[1] // 4)] for x in (score, fits))
-            hit, row = np.nonzero(fits)
+            hit, row = np.divmod(np.flatnonzero(fits), fits.shape[1])
             looked_through(asking[hit], first + row, score[hit, row])
             first += score.shape[1]
             step = min(TILE, 4 * score.shape[1])
+    order = np.lexsort((best[2], -best[1], best[0]))
     return [(anchors[of[p]][0], windows[p][0], anchors[of[p]][1], i, s)
-            for p, s, i in zip(*(x.tolist() for x in best))]
+            for p, s, i in zip(*(x[order].tolist() for x in best))]
 
 
 def _packed_rows(table: pa.Table) -> pa.Table:
